@@ -14,6 +14,7 @@ name=df)``; the oracle substitutes the view name.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 LOAD_TS = "TIMESTAMP '2026-02-01 07:00:00'"
 
@@ -260,3 +261,114 @@ def duckdb_ctes() -> list[str]:
         text = build("duckdb").format(**{t: t for t in inputs})
         out.append(f"{name} AS ({text})")
     return out
+
+
+# ---------------------------------------------------------------------------
+# Landed feed snapshots (decoded feed messages as JSON), one file per event.
+#
+# Kinds of file, chosen by fixed rules on the event row:
+#   event_type = 'error' and event_id % 4 = 0 -> corrupt document (>= 100 bytes)
+#   value < 1                               -> tiny valid feed without entities
+#   otherwise                               -> feed with one vehicle entity, plus a
+#                                              non-vehicle alert entity when
+#                                              event_type = 'click'
+# Inside a vehicle entity: vehicle id '' when event_id % 101 = 0 (falls back to
+# the entity id), no trip when % 23 = 0, trip without trip_id when % 29 = 0, no
+# position when % 211 = 0, no speed when % 17 = 0, no status when % 5 = 4, no
+# occupancy when % 9 = 8, no timestamp when % 997 = 0, and an undecodable
+# latitude when event_type = 'purchase' and event_id % 7 = 0 (only entities that
+# carry a position have a latitude to corrupt).
+# ---------------------------------------------------------------------------
+
+FEED_KIND_SQL = """CASE WHEN event_type = 'error' AND event_id % 4 = 0 THEN 'corrupt'
+     WHEN value < 1 THEN 'tiny' ELSE 'feed' END"""
+
+
+def _feed_sql() -> str:
+    route = """CASE WHEN user_id % 30 < 12 THEN '1' WHEN user_id % 30 < 18 THEN '2'
+                  ELSE cast(user_id % 30 as string) END"""
+    return f"""
+SELECT
+  concat('landing/date=', d, '/hour=', h, '/', file_name) AS path,
+  cast(et as timestamp) AS modificationTime,
+  cast(length(content) as bigint) AS length,
+  cast(content as binary) AS content,
+  d AS date, h AS hour, file_name
+FROM (
+  SELECT *,
+    CASE kind
+      WHEN 'corrupt' THEN concat('{{"header":{{"gtfs_realtime_version":"2.0"}},"entity":[', repeat('#', 120))
+      WHEN 'tiny' THEN '{{"entity":[]}}'
+      ELSE concat('{{"header":{{"gtfs_realtime_version":"2.0","timestamp":', cast(unix_timestamp(et) as string),
+                  '}},"entity":[', concat_ws(',', vehicle_json, alert_json), ']}}')
+    END AS content
+  FROM (
+    SELECT *,
+      CASE WHEN event_type = 'purchase' AND event_id % 7 = 0
+           THEN regexp_replace(vj, '"latitude":[-0-9.E]+', '"latitude":"n/a"') ELSE vj END AS vehicle_json,
+      CASE WHEN event_type = 'click'
+           THEN to_json(named_struct('id', concat('a', cast(event_id as string)),
+                                     'alert', named_struct('header_text', 'detour')))
+           END AS alert_json
+    FROM (
+      SELECT *,
+        to_json(named_struct(
+          'id', concat('e', cast(event_id as string)),
+          'vehicle', named_struct(
+            'vehicle', named_struct('id', CASE WHEN event_id % 101 = 0 THEN '' ELSE cast(user_id as string) END),
+            'trip', CASE WHEN event_id % 23 = 0 THEN NULL ELSE named_struct(
+                'trip_id', CASE WHEN event_id % 29 = 0 THEN NULL ELSE cast(event_id % 500 as string) END,
+                'route_id', {route},
+                'start_time', concat(lpad(cast(hour(ts) as string), 2, '0'), ':00:00'),
+                'start_date', replace(substr(cast(ts as string), 1, 10), '-', '')) END,
+            'position', CASE WHEN event_id % 211 = 0 THEN NULL ELSE named_struct(
+                'latitude', 45.4e0 + (event_id % 1000) / 5000e0,
+                'longitude', -73.9e0 + (event_id % 700) / 2000e0,
+                'speed', CASE WHEN event_id % 17 = 0 THEN NULL ELSE value / 10 END,
+                'bearing', cast(event_id % 360 as double)) END,
+            'current_status', CASE WHEN event_id % 5 = 4 THEN NULL ELSE cast(event_id % 5 as int) END,
+            'occupancy_status', CASE WHEN event_id % 9 = 8 THEN NULL ELSE cast(event_id % 9 as int) END,
+            'timestamp', CASE WHEN event_id % 997 = 0 THEN NULL ELSE unix_timestamp(et) END))) AS vj
+      FROM (
+        SELECT *, cast(ts + interval '731' day as timestamp) AS et,
+          cast(cast(ts + interval '731' day as date) as string) AS d,
+          lpad(cast(hour(ts) as string), 2, '0') AS h,
+          concat('feed_', lpad(cast(event_id as string), 9, '0'), '.pb') AS file_name,
+          {FEED_KIND_SQL} AS kind
+        FROM {{events}}) e0) e1) e2) e3
+"""
+
+
+def feed_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed feed files as ``binaryFile`` would list them (path, length, content, date, hour)."""
+    # JSON literals contain braces: escape them for the DataFrame-binding formatter.
+    text = _feed_sql().replace("{", "{{").replace("}", "}}").replace("{{events}}", "{events}")
+    return spark.sql(text, events=driver_table(spark, sf_dir, "events"))
+
+
+def write_landing(files: DataFrame, base_path: str) -> None:
+    """Materialise landed snapshots under ``base/date=/hour=/`` as JSON-lines files.
+
+    Many snapshots share one file (one document per line), the layout a
+    line-oriented landing writer produces; ``bronze.read_landing_lines``
+    reads it back.
+    """
+    (files.select(F.col("content").cast("string").alias("value"), "date", "hour")
+     .write.mode("overwrite").partitionBy("date", "hour").text(base_path))
+
+
+def write_weather_documents(weather: DataFrame, path: str) -> None:
+    """Group hourly weather rows into one document per day (parallel arrays per variable).
+
+    A day holds at most a fixed number of hourly observations, so each
+    group is small; the documents are written as JSON lines.
+    """
+    fields = [("temperature", "temperature_2m"), ("feels_like", "apparent_temperature"),
+              ("humidity", "relative_humidity_2m"), ("wind_speed", "wind_speed_10m"),
+              ("wind_direction", "wind_direction_10m"), ("precipitation", "precipitation"),
+              ("weather_code", "weather_code")]
+    obs = F.struct("observation_time", *[F.col(a).alias(b) for a, b in fields])
+    per_day = (weather.groupBy(F.substring("observation_time", 1, 10).alias("day"))
+               .agg(F.sort_array(F.collect_list(obs)).alias("h")))
+    hourly = F.struct(F.col("h.observation_time").alias("time"), *[F.col(f"h.{b}").alias(b) for _, b in fields])
+    per_day.select(hourly.alias("hourly")).write.mode("overwrite").json(path)
