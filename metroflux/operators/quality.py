@@ -169,11 +169,22 @@ def _unique(model: DataFrame, rule: Rule) -> DataFrame:
     return dup.agg(F.count(F.lit(1)).alias("n")).select(F.inline(F.array(_row(rule, C("n")))))
 
 
+def _orphans_per_key(model: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
+    """Child rows per foreign key whose key has no parent.
+
+    Child rows are counted per key first (a partial aggregate on the map
+    side), so only distinct keys reach the anti-join: a key carrying a third
+    of all rows becomes one row per task, not a hot join partition.
+    """
+    per_key = model.where(C(fk).isNotNull()).groupBy(C(fk).alias("_fk")).agg(F.count(F.lit(1)).alias("rows"))
+    keys = parent.select(C(pk).alias("_pk"))
+    return per_key.join(keys, C("_fk") == C("_pk"), "left_anti")
+
+
 def _relationship(model: DataFrame, parent: DataFrame, rule: Rule) -> DataFrame:
-    keys = parent.select(C(rule.field).alias("_pk"))
-    orphans = (model.select(C(rule.column).alias("_fk")).where(C("_fk").isNotNull())
-               .join(keys, C("_fk") == C("_pk"), "left_anti"))
-    return orphans.agg(F.count(F.lit(1)).alias("n")).select(F.inline(F.array(_row(rule, C("n")))))
+    orphans = _orphans_per_key(model, parent, rule.column, rule.field)
+    failures = F.coalesce(F.sum("rows"), F.lit(0))
+    return orphans.agg(failures.alias("n")).select(F.inline(F.array(_row(rule, C("n")))))
 
 
 def run_rules(resolve: Callable[[str], DataFrame], rules: list[Rule] | None = None) -> DataFrame:
@@ -220,9 +231,7 @@ def enforce(results: DataFrame) -> DataFrame:
 
 def orphan_keys(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
     """Which child keys have no parent, and how many rows carry each (K6)."""
-    keys = parent.select(C(pk).alias("_pk"))
-    return (child.where(C(fk).isNotNull()).join(keys, C(fk) == C("_pk"), "left_anti")
-            .groupBy(fk).agg(F.count(F.lit(1)).alias("rows")))
+    return _orphans_per_key(child, parent, fk, pk).select(C("_fk").alias(fk), "rows")
 
 
 def cast_failures(raw: DataFrame, typed: DataFrame, key: str, columns: list[str]) -> DataFrame:
