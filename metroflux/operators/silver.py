@@ -204,8 +204,19 @@ def latest_positions(stg_positions: DataFrame, keys=("bus_id", "event_timestamp"
             .where(C("_rn") == 1).drop("_rn"))
 
 
-def fact_vehicle_positions(stg_positions: DataFrame, dim_routes: DataFrame) -> DataFrame:
-    dedup = latest_positions(stg_positions)
+def fact_vehicle_positions(stg_positions: DataFrame, dim_routes: DataFrame, dedup_on: str = "local") -> DataFrame:
+    """Latest row per (bus, time) with keys and status labels.
+
+    ``dedup_on="local"`` keys on the local wall clock (two instants an hour
+    apart in the DST fold collapse, as in the source); ``"utc"`` keys on the
+    instant and needs ``stg_vehicle_positions(..., keep_utc=True)``.
+    """
+    if dedup_on == "utc":
+        dedup = latest_positions(stg_positions, ("bus_id", "_event_timestamp_utc")).drop("_event_timestamp_utc")
+    elif dedup_on == "local":
+        dedup = latest_positions(stg_positions)
+    else:
+        raise ValueError(dedup_on)
     r = dim_routes.select("route_id", "route_key")
     return (dedup.join(r, "route_id", "left")
             .select(

@@ -16,8 +16,13 @@ from metroflux.functions import exprs as X
 C = F.col
 
 
-def stg_vehicle_positions(bronze: DataFrame, tz: str = X.LOCAL_TZ) -> DataFrame:
-    """Required ids/coords kept, speed to km/h, UTC instant to local time."""
+def stg_vehicle_positions(bronze: DataFrame, tz: str = X.LOCAL_TZ, keep_utc: bool = False) -> DataFrame:
+    """Required ids/coords kept, speed to km/h, UTC instant to local time.
+
+    ``keep_utc`` adds ``_event_timestamp_utc`` so a caller can deduplicate
+    on the instant instead of the local wall clock (which repeats in the
+    autumn DST fold).
+    """
     kept = bronze.where(C("bus_id").isNotNull() & C("latitude").isNotNull() & C("longitude").isNotNull())
     # Localise once; date and hour derive from the local wall clock.
     local = kept.select("*", X.to_local(C("event_timestamp"), tz).alias("_local_ts"))
@@ -33,6 +38,7 @@ def stg_vehicle_positions(bronze: DataFrame, tz: str = X.LOCAL_TZ) -> DataFrame:
         C("ingestion_timestamp").alias("_ingestion_timestamp"),
         C("ingestion_date").alias("_ingestion_date"),
         C("batch_id").alias("_batch_id"),
+        *([C("event_timestamp").alias("_event_timestamp_utc")] if keep_utc else []),
     )
 
 

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import uuid
+
 from metroflux.operators import quality
 from metroflux.plans import oracle
 from metroflux.plans.registry import _wh, register
+from metroflux.plans.warehouse import GOLD_MODELS, SILVER_MODELS, materialize
+from metroflux.session import checkpoint_dir
 
 
 def _subset(test: str):
@@ -14,7 +18,17 @@ def _subset(test: str):
 
 
 def _suite(spark, sf_dir, rules):
+    """Build the table models the rules touch once, then test them.
+
+    Like a build-then-test run: silver and gold models are written once and
+    every rule scans the written table instead of recomputing the model and
+    all its upstream models from bronze; staging models stay views.
+    """
+    needed = {r.model for r in rules} | {r.to for r in rules if r.to}
+    tables = [m for m in SILVER_MODELS + GOLD_MODELS if m in needed]
     wh = _wh(spark, sf_dir)
+    if tables:
+        materialize(wh, f"{checkpoint_dir(spark).rstrip('/')}/dq-{uuid.uuid4().hex}", tables)
     return quality.run_rules(wh.model, rules)
 
 

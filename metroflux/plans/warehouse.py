@@ -29,13 +29,14 @@ class Warehouse:
     """Every model of the warehouse as a lazily built DataFrame."""
 
     def __init__(self, spark: SparkSession, bronze: Mapping[str, DataFrame], tz: str = LOCAL_TZ,
-                 as_of=None):
+                 as_of=None, dedup_on: str = "local"):
         # Bronze instants are UTC; localisation and the adapters assume a UTC session.
         spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark = spark
         self.bronze = bronze
         self.tz = tz
         self.as_of = as_of
+        self.dedup_on = dedup_on
 
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str, **kw) -> "Warehouse":
@@ -46,6 +47,10 @@ class Warehouse:
     def stg_vehicle_positions(self):
         return staging.stg_vehicle_positions(self.bronze["vehicle_positions"], self.tz)
 
+    @cached_property
+    def _stg_positions_utc(self):
+        return staging.stg_vehicle_positions(self.bronze["vehicle_positions"], self.tz, keep_utc=True)
+
     @cached_property
     def stg_weather(self):
         return staging.stg_weather(self.bronze["weather"])
@@ -111,6 +116,8 @@ class Warehouse:
 
     @cached_property
     def fact_vehicle_positions(self):
+        if self.dedup_on == "utc":
+            return silver.fact_vehicle_positions(self._stg_positions_utc, self.dim_routes, "utc")
         return silver.fact_vehicle_positions(self.stg_vehicle_positions, self.dim_routes)
 
     # gold
@@ -138,26 +145,87 @@ class Warehouse:
         return getattr(self, name)
 
 
+# Upstream table models of each model (staging views read bronze directly).
+DEPENDS = {
+    "dim_routes": [], "dim_stops": [], "dim_calendar": [], "dim_date": [],
+    "fact_trips": ["dim_routes"],
+    "fact_vehicle_positions": ["dim_routes"],
+    "fact_stop_times": ["dim_stops", "fact_trips"],
+    "fct_daily_performance": ["fact_vehicle_positions"],
+    "fct_fleet_optimization": [],
+    "fct_occupancy_by_hour": [],
+    "fct_route_analytics": ["fact_trips", "fact_stop_times"],
+    "obt_positions_wide": ["fact_vehicle_positions", "dim_routes"],
+}
+
+
 def materialize(wh: Warehouse, out_dir: str, models: list[str] | None = None,
-                partition_by: Mapping[str, list[str]] | None = None) -> dict[str, DataFrame]:
+                partition_by: Mapping[str, list[str]] | None = None, parallel: bool = True) -> dict[str, DataFrame]:
     """Write table models as parquet under ``out_dir`` and return re-read frames.
 
-    Models are written in DAG order and later models are rebuilt on the
+    Models are written in dependency waves; later models are rebuilt on the
     written tables, so each write is a lineage cut (a lost executor re-runs
-    only the current model's stages, never the whole DAG).  ``out_dir`` must
-    be shared storage on a cluster.
+    only the current model's stages, never the whole DAG).  Models of one
+    wave are independent and are submitted as concurrent Spark jobs.
+    ``out_dir`` must be shared storage on a cluster.
     """
-    names = models or (SILVER_MODELS + GOLD_MODELS)
+    from concurrent.futures import ThreadPoolExecutor
+
+    names = list(models or (SILVER_MODELS + GOLD_MODELS))
     partition_by = dict(partition_by or {})
     out: dict[str, DataFrame] = {}
-    for name in names:
-        df = wh.model(name)
-        path = f"{out_dir.rstrip('/')}/{name}"
-        w = df.write.mode("overwrite")
-        if name in partition_by:
-            w = w.partitionBy(*partition_by[name])
-        w.parquet(path)
-        out[name] = wh.spark.read.parquet(path)
-        # Downstream models read the written table, not the lineage.
-        wh.__dict__[name] = out[name]
+    remaining = list(names)
+    while remaining:
+        wave = [m for m in remaining
+                if all(d in out or d not in names for d in DEPENDS.get(m, []))]
+        frames = {m: wh.model(m) for m in wave}  # plans are built on this thread
+
+        def write(name: str) -> None:
+            w = frames[name].write.mode("overwrite")
+            if name in partition_by:
+                w = w.partitionBy(*partition_by[name])
+            w.parquet(f"{out_dir.rstrip('/')}/{name}")
+
+        if parallel and len(wave) > 1:
+            with ThreadPoolExecutor(max_workers=len(wave)) as pool:
+                list(pool.map(write, wave))
+        else:
+            for m in wave:
+                write(m)
+        for m in wave:
+            out[m] = wh.spark.read.parquet(f"{out_dir.rstrip('/')}/{m}")
+            # Downstream models read the written table, not the lineage.
+            wh.__dict__[m] = out[m]
+        remaining = [m for m in remaining if m not in out]
     return out
+
+
+# Database per layer, as routed by the source project: staging and silver
+# share one schema, gold has its own.
+LAYER_OF = {**{m: "staging" for m in STAGING_MODELS}, **{m: "silver" for m in SILVER_MODELS},
+            **{m: "gold" for m in GOLD_MODELS}}
+
+
+def target_schema(model: str, default_schema: str, custom: Mapping[str, str] | None = None) -> str:
+    """Custom schema of the model's layer verbatim when configured, else the default."""
+    return (custom or {}).get(LAYER_OF[model]) or default_schema
+
+
+def publish(wh: Warehouse, default_schema: str, custom: Mapping[str, str] | None = None,
+            views=STAGING_MODELS, tables=SILVER_MODELS + GOLD_MODELS) -> dict[str, str]:
+    """Register staging models as temp views and save table models into their databases.
+
+    Tables are full rebuilds (overwrite); build stamps come from the models.
+    Returns model -> qualified name.
+    """
+    names = {}
+    for m in views:
+        wh.model(m).createOrReplaceTempView(m)
+        names[m] = m
+    for m in tables:
+        db = target_schema(m, default_schema, custom)
+        wh.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+        wh.model(m).write.mode("overwrite").saveAsTable(f"`{db}`.`{m}`")
+        wh.__dict__[m] = wh.spark.table(f"`{db}`.`{m}`")
+        names[m] = f"{db}.{m}"
+    return names

@@ -42,7 +42,8 @@ def get_session(master: str | None = None, app: str = "metroflux",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     for k, v in conf.items():
-        if k.startswith("spark.sql."):
+        # Re-apply runtime SQL settings on a reused session (static ones are fixed at start).
+        if k.startswith("spark.sql.") and spark.conf.isModifiable(k):
             spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -69,3 +70,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def sizing(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Shuffle and scan settings for an input size and cluster.
+
+    Scan splits of ``target_partition_bytes``; shuffle partitions so each
+    reducer gets about one split of data (never fewer than 2x the cores),
+    left to AQE to coalesce at runtime; AQE's advisory size and the skew
+    threshold follow the same target.  E.g. 100 TB on 8,000 cores gives
+    ~400k scan splits and 400k shuffle partitions of ~256 MB.
+    """
+    splits = max(1, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(max(2 * total_cores, splits)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }

@@ -395,6 +395,27 @@ def ingest(spark: SparkSession, files: DataFrame, bronze_path: str, quarantine_p
 # Static schedule and weather loaders
 # ---------------------------------------------------------------------------
 
+SOURCE_TABLES = ["vehicle_positions", "gtfs_agency", "gtfs_routes", "gtfs_stops", "gtfs_trips", "gtfs_stop_times",
+                 "gtfs_calendar", "gtfs_calendar_dates", "gtfs_shapes", "weather"]
+
+
+def bronze_sources(spark: SparkSession, root: str, names=SOURCE_TABLES) -> dict[str, DataFrame]:
+    """The named bronze tables stored as parquet under ``root/<name>``.
+
+    Each table is checked for the columns the staging models read, so a
+    missing column fails at load time with its name, not deep in a plan.
+    """
+    out = {}
+    for name in names:
+        df = read_bronze(spark, f"{root}/{name}") if name == "vehicle_positions" else spark.read.parquet(f"{root}/{name}")
+        required = RECORD_COLUMNS if name == "vehicle_positions" else GTFS_COLUMNS.get(name, ["observation_time"])
+        missing = sorted(set(required) - set(df.columns))
+        if missing:
+            raise ValueError(f"bronze table {name} lacks columns {missing}")
+        out[name] = df
+    return out
+
+
 GTFS_COLUMNS = {
     "gtfs_agency": ["agency_id", "agency_name", "agency_url", "agency_timezone", "agency_lang", "agency_phone"],
     "gtfs_routes": ["route_id", "agency_id", "route_short_name", "route_long_name", "route_type", "route_url",

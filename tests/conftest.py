@@ -14,6 +14,7 @@ SMALL = "/root/testdata/sf0.01"
 def spark():
     from metroflux.session import get_session
     s = get_session("local[4]", app="metroflux-tests", shuffle_partitions=8,
-                    extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="mf-test-ckpt-")})
+                    extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="mf-test-ckpt-"),
+                           "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="mf-test-wh-")})
     yield s
     s.stop()

@@ -74,3 +74,18 @@ def test_landing_files_roundtrip(spark):
     assert one_day.select("date").distinct().collect()[0][0] == "2026-01-03"
     dec = B.decode(lines)
     assert B.records(dec).count() == B.records(B.decode(fixtures.feed_landing(spark, SMOKE))).count()
+
+
+def test_bronze_sources_and_publish(spark):
+    from metroflux.plans.warehouse import Warehouse, publish, target_schema
+    root = _tmp(spark, "bronze-root")
+    for name in B.SOURCE_TABLES:
+        fixtures.bronze_table(spark, SMOKE, name).write.parquet(f"{root}/{name}")
+    src = B.bronze_sources(spark, root)
+    wh = Warehouse(spark, src)
+    assert target_schema("fct_daily_performance", "silver_db", {"gold": "gold_db"}) == "gold_db"
+    assert target_schema("dim_routes", "silver_db", {"gold": "gold_db"}) == "silver_db"
+    names = publish(wh, "mf_silver", {"gold": "mf_gold"}, tables=["dim_routes", "fct_route_analytics"])
+    assert names["fct_route_analytics"] == "mf_gold.fct_route_analytics"
+    assert spark.table("mf_gold.fct_route_analytics").count() > 0
+    assert spark.sql("SELECT count(*) FROM stg_routes").first()[0] == 25

@@ -173,3 +173,19 @@ def test_inbound_only_route_is_dropped(spark):
 def test_exact_speed_sum_is_order_free(spark):
     df = spark.createDataFrame([(0.1,), (0.2,), (0.3,), (None,)], "speed double")
     assert df.agg(X.exact_sum_1dp(F.col("speed"))).first()[0] == 0.6
+
+
+def test_fold_hour_utc_dedup_keeps_both(spark):
+    rows = [_row("b1", "2026-11-01 05:30:00"), _row("b1", "2026-11-01 06:30:00")]
+    stg = staging.stg_vehicle_positions(_positions(spark, rows), keep_utc=True)
+    routes = spark.createDataFrame([("r1", "k1")], "route_id string, route_key string")
+    assert silver.fact_vehicle_positions(stg, routes, dedup_on="utc").count() == 2
+    stg_local = staging.stg_vehicle_positions(_positions(spark, rows))
+    assert silver.fact_vehicle_positions(stg_local, routes).count() == 1
+
+
+def test_sizing_scales_partitions():
+    from metroflux.session import sizing
+    conf = sizing(100 * 10**12, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) > 300_000
+    assert sizing(10**6, 8)["spark.sql.shuffle.partitions"] == "16"
