@@ -230,6 +230,8 @@ ADAPTERS = {
 
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # The adapters turn wall-clock driver timestamps into UTC instants.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -343,7 +345,10 @@ def feed_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed feed files as ``binaryFile`` would list them (path, length, content, date, hour)."""
     # JSON literals contain braces: escape them for the DataFrame-binding formatter.
     text = _feed_sql().replace("{", "{{").replace("}", "}}").replace("{{events}}", "{events}")
-    return spark.sql(text, events=driver_table(spark, sf_dir, "events"))
+    files = spark.sql(text, events=driver_table(spark, sf_dir, "events"))
+    # A listing of many landed files is split across tasks; spread the
+    # stand-in files the same way instead of keeping them in one scan task.
+    return files.repartition(spark.sparkContext.defaultParallelism)
 
 
 def write_landing(files: DataFrame, base_path: str) -> None:

@@ -58,9 +58,26 @@ def rows(df: pd.DataFrame) -> Counter:
     return Counter(tuple(canon(v) for v in r) for r in df.itertuples(index=False, name=None))
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+def type_mismatches(sdf_spark, rel) -> list:
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    out = []
+    for f in sdf_spark.schema.fields:
+        want = SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+        got = duck_types.get(f.name)
+        if got is not None and got != want:
+            out.append((f.name, f.dataType.simpleString(), got))
+    return out
+
+
 def compare(spark, con, name, builder, sql, sf_dir):
     t = time.time()
-    sdf = builder(spark, sf_dir).toPandas()
+    sdf_spark = builder(spark, sf_dir)
+    types_bad = type_mismatches(sdf_spark, con.sql(sql))
+    sdf = sdf_spark.toPandas()
     ts = time.time() - t
     ddf = con.execute(sql).df()
     res = {"name": name, "spark_rows": len(sdf), "oracle_rows": len(ddf), "sec": round(ts, 2)}
@@ -69,7 +86,10 @@ def compare(spark, con, name, builder, sql, sf_dir):
         res["why"] = f"columns differ: spark-only {sorted(set(sdf.columns)-set(ddf.columns))} oracle-only {sorted(set(ddf.columns)-set(sdf.columns))}"
         return res
     a, b = rows(sdf), rows(ddf)
-    res["ok"] = a == b
+    res["ok"] = a == b and not types_bad
+    if types_bad:
+        res["why"] = f"type mismatches (column, spark, duckdb): {types_bad}"
+        return res
     if not res["ok"]:
         only_s = list((a - b).elements())[:3]
         only_o = list((b - a).elements())[:3]
