@@ -99,5 +99,7 @@ def test_build_then_test_run(spark):
     res = build_all(spark, root, _tmp(spark, "wh"), enforce=False)
     by = {(r.model, r.column_name, r.test): r for r in res.collect()}
     assert len(by) == 104
-    # The stand-in positions carry orphan routes: a warning, not an error.
-    assert by[("fact_vehicle_positions", "route_id", "relationships")].status == "warn"
+    # Orphan routes are a warning, never an error.
+    rel = by[("fact_vehicle_positions", "route_id", "relationships")]
+    assert rel.severity == "warn" and rel.status in ("pass", "warn")
+    assert all(r.status in ("pass", "warn") for r in by.values())
