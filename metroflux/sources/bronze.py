@@ -99,12 +99,19 @@ def read_landing_lines(spark: SparkSession, base_path: str, date: str | None = N
                      F.octet_length("value").cast("long").alias("length"), C("value").alias("content"))
 
 
-def watermark(bronze: DataFrame) -> DataFrame:
-    """Files already loaded: distinct ``ingestion_file`` of the bronze table (A3)."""
+def watermark(bronze: DataFrame, since_date: str | None = None) -> DataFrame:
+    """Files already loaded: distinct ``ingestion_file`` of the bronze table (A3).
+
+    ``since_date`` limits the scan to recent ``ingestion_date`` partitions
+    (partition pruning) when landed files older than that are never replayed.
+    """
+    if since_date is not None:
+        bronze = bronze.where(C("ingestion_date") >= F.lit(since_date).cast("date"))
     return bronze.select("ingestion_file").distinct()
 
 
-def select_files(files: DataFrame, bronze: DataFrame | None = None, mode: str = "incremental") -> DataFrame:
+def select_files(files: DataFrame, bronze: DataFrame | None = None, mode: str = "incremental",
+                 since_date: str | None = None) -> DataFrame:
     """Files to process: all (full) or those missing from the watermark (A4, A5).
 
     The watermark is joined, never collected: a left-anti join scales with
@@ -114,7 +121,7 @@ def select_files(files: DataFrame, bronze: DataFrame | None = None, mode: str =
         return files
     if mode != "incremental":
         raise ValueError(f"mode must be 'full' or 'incremental', got {mode!r}")
-    done = watermark(bronze)
+    done = watermark(bronze, since_date)
     return files.join(done, files["file_name"] == done["ingestion_file"], "left_anti")
 
 
@@ -148,8 +155,7 @@ def decode(files: DataFrame) -> DataFrame:
     content (binary or string).
     """
     doc = F.from_json(C("content").cast("string"), FEED_SCHEMA, JSON_OPTS)
-    d = files.select("file_name", "date", "hour", "length", doc.alias("doc"),
-                     C("content").cast("string").alias("_raw"))
+    d = files.select("file_name", "date", "hour", "length", doc.alias("doc"))
     bad_file = C("doc._corrupt_record").isNotNull()
     exploded = d.select("file_name", "date", "hour", "length", bad_file.alias("_bad_file"),
                         F.posexplode_outer(F.when(~bad_file, C("doc.entity"))).alias("entity_pos", "entity_json"))
@@ -224,20 +230,24 @@ def write_bronze(df: DataFrame, path: str, mode: str = "append", process_date: s
     """Append, full overwrite, or replace one ``ingestion_date`` partition.
 
     Partition replacement uses dynamic partition overwrite (only partitions
-    present in ``df`` are rewritten) after checking that every row belongs
-    to ``process_date``; rows of other dates would silently replace those
-    partitions too.
+    present in ``df`` are rewritten).  Every row is checked against
+    ``process_date`` inside the write job itself: a row of another date
+    raises, the job fails before commit and no partition is touched.  One
+    pass over the data, no separate validation scan.
     """
-    w = df.write.partitionBy("ingestion_date")
+    w_df = df
+    if process_date is not None:
+        target = F.lit(process_date).cast("date")
+        ok = C("ingestion_date").isNotNull() & (C("ingestion_date") == target)
+        w_df = df.withColumn("ingestion_date", F.when(ok, C("ingestion_date")).otherwise(
+            F.raise_error(F.concat(F.lit(f"row outside ingestion_date={process_date}: "),
+                                   F.coalesce(C("ingestion_date").cast("string"), F.lit("NULL"))))))
+    w = w_df.write.partitionBy("ingestion_date")
     if mode == "append":
         w.mode("append").parquet(path)
     elif mode == "overwrite" and process_date is None:
         w.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     elif mode == "overwrite":
-        stray = df.where(~(C("ingestion_date") == F.lit(process_date).cast("date"))
-                         | C("ingestion_date").isNull()).limit(1).count()
-        if stray:
-            raise ValueError(f"rows outside ingestion_date={process_date}; refusing partition overwrite")
         w.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     else:
         raise ValueError(mode)

@@ -18,8 +18,14 @@ def _tmp(spark, name):
 def test_partition_overwrite_refuses_stray_dates(spark):
     files = fixtures.feed_landing(spark, SMOKE)
     rows = B.enrich(B.records(B.decode(files)), "b1")
-    with pytest.raises(ValueError):
-        B.write_bronze(rows, _tmp(spark, "bronze"), "overwrite", process_date="2026-01-10")
+    path = _tmp(spark, "bronze")
+    B.write_bronze(rows, path, "overwrite")
+    before = B.read_bronze(spark, path).groupBy("ingestion_date").count().collect()
+    with pytest.raises(Exception, match="outside ingestion_date"):
+        B.write_bronze(rows.withColumn("batch_id", F.lit("b2")), path, "overwrite", process_date="2026-01-10")
+    # The failed job committed nothing: every partition is as before.
+    assert B.read_bronze(spark, path).groupBy("ingestion_date").count().collect() == before
+    assert B.read_bronze(spark, path).where(F.col("batch_id") == "b2").count() == 0
 
 
 def test_incremental_equals_full_reload(spark):
