@@ -49,7 +49,7 @@ def _positions_stream(spark, sf_dir):
 def q_stream_ingest(spark, sf_dir):
     """Landed snapshot files streamed once each into bronze rows (AvailableNow)."""
     root = _ingest(spark, sf_dir)
-    return spark.read.parquet(f"{root}/bronze").drop("ingestion_file", "batch_id")
+    return spark.read.parquet(f"{root}/bronze").drop("ingestion_file", "batch_id", "micro_batch")
 
 
 @register("stream_quarantine", bronze_sql(

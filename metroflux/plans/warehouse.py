@@ -193,7 +193,9 @@ def materialize(wh: Warehouse, out_dir: str, models: list[str] | None = None,
             for m in wave:
                 write(m)
         for m in wave:
-            out[m] = wh.spark.read.parquet(f"{out_dir.rstrip('/')}/{m}")
+            # Declared schema on read: partition columns keep their types and order.
+            out[m] = (wh.spark.read.schema(frames[m].schema).parquet(f"{out_dir.rstrip('/')}/{m}")
+                      .select(*frames[m].columns))
             # Downstream models read the written table, not the lineage.
             wh.__dict__[m] = out[m]
         remaining = [m for m in remaining if m not in out]

@@ -19,8 +19,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Landing partitions such as hour=08 must stay strings.
-    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # Partition overwrite replaces only the partitions a write touches.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -66,6 +64,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder; a local temp folder is "
+                               "not visible to other executors")
         path = tempfile.mkdtemp(prefix="metroflux-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -14,7 +14,6 @@ message, which is what ``decode`` expects in ``content``.
 
 from __future__ import annotations
 
-import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,6 +55,9 @@ ENTITY_SCHEMA = ("id STRING, vehicle STRUCT<"
                  "current_status: INT, occupancy_status: INT, timestamp: BIGINT>, _corrupt_record STRING")
 JSON_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
 
+# Landing partitions stay strings (hour=08, not 8).
+LANDING_LINE_SCHEMA = "value STRING, date STRING, hour STRING"
+
 MIN_PAYLOAD_BYTES = 100
 MESSAGE_CHARS = 500
 RAW_RECORD_CHARS = 1000
@@ -73,9 +75,14 @@ def discover_files(spark: SparkSession, base_path: str, glob: str = "*.pb", date
     partition directories before any file is opened; without
     ``with_content`` only file metadata is read.
     """
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-          .option("recursiveFileLookup", "false").load(base_path))
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")  # binaryFile takes no schema: keep hour=08 a string
+    try:
+        df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+              .option("recursiveFileLookup", "false").load(base_path))
+    finally:
+        spark.conf.set(key, before)
     if date is not None:
         df = df.where(C("date") == F.lit(date))
     cols = [C("path").alias("full_path"), F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
@@ -91,8 +98,7 @@ def read_landing_lines(spark: SparkSession, base_path: str, date: str | None = N
     ``file_name`` is the landed file; each line is decoded on its own, so a
     file of many snapshots is split across tasks like any text input.
     """
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    df = spark.read.text(base_path)
+    df = spark.read.schema(LANDING_LINE_SCHEMA).text(base_path)
     if date is not None:
         df = df.where(C("date") == F.lit(date))
     return df.select(C("_metadata.file_name").alias("file_name"), "date", "hour",
@@ -364,12 +370,18 @@ def run_log_row(spark: SparkSession, batch_id: str, source_name: str, file_name:
 
 def metadata_row(spark: SparkSession, batch_id: str, job_name: str, job_version: str, status: str,
                  params: dict, layer: str = "BRONZE") -> DataFrame:
-    """One pipeline-metadata row with the run user and JSON parameters."""
-    row = spark.createDataFrame([(batch_id, job_name, job_version, layer, status, json.dumps(params))],
-                                "batch_id string, job_name string, job_version string, layer string, "
-                                "status string, params_json string")
+    """One pipeline-metadata row with the run user and JSON parameters.
+
+    Parameters are rendered by ``to_json(struct(...))``, so quotes inside
+    values are escaped by the JSON writer, not by string pasting.
+    """
+    row = spark.createDataFrame([(batch_id, job_name, job_version, layer, status)],
+                                "batch_id string, job_name string, job_version string, layer string, status string")
+    params_json = F.to_json(F.struct(*[F.lit(None if v is None else str(v)).cast("string").alias(k)
+                                       for k, v in params.items()]))
     return row.select("batch_id", "job_name", "job_version", "layer", "status",
-                      F.current_user().alias("run_by"), F.current_timestamp().alias("run_at"), "params_json")
+                      F.current_user().alias("run_by"), F.current_timestamp().alias("run_at"),
+                      params_json.alias("params_json"))
 
 
 def ingest(spark: SparkSession, files: DataFrame, bronze_path: str, quarantine_path: str,

@@ -13,7 +13,7 @@
                            continuously running jobs (late rows beyond the
                            watermark are dropped, state stays bounded).
 
-Every micro-batch writes under ``.../batch_id=N`` with overwrite, so a
+Every micro-batch writes under ``.../micro_batch=N`` with overwrite, so a
 replayed batch after a failure replaces its own output instead of
 duplicating it.
 """
@@ -33,8 +33,7 @@ C = F.col
 
 def landing_stream(spark: SparkSession, base_path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Stream landed JSON-lines snapshots (``date=/hour=`` folders) as file rows."""
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    r = spark.readStream.format("text")
+    r = spark.readStream.format("text").schema(B.LANDING_LINE_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     df = r.load(base_path)
@@ -43,7 +42,7 @@ def landing_stream(spark: SparkSession, base_path: str, max_files_per_trigger: i
 
 
 def _batch_path(root: str, batch_id: int) -> str:
-    return f"{root.rstrip('/')}/batch_id={batch_id}"
+    return f"{root.rstrip('/')}/micro_batch={batch_id}"
 
 
 def ingest_stream(files: DataFrame, bronze_path: str, quarantine_path: str, checkpoint: str,
@@ -92,7 +91,7 @@ def latest_log_stream(stg_positions: DataFrame, log_path: str, checkpoint: str)
 
 def compact_latest(spark: SparkSession, log_path: str) -> DataFrame:
     """Latest row per (bus, time) over every logged micro-batch."""
-    return silver.latest_positions(spark.read.parquet(log_path).drop("batch_id"))
+    return silver.latest_positions(spark.read.parquet(log_path).drop("micro_batch"))
 
 
 HOURLY_KEYS = ["route_id", "event_date", "event_hour"]

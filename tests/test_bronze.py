@@ -66,8 +66,9 @@ def test_run_log_and_metadata_rows(spark):
                         "it's fine", 12.7).first()
     assert log.error_message == "it's fine"
     assert (log.finished_at - log.started_at).total_seconds() == 12
-    md = B.metadata_row(spark, "b1", "bronze", "2.0", "SUCCESS", {"mode": "full"}).first()
-    assert md.params_json == '{"mode": "full"}' and md.run_by
+    md = B.metadata_row(spark, "b1", "bronze", "2.0", "SUCCESS", {"mode": "full", "note": 'it\'s "x"'}).first()
+    import json
+    assert json.loads(md.params_json) == {"mode": "full", "note": 'it\'s "x"'} and md.run_by
 
 
 def test_landing_files_roundtrip(spark):
