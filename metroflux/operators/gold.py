@@ -192,12 +192,14 @@ def fct_fleet_optimization(stg_positions: DataFrame, stg_weather: DataFrame,
                            min_positions: int = FLEET_MIN_POSITIONS) -> DataFrame:
     """Route x day fleet measures over non-deduplicated positions, HAVING >= 10.
 
-    Weather, snow hours and day type depend on the date only, so they are
-    grouped by without changing the grain.
+    Dominant weather, snow hours and day type depend on the date only, so
+    positions are aggregated per (route, day) first and the one-row-per-day
+    weather context is joined to the aggregates, not to every position row:
+    the join touches routes x days rows instead of all positions.
     """
-    e = enrich_positions(stg_positions, stg_weather)
-    period, occ = C("time_period"), C("occupancy_status")
-    g = e.groupBy("route_id", "event_date", "dominant_weather", "snow_hours", "day_type").agg(
+    p = stg_positions.where(C("occupancy_status").isNotNull())
+    period, occ = X.time_period(C("event_hour")), C("occupancy_status")
+    g = p.groupBy("route_id", "event_date").agg(
         F.count(F.lit(1)).alias("total_positions"),
         F.countDistinct("bus_id").alias("distinct_buses"),
         *X.occupancy_bucket_aggs(occ),
@@ -205,8 +207,16 @@ def fct_fleet_optimization(stg_positions: DataFrame, stg_weather: DataFrame,
         *speed_aggs(),
         *peak_speed_aggs(period, C("speed")),
         *bbox_aggs(),
-    )
-    return g.where(C("total_positions") >= min_positions)
+    ).where(C("total_positions") >= min_positions)
+    w = (weather_day_context(stg_weather)
+         .select(C("observation_date").alias("event_date"), "dominant_weather", "snow_hours"))
+    measures = [c for c in g.columns if c not in ("route_id", "event_date")]
+    return (g.join(w, "event_date", "left")
+            .select("route_id", "event_date",
+                    F.coalesce(C("dominant_weather"), F.lit("Unknown")).alias("dominant_weather"),
+                    F.coalesce(C("snow_hours"), F.lit(0).cast("long")).alias("snow_hours"),
+                    X.day_type(C("event_date")).alias("day_type"),
+                    *measures))
 
 
 def fct_occupancy_by_hour(stg_positions: DataFrame, min_positions: int = HOURLY_MIN_POSITIONS) -> DataFrame:
