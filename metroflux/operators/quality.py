@@ -234,24 +234,22 @@ def orphan_keys(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFr
     return _orphans_per_key(child, parent, fk, pk).select(C("_fk").alias(fk), "rows")
 
 
-def cast_failures(raw: DataFrame, typed: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Rows whose raw string was present but whose typed value is NULL.
-
-    ``raw`` and ``typed`` are one bronze table before and after its staging
-    casts (joined on ``key``).  Used to quarantine malformed values that the
-    safe casts turned into NULL instead of failing the job.
+def cast_failures(raw: DataFrame, casts: dict, key: str, source_table: str) -> DataFrame:
+    """Values present in a bronze table that its staging cast turns into NULL.
+
+    ``casts`` maps column -> the staging cast (Column -> Column).  One scan
+    of the raw table: every row carries an array of per-column checks that
+    ``inline`` unnests, and only failed checks are kept (no join back to
+    the staged rows, no shuffle).  Output rows are quarantine candidates:
+    source_table, record_key, column_name, raw_value.
     """
-    t = typed.select(C(key).alias("_k"), *[C(c).alias(f"_t_{c}") for c in columns])
-    j = raw.join(t, C(key) == C("_k"), "inner")
-    parts = []
-    for c in columns:
-        bad = j.where(C(c).isNotNull() & (F.trim(C(c)) != "") & C(f"_t_{c}").isNull())
-        parts.append(bad.select(C(key).cast("string").alias("record_key"), F.lit(c).alias("column_name"),
-                                C(c).cast("string").alias("raw_value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    checks = F.array(*[
+        F.struct(F.lit(col).alias("column_name"), C(col).cast("string").alias("raw_value"),
+                 (C(col).isNotNull() & (F.trim(C(col)) != "") & fn(C(col)).isNull()).alias("failed"))
+        for col, fn in casts.items()])
+    return (raw.select(F.lit(source_table).alias("source_table"), C(key).cast("string").alias("record_key"),
+                       F.inline(checks))
+            .where(C("failed")).drop("failed"))
 
 
 # ---------------------------------------------------------------------------

@@ -142,3 +142,22 @@ def stg_agency(bronze: DataFrame) -> DataFrame:
         "agency_id", "agency_name", "agency_url", "agency_timezone",
         "agency_lang", "agency_phone", "_source_file", "_ingestion_timestamp",
     )
+
+
+def staging_casts() -> dict:
+    """bronze table -> (record key, {column: staging cast}) for cast-failure reports."""
+    to_int, to_dbl = X.to_int, X.to_double
+    return {
+        "weather": ("observation_time", {
+            "observation_time": X.to_ts, "temperature": to_dbl, "feels_like": to_dbl, "humidity": to_int,
+            "wind_speed": to_dbl, "wind_direction": to_int, "precipitation": to_dbl, "weather_code": to_int}),
+        "gtfs_routes": ("route_id", {"route_type": to_int}),
+        "gtfs_stops": ("stop_id", {"stop_lat": to_dbl, "stop_lon": to_dbl, "location_type": to_int,
+                                   "wheelchair_boarding": to_int}),
+        "gtfs_trips": ("trip_id", {"direction_id": to_int}),
+        "gtfs_stop_times": ("trip_id", {"stop_sequence": to_int, "pickup_type": to_int, "drop_off_type": to_int}),
+        "gtfs_calendar": ("service_id", {**{d: to_int for d in DAYS}, "start_date": X.to_date_fmt,
+                                         "end_date": X.to_date_fmt}),
+        "gtfs_calendar_dates": ("service_id", {"date": X.to_date_fmt, "exception_type": to_int}),
+        "gtfs_shapes": ("shape_id", {"shape_pt_lat": to_dbl, "shape_pt_lon": to_dbl, "shape_pt_sequence": to_int}),
+    }

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import uuid
 
-from metroflux.operators import quality
+from metroflux.operators import quality, staging
 from metroflux.plans import oracle
 from metroflux.plans.registry import _wh, register
 from metroflux.plans.warehouse import GOLD_MODELS, SILVER_MODELS, materialize
@@ -71,3 +71,29 @@ def q_dq_orphan_routes(spark, sf_dir):
 def q_dq_suite(spark, sf_dir):
     """K7: the full 104-assertion suite as one result table with status."""
     return _suite(spark, sf_dir, quality.RULES)
+
+
+_DUCK_CAST = {"to_int": "TRY_CAST({c} AS INTEGER)", "to_double": "TRY_CAST({c} AS DOUBLE)",
+              "to_ts": "TRY_CAST({c} AS TIMESTAMP)", "to_date_fmt": "try_strptime({c}, '%Y%m%d')"}
+
+
+def _cast_failures_sql() -> str:
+    parts = []
+    for table, (key, casts) in staging.staging_casts().items():
+        for col, fn in casts.items():
+            cast = _DUCK_CAST[fn.__name__].format(c=col)
+            parts.append(f"SELECT '{table}' AS source_table, CAST({key} AS VARCHAR) AS record_key, "
+                         f"'{col}' AS column_name, CAST({col} AS VARCHAR) AS raw_value FROM {table} "
+                         f"WHERE {col} IS NOT NULL AND trim({col}) <> '' AND {cast} IS NULL")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("dq_cast_failures", oracle.query(_cast_failures_sql()))
+def q_dq_cast_failures(spark, sf_dir):
+    """Bronze values the staging casts would turn into NULL, for the quarantine."""
+    wh = _wh(spark, sf_dir)
+    out = None
+    for table, (key, casts) in staging.staging_casts().items():
+        part = quality.cast_failures(wh.bronze[table], casts, key, table)
+        out = part if out is None else out.unionByName(part)
+    return out

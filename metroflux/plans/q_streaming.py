@@ -29,7 +29,7 @@ def _root(spark) -> str:
 def _ingest(spark, sf_dir) -> str:
     root = _root(spark)
     fixtures.write_landing(fixtures.feed_landing(spark, sf_dir), f"{root}/landing")
-    files = S.landing_stream(spark, f"{root}/landing", max_files_per_trigger=120)
+    files = S.landing_stream(spark, f"{root}/landing", max_files_per_trigger=360)
     q = S.ingest_stream(files, f"{root}/bronze", f"{root}/quarantine", f"{root}/_chk",
                         loaded_at=F.lit(LOADED_AT).cast("timestamp"))
     S.await_all(q)

@@ -64,7 +64,7 @@ SELECT
   replace(substr(cast(w.h as string), 1, 16), ' ', 'T') AS observation_time,
   cast(-15 + (w.i * 13 % 300) / 10e0 as string) AS temperature,
   cast(-20 + (w.i * 7 % 250) / 10e0 as string) AS feels_like,
-  cast(40 + w.i % 60 as string) AS humidity,
+  CASE WHEN w.i % 97 = 0 THEN 'n/a' ELSE cast(40 + w.i % 60 as string) END AS humidity,
   cast((w.i * 11 % 400) / 10e0 as string) AS wind_speed,
   cast(w.i * 37 % 360 as string) AS wind_direction,
   cast((w.i * 3 % 25) / 10e0 as string) AS precipitation,
@@ -114,7 +114,8 @@ SELECT
   concat('stop-', cast(s_suppkey as string)) AS stop_url,
   '0' AS location_type,
   CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE cast(s_suppkey % 10 as string) END AS parent_station,
-  cast(s_suppkey % 3 as string) AS wheelchair_boarding,
+  CASE WHEN s_suppkey % 11 = 0 THEN 'unknown' WHEN s_suppkey % 7 = 0 THEN ''
+       ELSE cast(s_suppkey % 3 as string) END AS wheelchair_boarding,
   'stops.txt' AS _source_file,
   {LOAD_TS} AS _ingestion_timestamp
 FROM {{supplier}}

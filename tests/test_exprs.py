@@ -189,3 +189,26 @@ def test_sizing_scales_partitions():
     conf = sizing(100 * 10**12, 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) > 300_000
     assert sizing(10**6, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_session_zone_must_be_utc(spark):
+    from metroflux.session import require_utc
+    require_utc(spark)
+    spark.conf.set("spark.sql.session.timeZone", "America/Montreal")
+    try:
+        with pytest.raises(ValueError):
+            require_utc(spark)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_duplicate_weather_hours_fan_out_in_wide_table(spark):
+    rows = [_row("b1", "2026-01-05 15:10:00")]  # 10:10 local
+    stg = staging.stg_vehicle_positions(_positions(spark, rows))
+    routes = spark.createDataFrame([("r1", "k", "1", "One", "Bus", "#FFF")],
+                                   "route_id string, route_key string, route_short_name string, "
+                                   "route_long_name string, route_type_desc string, route_color_hex string")
+    obs = ("2026-01-05T10:00", "1", "1", "50", "1", "1", "0", "71", "d", "f", None, None)
+    w = _weather(spark, [obs, obs])
+    fact = silver.fact_vehicle_positions(stg, routes)
+    assert gold.obt_positions_wide(fact, routes, w).count() == 2

@@ -43,7 +43,9 @@ def test_enforce_raises_only_on_errors(spark):
 
 
 def test_cast_failures_report_bad_strings(spark):
-    raw = spark.createDataFrame([("1", "7"), ("2", "x"), ("3", ""), ("4", None)], "id string, n string")
-    typed = raw.select("id", F.col("n").try_cast("int").alias("n"))
-    bad = Q.cast_failures(raw, typed, "id", ["n"]).collect()
-    assert [(r.record_key, r.raw_value) for r in bad] == [("2", "x")]
+    from metroflux.functions import exprs as X
+    raw = spark.createDataFrame([("1", "7", "20260101"), ("2", "x", "2026-01-01"), ("3", "", ""), ("4", None, None)],
+                                "id string, n string, d string")
+    bad = Q.cast_failures(raw, {"n": X.to_int, "d": X.to_date_fmt}, "id", "t").collect()
+    assert sorted((r.record_key, r.column_name, r.raw_value) for r in bad) == [("2", "d", "2026-01-01"),
+                                                                                 ("2", "n", "x")]
