@@ -248,6 +248,9 @@ def write_bronze(df: DataFrame, path: str, mode: str = "append", process_date: s
         w_df = df.withColumn("ingestion_date", F.when(ok, C("ingestion_date")).otherwise(
             F.raise_error(F.concat(F.lit(f"row outside ingestion_date={process_date}: "),
                                    F.coalesce(C("ingestion_date").cast("string"), F.lit("NULL"))))))
+    if mode == "overwrite" and process_date is None:
+        # A full reload spans many dates: range-cluster so files ~ tasks, not tasks x dates.
+        w_df = w_df.repartitionByRange("ingestion_date")
     w = w_df.write.partitionBy("ingestion_date")
     if mode == "append":
         w.mode("append").parquet(path)

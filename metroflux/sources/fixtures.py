@@ -359,7 +359,9 @@ def write_landing(files: DataFrame, base_path: str) -> None:
     line-oriented landing writer produces; ``bronze.read_landing_lines``
     reads it back.
     """
+    # Cluster by folder first: one file per (date, hour) instead of one per task and folder.
     (files.select(F.col("content").cast("string").alias("value"), "date", "hour")
+     .repartition("date", "hour")
      .write.mode("overwrite").partitionBy("date", "hour").text(base_path))
 
 
