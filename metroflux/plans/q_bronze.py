@@ -242,3 +242,44 @@ def q_bronze_weather_json_load(spark, sf_dir):
     path = f"{checkpoint_dir(spark).rstrip('/')}/weather-{uuid.uuid4().hex}"
     fixtures.write_weather_documents(fixtures.bronze_table(spark, sf_dir, "weather"), path)
     return B.read_weather_json(spark, path).drop("_source_file", "_ingestion_timestamp", "_ingestion_date")
+
+
+@register("bronze_landing_listing", sql("""
+SELECT date, hour, CAST(1 AS BIGINT) AS files, COUNT(*) AS snapshots FROM ev GROUP BY date, hour"""))
+def q_bronze_landing_listing(spark, sf_dir):
+    """A1/A2: landed date=/hour= folders listed with binaryFile, snapshots counted per folder.
+
+    The stand-in writer puts one JSON-lines file in each folder.
+    """
+    base = f"{checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4().hex}"
+    fixtures.write_landing(fixtures.feed_landing(spark, sf_dir), base)
+    files = B.discover_files(spark, base, glob="*.txt").groupBy("date", "hour").agg(
+        F.count(F.lit(1)).alias("files"))
+    lines = B.read_landing_lines(spark, base).groupBy("date", "hour").agg(F.count(F.lit(1)).alias("snapshots"))
+    return files.join(lines, ["date", "hour"], "full")
+
+
+@register("bronze_ingest_run", sql("""
+SELECT 'run-1' AS batch_id, file_count, record_count, error_count,
+  CASE WHEN file_count = 0 THEN 'NO_NEW_FILES'
+       WHEN record_count = 0 AND error_count > 0 THEN 'FAILED'
+       WHEN record_count = 0 THEN 'NO_DATA'
+       WHEN error_count = 0 THEN 'SUCCESS' ELSE 'PARTIAL' END AS status,
+  record_count = 0 AND file_count > 0 AS silent_failure,
+  record_count AS bronze_rows_written, error_count AS quarantine_rows_written
+FROM (SELECT COUNT(*) AS file_count,
+        CAST(SUM(CASE WHEN kind = 'feed' THEN 1 ELSE 0 END) AS BIGINT) AS record_count,
+        CAST(SUM(CASE WHEN kind IN ('corrupt', 'bad_entity') THEN 1 ELSE 0 END) AS BIGINT) AS error_count
+      FROM ev) t"""))
+def q_bronze_ingest_run(spark, sf_dir):
+    """One full ingest batch (decode once, quarantine first, write), its run summary.
+
+    Written row counts are read back from the bronze and quarantine tables.
+    """
+    root = f"{checkpoint_dir(spark).rstrip('/')}/ingest-{uuid.uuid4().hex}"
+    summary = B.ingest(spark, fixtures.feed_landing(spark, sf_dir), f"{root}/bronze", f"{root}/quarantine",
+                       batch_id="run-1", mode="full")
+    written_rows = B.read_bronze(spark, f"{root}/bronze").count()
+    quarantined = spark.read.parquet(f"{root}/quarantine").count()
+    return summary.withColumns({"bronze_rows_written": F.lit(written_rows).cast("long"),
+                                "quarantine_rows_written": F.lit(quarantined).cast("long")})

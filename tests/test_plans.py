@@ -15,7 +15,7 @@ from tests.conftest import SMOKE
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas"]
 SIDE_EFFECTS = ("stream_", "bronze_partition_overwrite", "bronze_gtfs_csv_load", "bronze_weather_json_load",
-                "dq_")
+                "bronze_landing_listing", "bronze_ingest_run", "dq_")
 
 
 def plan(df) -> str:
