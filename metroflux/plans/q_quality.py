@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 import uuid
 
 from metroflux.operators import quality, staging
