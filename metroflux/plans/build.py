@@ -17,13 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metroflux.operators import quality
-from metroflux.plans.warehouse import GOLD_MODELS, SILVER_MODELS, Warehouse, materialize
+from metroflux.plans.warehouse import DATE_PARTITIONS, GOLD_MODELS, SILVER_MODELS, Warehouse, materialize
 from metroflux.session import get_session
 from metroflux.sources import bronze as B
 
-# Date-partitioned facts: readers filtering on dates prune whole folders.
-PARTITIONS = {"fact_vehicle_positions": ["event_date"], "obt_positions_wide": ["event_date"],
-              "fct_occupancy_by_hour": ["event_date"]}
+# Date-partitioned facts: readers filtering on dates prune whole folders, and
+# ``warehouse.refresh_dates`` can replace single dates.
+PARTITIONS = DATE_PARTITIONS
 
 
 def build_all(spark: SparkSession, bronze_root: str, out_dir: str, run_tests: bool = True,

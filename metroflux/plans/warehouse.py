@@ -12,6 +12,7 @@ from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from metroflux.functions.exprs import LOCAL_TZ
 from metroflux.operators import gold, silver, staging
@@ -237,3 +238,53 @@ def publish(wh: Warehouse, default_schema: str, custom: Mapping[str, str] | None
         wh.__dict__[m] = wh.spark.table(f"`{db}`.`{m}`")
         names[m] = f"{db}.{m}"
     return names
+
+
+# Models whose rows depend only on the positions of their own local day.
+DATE_GRAIN_MODELS = ["fact_vehicle_positions", "fct_daily_performance", "fct_fleet_optimization",
+                     "fct_occupancy_by_hour", "obt_positions_wide"]
+DATE_PARTITIONS = {m: ["event_date"] for m in DATE_GRAIN_MODELS}
+
+
+def local_dates_touched(first_ingestion_date: str, last_ingestion_date: str) -> tuple[str, str]:
+    """Local dates whose rows can sit in bronze partitions [first, last] (event-derived UTC dates).
+
+    West of UTC a UTC date also holds the evening of the previous local date,
+    so late partitions [a, b] require refreshing local dates [a - 1, b].
+    """
+    import datetime as dt
+
+    return ((dt.date.fromisoformat(first_ingestion_date) - dt.timedelta(days=1)).isoformat(), last_ingestion_date)
+
+
+def refresh_dates(spark: SparkSession, bronze: Mapping[str, DataFrame], out_dir: str, start: str, end: str,
+                  models=DATE_GRAIN_MODELS, tz: str = LOCAL_TZ) -> dict[str, DataFrame]:
+    """Rebuild the date-grain models for local dates [start, end] and replace only those partitions.
+
+    Exactness: duplicates share (bus, local time), hence one local date, and
+    every measure of these models is per local date, so the rows of a date
+    depend only on positions of that date.  A local date spans two UTC
+    dates, so bronze is read for ingestion_date in [start - 1, end + 1]
+    (partition pruning on the event-derived ingestion date) and results are
+    cut back to [start, end].  Tables must be partitioned by event_date
+    (``materialize(..., partition_by=DATE_PARTITIONS)``); a date that lost all
+    its rows keeps its old partition.
+    """
+    import datetime as dt
+
+    lo = (dt.date.fromisoformat(start) - dt.timedelta(days=1)).isoformat()
+    hi = (dt.date.fromisoformat(end) + dt.timedelta(days=1)).isoformat()
+    window = dict(bronze)
+    window["vehicle_positions"] = bronze["vehicle_positions"].where(
+        F.col("ingestion_date").between(F.lit(lo).cast("date"), F.lit(hi).cast("date")))
+    wh = Warehouse(spark, window, tz=tz)
+    out = {}
+    for name in models:
+        df = (wh.model(name)
+              .where(F.col("event_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+              .repartitionByRange("event_date"))
+        path = f"{out_dir.rstrip('/')}/{name}"
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("event_date").parquet(path))
+        out[name] = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    return out

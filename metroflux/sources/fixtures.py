@@ -13,6 +13,8 @@ name=df)``; the oracle substitutes the view name.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -243,8 +245,14 @@ def bronze_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(build("spark"), **frames)
 
 
-class Bronze:
-    """Lazy accessor for the bronze tables of one driver directory."""
+class Bronze(Mapping):
+    """Lazy mapping of the bronze tables of one driver directory."""
+
+    def __iter__(self):
+        return iter(ADAPTERS)
+
+    def __len__(self) -> int:
+        return len(ADAPTERS)
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
