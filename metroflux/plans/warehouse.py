@@ -188,7 +188,8 @@ def materialize(wh: Warehouse, out_dir: str, models: list[str] | None = None,
                 # contiguous dates (not one file per task and date), and the
                 # sampled ranges split a heavy date over several tasks.
                 df = df.repartitionByRange(*partition_by[name])
-            w = df.write.mode("overwrite")
+            # Full rebuild: static overwrite drops partitions that no longer exist.
+            w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
             if name in partition_by:
                 w = w.partitionBy(*partition_by[name])
             w.parquet(f"{out_dir.rstrip('/')}/{name}")

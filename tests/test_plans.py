@@ -47,3 +47,33 @@ def test_staging_filters_and_columns_reach_the_bronze_scan(spark):
         assert f"IsNotNull({col})" in scan
     read_cols = {c.split("#")[0] for c in re.search(r"FileScan parquet \[([^\]]*)\]", scan).group(1).split(",")}
     assert "bearing" not in read_cols and "source_system" not in read_cols and "occupancy_status" in read_cols
+
+
+def test_refresh_window_prunes_bronze_partitions(spark):
+    from pyspark.sql import functions as F
+    root = f"{checkpoint_dir(spark)}/prune-{uuid.uuid4().hex}"
+    (fixtures.bronze_table(spark, SMOKE, "vehicle_positions").write.partitionBy("ingestion_date")
+     .parquet(f"{root}/vehicle_positions"))
+    bronze = B.read_bronze(spark, f"{root}/vehicle_positions")
+    window = bronze.where(F.col("ingestion_date").between(F.lit("2026-01-09").cast("date"),
+                                                          F.lit("2026-01-14").cast("date")))
+    inputs = dict(fixtures.Bronze(spark, SMOKE))
+    inputs["vehicle_positions"] = window
+    text = plan(Warehouse(spark, inputs).fact_vehicle_positions)
+    scan = [line for line in text.splitlines() if "FileScan parquet" in line][0]
+    assert "PartitionFilters: [isnotnull(ingestion_date" in scan and "ingestion_date" in scan
+
+
+def test_full_rebuild_drops_stale_partitions(spark):
+    from pyspark.sql import functions as F
+
+    from metroflux.plans.warehouse import DATE_PARTITIONS, materialize
+    from metroflux.sources.fixtures import Bronze
+    out = f"{checkpoint_dir(spark)}/rebuild-{uuid.uuid4().hex}"
+    full = Bronze(spark, SMOKE)
+    materialize(Warehouse(spark, full), out, ["fact_vehicle_positions"], partition_by=DATE_PARTITIONS)
+    fewer = dict(full)
+    fewer["vehicle_positions"] = full["vehicle_positions"].where(F.col("ingestion_date") < F.lit("2026-01-15").cast("date"))
+    materialize(Warehouse(spark, fewer), out, ["fact_vehicle_positions"], partition_by=DATE_PARTITIONS)
+    dates = spark.read.parquet(f"{out}/fact_vehicle_positions").agg(F.max("event_date")).first()[0]
+    assert str(dates) <= "2026-01-14"
