@@ -10,10 +10,10 @@ generic-test semantics:
 
 Execution: all not_null / accepted_values rules of one model are answered
 by ONE aggregate pass over that model; unique is one grouped count per
-column; relationships are left-anti joins (the parent side is a dimension,
-so Spark's size check normally broadcasts it).  Results of all rules are a
-single DataFrame (a union of small aggregates), so the whole suite is one
-Spark action.
+column; relationships count child rows per key first (map-side partial
+aggregate) and anti-join only the distinct keys against the parent.
+Results of all rules are a single DataFrame (a union of small aggregates),
+so the whole suite is one Spark action.
 """
 
 from __future__ import annotations

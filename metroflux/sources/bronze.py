@@ -159,6 +159,10 @@ def decode(files: DataFrame) -> DataFrame:
     vehicle), ``empty`` (file without entities), ``RECORD_PARSE_ERROR`` and
     ``FILE_READ_ERROR``.  ``files`` needs file_name, date, hour, length and
     content (binary or string).
+
+    Parsing is two-level on purpose: the document is parsed with entities
+    kept as raw JSON text, then each entity is parsed on its own, so one bad
+    entity is quarantined alone instead of failing its whole snapshot.
     """
     doc = F.from_json(C("content").cast("string"), FEED_SCHEMA, JSON_OPTS)
     d = files.select("file_name", "date", "hour", "length", doc.alias("doc"))
