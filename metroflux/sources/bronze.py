@@ -391,17 +391,31 @@ def metadata_row(spark: SparkSession, batch_id: str, job_name: str, job_version:
                       params_json.alias("params_json"))
 
 
+def _existing_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The bronze table at ``path``, or None when nothing was written yet."""
+    from pyspark.errors import AnalysisException
+    try:
+        return read_bronze(spark, path)
+    except AnalysisException:
+        return None
+
+
 def ingest(spark: SparkSession, files: DataFrame, bronze_path: str, quarantine_path: str,
            batch_id: str | None = None, mode: str = "incremental", process_date: str | None = None,
            existing: DataFrame | None = None) -> DataFrame:
     """Whole bronze batch: select files, decode once, quarantine, write, summarise.
 
+    Incremental mode skips files already present in the bronze table
+    (``existing``, by default the table at ``bronze_path``).
+
     The decoded frame is persisted (a lost block is recomputed from the
     files) because three outputs read it.  Quarantine is written before the
     records so errors survive a failure of the record write.  Returns the
     one-row run summary.
     """
     batch_id = batch_id or uuid.uuid4().hex
+    if mode == "incremental" and existing is None:
+        existing = _existing_table(spark, bronze_path)
     todo = select_files(files, existing, mode)
     decoded = decode(todo).persist()
     try:

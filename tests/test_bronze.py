@@ -59,6 +59,12 @@ def test_ingest_writes_quarantine_and_summary(spark):
     # A second incremental run finds only files that produced no rows.
     again = B.ingest(spark, files, bpath, qpath, batch_id="run2", existing=B.read_bronze(spark, bpath)).first()
     assert again.record_count == 0 and again.status in ("FAILED", "NO_DATA")
+    # Without an explicit table, incremental mode reads the watermark from bronze_path itself.
+    third = B.ingest(spark, files, bpath, qpath, batch_id="run3").first()
+    assert third.record_count == 0 and third.file_count == again.file_count
+    # A first incremental run into an empty location takes every file.
+    fresh = B.ingest(spark, files, _tmp(spark, "b"), _tmp(spark, "q"), batch_id="run4").first()
+    assert fresh.record_count == summary.record_count
 
 
 def test_run_log_and_metadata_rows(spark):
