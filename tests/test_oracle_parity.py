@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as E
+from metroflux.plans import registry
 from tests.conftest import SMOKE
 from tests.oracle_check import compare, duck
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
