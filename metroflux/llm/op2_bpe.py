@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from metroflux.llm.common import map_rows, tokenizer_path
+from metroflux.llm.tokens import byte_characters
 
 VOCABULARY = "word_bpe_49k.json"
 #: Entries of the per-worker chunk table (emptied when full) and longest chunk kept in it.
@@ -46,13 +47,6 @@ RARE = regex.compile(rf"[{LIBRARY_FROM}-\U0010ffff]")
 CONTROL = regex.compile(r"[\x1c-\x1f]")
 
 
-def byte_characters() -> list[str]:
-    """The printable stand-in of each byte: itself where printable, else the next free one from U+0100."""
-    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    free = iter(range(0x100, 0x200))
-    return [chr(b) if b in plain else chr(next(free)) for b in range(256)]
-
-
 class IntTable:
     """A fixed map from non-negative integers to integers with array lookups (open addressing)."""
 
