@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metroflux.llm import op2_bpe
+from metroflux.llm import op2_bpe, op3_packing, op5_quality, op7_token_counts
 from metroflux.llm.common import read_table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -17,9 +17,27 @@ def op2_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_bpe.digests(read_table(spark, sf_dir, "documents"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces packed into sequences of 2048 tokens."""
+    return op3_packing.pack(read_table(spark, sf_dir, "documents"))
+
+
+def op5_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word, line and compression measures of every text, with the verdict."""
+    return op5_quality.quality(read_table(spark, sf_dir, "documents"))
+
+
+def op7_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every text before and after a revision, re-encoding only what it touches."""
+    return op7_token_counts.counts(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Builder]:
     return {
         "op2_bpe_encode_decode": op2_bpe_encode_decode,
+        "op3_best_fit_packing": op3_best_fit_packing,
+        "op5_compression_bands": op5_compression_bands,
+        "op7_edit_token_counts": op7_edit_token_counts,
     }
 
 
