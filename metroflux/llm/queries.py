@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metroflux.llm import op2_bpe, op3_packing, op5_quality, op7_token_counts
+from metroflux.llm import op2_bpe, op3_packing, op4_minhash, op5_quality, op7_token_counts
 from metroflux.llm.common import read_table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,11 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op4_hamming_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return op4_minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op5_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word, line and compression measures of every text, with the verdict."""
     return op5_quality.quality(read_table(spark, sf_dir, "documents"))
@@ -36,6 +41,7 @@ def queries() -> dict[str, Builder]:
     return {
         "op2_bpe_encode_decode": op2_bpe_encode_decode,
         "op3_best_fit_packing": op3_best_fit_packing,
+        "op4_hamming_near_dedup": op4_hamming_near_dedup,
         "op5_compression_bands": op5_compression_bands,
         "op7_edit_token_counts": op7_edit_token_counts,
     }
