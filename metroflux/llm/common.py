@@ -6,6 +6,7 @@ import os
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,3 +91,47 @@ def connected_components(edges: DataFrame, label: str = "components", max_rounds
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each run of equal ``keys`` in a sorted stream; runs are bounded, so is what is held."""
+    held: list[pa.Table] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        if held:
+            table = pa.concat_tables([*held, table]).combine_chunks()
+        change = np.zeros(table.num_rows, bool)
+        for k in keys:
+            c = table.column(k).to_numpy()
+            change[1:] |= c[1:] != c[:-1]
+        at = [0, *np.flatnonzero(change).tolist()]
+        for a, b in zip(at, at[1:]):
+            yield table.slice(a, b - a)
+        held = [table.slice(at[-1])]
+    yield from held
+
+
+def deal_blocks(rows: DataFrame, key: str, block: int) -> DataFrame:
+    """Deals each key's rows into cells that together compare own rows with others, and others with others.
+
+    ``rows`` has ``key``, ``id`` and ``own`` (boolean).  Cells are numbered by kind, i, j: kind 0 holds
+    block i of the own rows and block j of the others, kind 1 blocks i and j of the others.  A block has
+    about ``block`` rows, so no cell grows with its key; keys without others are dropped.  The result is
+    partitioned and sorted by the cell.
+    """
+    own = F.col("own")
+    sizes = (rows.groupBy(key).agg(F.count_if(own).alias("n_own"), F.count_if(~own).alias("n_other"))
+             .where("n_other > 0").select(key, F.ceil(F.col("n_own") / block).cast("int").alias("g"),
+                                          F.ceil(F.col("n_other") / block).cast("int").alias("h")))
+    g, h = F.col("g"), F.col("h")
+    mine = F.pmod(F.xxhash64("id"), F.greatest(F.when(own, g).otherwise(h), F.lit(1))).cast("int")
+    cell = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
+    others = F.sequence(F.lit(0), h - 1)
+    cells = F.when(own, F.transform(others, lambda q: cell(0, mine, q))).otherwise(F.concat(
+        F.when(g > 0, F.transform(F.sequence(F.lit(0), F.greatest(g - 1, F.lit(0))), lambda p: cell(0, p, mine)))
+        .otherwise(F.slice(F.transform(others, lambda q: cell(0, mine, q)), 1, 0)),
+        F.transform(others, lambda q: cell(1, F.least(mine, q), F.greatest(mine, q)))))
+    return (rows.join(sizes, key).withColumn("cell", F.explode(cells)).select(*rows.columns, "cell.kind", "cell.i", "cell.j")
+            .repartition(key, "kind", "i", "j").sortWithinPartitions(key, "kind", "i", "j"))

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from metroflux.llm.common import connected_components, map_rows, stage
+from metroflux.llm.common import connected_components, deal_blocks, map_rows, runs, stage
 
 WORDS, PERCENT = 5, 85
 SYMBOLS, BITS, CHUNKS, DISTANCE = 64, 16, 12, 23
@@ -111,7 +111,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             at = np.concatenate([[0], np.cumsum(size[some])[:-1]])
             for k in range(SYMBOLS):
                 sig[some, k] = mix(np.minimum.reduceat(flat * SCALE[k] + SHIFT[k], at)) >> np.uint64(64 - BITS)
-        ends = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+        ends = list(map(set_digest, sets))
         pair = np.frombuffer(b"".join(ends), "<i8").reshape(-1, 2)
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(size), pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy()),
@@ -121,6 +121,20 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return map_rows(src, run, "doc_id long, n_shingles long, set_a long, set_b long, sig binary")
 
 
+def set_digest(hashes: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(hashes.tobytes())
+
+
+def own_texts(rows: DataFrame) -> DataFrame:
+    """(id, text) of the ``rows`` (id, set_a, set_b, text) whose text has that set: an id may repeat with other texts."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        want = [np.array(x, "<i8").tobytes() for x in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+        same = [set_digest(shingles(t)) == w for t, w in zip(batch.column(3).to_pylist(), want)]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(3)], ["id", "text"]).filter(pa.array(same, pa.bool_()))
+
+    return map_rows(rows.select("id", "set_a", "set_b", "text"), run, "id long, text string")
+
+
 def unpack(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, SYMBOLS)
 
@@ -178,62 +192,27 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return map_rows(both, run, "a long, b long", rows=256)
 
 
-def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """The rows of each run of equal ``keys`` in a sorted stream; runs are bounded, so is what is held."""
-    held: list[pa.Table] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([batch])
-        if held:
-            table = pa.concat_tables([*held, table]).combine_chunks()
-        change = np.zeros(table.num_rows, bool)
-        for k in keys:
-            c = table.column(k).to_numpy()
-            change[1:] |= c[1:] != c[:-1]
-        at = [0, *np.flatnonzero(change).tolist()]
-        for a, b in zip(at, at[1:]):
-            yield table.slice(a, b - a)
-        held = [table.slice(at[-1])]
-    yield from held
-
-
 def across(rows: DataFrame) -> DataFrame:
     """Pairs within the distance from different components under one key; ``rows`` has key, id, component, sig.
 
-    The rows of a key's largest component are dealt over blocks that meet blocks
-    of the others; the others' blocks meet each other.  A block side has about BLOCK rows.
+    A key's largest component meets only the other rows, in blocks of bounded size.
     """
-    sizes = (rows.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key")
-             .agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("n"))
-             .select("key", F.col("top.component").alias("largest"),
-                     F.ceil(F.col("top.n") / BLOCK).cast("int").alias("g"),
-                     F.ceil((F.col("n") - F.col("top.n")) / BLOCK).cast("int").alias("h")).where("h > 0"))
-    g, h, own = F.col("g"), F.col("h"), F.col("component") == F.col("largest")
-    block = F.pmod(F.xxhash64("id"), F.when(own, g).otherwise(h)).cast("int")
-    cell = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
-    others = F.sequence(F.lit(0), h - 1)
-    cells = F.when(own, F.transform(others, lambda q: cell(0, block, q))).otherwise(F.concat(
-        F.transform(F.sequence(F.lit(0), g - 1), lambda p: cell(0, p, block)),
-        F.transform(others, lambda q: cell(1, F.least(block, q), F.greatest(block, q)))))
-    dealt = (rows.join(sizes, "key").select("key", "id", "component", "sig", own.alias("own"), F.explode(cells).alias("cell"))
-             .select("key", "cell.kind", "cell.i", "cell.j", "id", "component", "sig", "own")
-             .repartition("key", "kind", "i", "j").sortWithinPartitions("key", "kind", "i", "j"))
+    largest = (rows.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key")
+               .agg(F.max(F.struct("n", "component"))["component"].alias("largest")))
+    dealt = deal_blocks(rows.join(largest, "key").withColumn("own", F.col("component") == F.col("largest"))
+                        .drop("largest"), "key", BLOCK)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in runs(batches, ["key", "kind", "i", "j"]):
             sig, ids, comp = unpack(t.column("sig")), t.column("id").to_numpy(), t.column("component").to_numpy()
             own = t.column("own").to_numpy()
             left = np.flatnonzero(own) if t.column("kind")[0].as_py() == 0 else np.arange(len(ids))
-            right = np.flatnonzero(~own)
-            found = [(np.empty(0, np.int64), np.empty(0, np.int64))]
-            for r in right.tolist():
+            for r in np.flatnonzero(~own).tolist():
                 some = left[comp[left] != comp[r]]
                 some = some[(sig[some] != sig[r]).sum(1) <= DISTANCE]
-                found.append((ids[some], np.full(len(some), ids[r])))
-            a, b = (np.concatenate(x) for x in zip(*found))
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+                if len(some):
+                    a, b = ids[some], np.full(len(some), ids[r])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
@@ -244,33 +223,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sigs = stage(signatures(source), "minhash-signatures")
     classes = stage(sigs.where("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b")
                     .agg(F.min(F.struct("doc_id", "sig")).alias("least"))
-                    .select("set_a", "set_b", F.col("least.doc_id").alias("id"), F.col("least.sig").alias("sig")),
-                    "minhash-classes")
+                    .select("set_a", "set_b", F.monotonically_increasing_id().alias("id"),
+                            F.col("least.doc_id").alias("first"), F.col("least.sig").alias("sig")), "minhash-classes")
     keyed = index(classes)
     stars = keyed.groupBy("key").agg(F.min("id").alias("least"), F.count("*").alias("n")).where("n > 1")
     shared = stage(keyed.join(stars.drop("n"), "key"), "minhash-shared")
-    # Texts of classes that share a key with another: all that any confirmation below reads.
-    met = shared.select("id").distinct()
-    texts = stage(source.join(met, source["doc_id"] == met["id"]).select("id", "text").dropDuplicates(["id"]), "minhash-texts")
+    # Texts of the classes that share a key with another: all that any confirmation below reads.
+    met = shared.select("id").distinct().join(classes.select("id", "first", "set_a", "set_b"), "id")
+    texts = stage(own_texts(source.join(met, source["doc_id"] == met["first"]).dropDuplicates(["doc_id", "id", "text"])),
+                  "minhash-texts")
 
     first = stage(confirmed(near(shared.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b"))
                                  .distinct(), classes), texts), "minhash-links")
-    grouped = stage(connected_components(first, "minhash-components"), "minhash-groups")
-    held = (shared.select("key", "id").join(grouped.withColumnRenamed("node", "id"), "id", "left")
-            .withColumn("component", F.coalesce("component", "id")))
+    grouped = connected_components(first, "minhash-components")
+    held = stage(shared.select("key", "id").join(grouped.withColumnRenamed("node", "id"), "id", "left")
+                 .withColumn("component", F.coalesce("component", "id")), "minhash-held")
     mixed = (held.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .where("low <> high").select("key"))
-    open_rows = held.join(mixed, "key").join(classes.select("id", "sig"), "id")
-    second = stage(confirmed(across(open_rows), texts), "minhash-links")
+    second = stage(confirmed(across(held.join(mixed, "key").join(classes.select("id", "sig"), "id")), texts), "minhash-links")
 
-    links = first.union(second)
-    components = connected_components(links, "minhash-components")
-    of_set = (classes.select("set_a", "set_b", "id")
+    components = connected_components(first.union(second), "minhash-components")
+    of_set = (classes.select("set_a", "set_b", "id", "first")
               .join(components.withColumnRenamed("node", "id"), "id", "left")
-              .select("set_a", "set_b", F.coalesce("component", "id").alias("class")))
+              .withColumn("component", F.coalesce("component", "id")))
+    least = of_set.groupBy("component").agg(F.min("first").alias("least"))
+    of_set = of_set.join(least, "component").select("set_a", "set_b", "least")
     return (sigs.join(of_set, ["set_a", "set_b"], "left")
             .select("doc_id", "n_shingles",
-                    F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("class"))
+                    F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("least"))
                     .otherwise(F.col("doc_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
