@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metroflux.llm import op2_bpe, op3_packing, op4_minhash, op5_quality, op7_token_counts
+from metroflux.llm import op2_bpe, op3_packing, op4_minhash, op5_quality, op6_embedding_dedup, op7_token_counts
 from metroflux.llm.common import read_table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,11 @@ def op5_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_quality.quality(read_table(spark, sf_dir, "documents"))
 
 
+def op6_sorted_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings."""
+    return op6_embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op7_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every text before and after a revision, re-encoding only what it touches."""
     return op7_token_counts.counts(read_table(spark, sf_dir, "documents"))
@@ -43,6 +48,7 @@ def queries() -> dict[str, Builder]:
         "op3_best_fit_packing": op3_best_fit_packing,
         "op4_hamming_near_dedup": op4_hamming_near_dedup,
         "op5_compression_bands": op5_compression_bands,
+        "op6_sorted_projections": op6_sorted_projections,
         "op7_edit_token_counts": op7_edit_token_counts,
     }
 
