@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metroflux.llm import op2_bpe, op3_packing, op4_minhash, op5_quality, op6_embedding_dedup, op7_token_counts
+from metroflux.llm import op1_language, op2_bpe, op3_packing, op4_minhash, op5_quality, op6_embedding_dedup, op7_token_counts
 from metroflux.llm.common import read_table
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by the string-kernel classifier."""
+    return op1_language.identify(read_table(spark, sf_dir, "documents"))
+
+
 def op2_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text by speculate-and-verify BPE, decoded back, as digests."""
     return op2_bpe.digests(read_table(spark, sf_dir, "documents"))
@@ -44,6 +49,7 @@ def op7_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Builder]:
     return {
+        "op1_language_kernel": op1_language_kernel,
         "op2_bpe_encode_decode": op2_bpe_encode_decode,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op4_hamming_near_dedup": op4_hamming_near_dedup,
