@@ -12,12 +12,13 @@ meets under some key.
 What meets is not paired all against all:
 
 1. Texts of one shingle set are one class; only its smallest id goes on.
-2. Under each key all are compared with the smallest id there (a star), first by
-   signature, then on full shingle sets; confirmed links give components.
+2. Each class is compared with the smallest class it meets under any key (a star),
+   first by signature, then on full shingle sets; confirmed links give components.
 3. Keys that still hold several components get every pair of different components
    compared by signature, in blocks of bounded size; the rows of the largest
    component meet only the others, so a group of near copies costs its size times
-   the number of its strangers.  What passes is confirmed on full sets.
+   the number of its strangers.  A pair is taken up under the first key that its
+   signatures share, once in all, and what passes is confirmed on full sets.
 
 Every pair within the signature distance is thus confirmed, rejected, or already
 in one component.
@@ -146,6 +147,14 @@ def chunk_keys(sig: np.ndarray) -> np.ndarray:
     return mix(np.add.reduceat(term, starts, axis=1)[:, CHUNK_OF] - term + OF_KEY).view(np.int64)
 
 
+def first_shared(differs: np.ndarray) -> np.ndarray:
+    """The first key that two signatures share, from where they differ; every pair within DISTANCE shares one."""
+    starts = np.flatnonzero(np.diff(CHUNK_OF, prepend=-1))
+    chunk = (np.add.reduceat(differs, starts, axis=1, dtype=np.int64) <= 1).argmax(1)
+    inside = differs & (CHUNK_OF == chunk[:, None])
+    return np.where(inside.any(1), inside.argmax(1), starts[chunk])
+
+
 def index(classes: DataFrame) -> DataFrame:
     """(key, id) rows of every class."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -205,11 +214,14 @@ def across(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in runs(batches, ["key", "kind", "i", "j"]):
             sig, ids, comp = unpack(t.column("sig")), t.column("id").to_numpy(), t.column("component").to_numpy()
-            own = t.column("own").to_numpy()
+            own, key = t.column("own").to_numpy(), t.column("key")[0].as_py()
             left = np.flatnonzero(own) if t.column("kind")[0].as_py() == 0 else np.arange(len(ids))
             for r in np.flatnonzero(~own).tolist():
                 some = left[comp[left] != comp[r]]
-                some = some[(sig[some] != sig[r]).sum(1) <= DISTANCE]
+                differs = sig[some] != sig[r]
+                near = differs.sum(1) <= DISTANCE
+                some = some[near]
+                some = some[chunk_keys(sig[r:r + 1])[0][first_shared(differs[near])] == key] if len(some) else some
                 if len(some):
                     a, b = ids[some], np.full(len(some), ids[r])
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
@@ -233,8 +245,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = stage(own_texts(source.join(met, source["doc_id"] == met["first"]).dropDuplicates(["doc_id", "id", "text"])),
                   "minhash-texts")
 
-    first = stage(confirmed(near(shared.where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b"))
-                                 .distinct(), classes), texts), "minhash-links")
+    star = shared.where("id <> least").groupBy("id").agg(F.min("least").alias("a")).withColumnRenamed("id", "b")
+    first = stage(confirmed(near(star.select("a", "b"), classes), texts), "minhash-links")
     grouped = connected_components(first, "minhash-components")
     held = stage(shared.select("key", "id").join(grouped.withColumnRenamed("node", "id"), "id", "left")
                  .withColumn("component", F.coalesce("component", "id")), "minhash-held")
