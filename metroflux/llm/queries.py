@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metroflux.llm import op1_language, op10_sharding, op2_bpe, op3_packing, op4_minhash, op5_quality, op6_embedding_dedup, op7_token_counts
+from metroflux.llm import op1_language, op10_sharding, op2_bpe, op3_packing, op4_minhash, op5_quality, op6_embedding_dedup, op7_token_counts, op8_pii
 from metroflux.llm.common import read_table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,11 @@ def op7_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_token_counts.counts(read_table(spark, sf_dir, "documents"))
 
 
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal data replaced by surrogates."""
+    return op8_pii.report(read_table(spark, sf_dir, "documents"))
+
+
 def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents dealt over 8 shards along a Hilbert curve."""
     return op10_sharding.sharded(read_table(spark, sf_dir, "documents"))
@@ -61,6 +66,7 @@ def queries() -> dict[str, Builder]:
         "op5_compression_bands": op5_compression_bands,
         "op6_sorted_projections": op6_sorted_projections,
         "op7_edit_token_counts": op7_edit_token_counts,
+        "op8_surrogates": op8_surrogates,
         "op10_hilbert_shards": op10_hilbert_shards,
     }
 
