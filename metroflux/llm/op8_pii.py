@@ -34,7 +34,7 @@ KEY = "surrogates-1"
 EMAIL = r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]{1,64}+@[\p{L}\p{N}](?:[\p{L}\p{N}\-]{0,62}\.){1,8}\p{L}{2,24}"
 WORDS_OF_SECRETS = "token|secret|api[_-]?key|access[_-]?key|password|passwd|pwd"
 BEFORE_SECRET = rf"""(?i:{WORDS_OF_SECRETS})["']?\s{{0,3}}[:=]\s{{0,3}}["']?"""
-SECRET = (rf"{BEFORE_SECRET}[A-Za-z0-9+/_\-.]{{8,512}}={{0,2}}"
+SECRET = (rf"{BEFORE_SECRET}[A-Za-z0-9][A-Za-z0-9+/_\-.]{{7,511}}={{0,2}}"
           r"|\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9\-]{20,}|xox[abp]-[A-Za-z0-9\-]{10,})"
           r"|\b(?=[0-9]{0,63}[a-f])[0-9a-f]{32,64}\b")
 IBAN = r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"
@@ -109,7 +109,7 @@ def reshaped(text: Column, numbers: Column) -> Column:
 
     chars = F.filter(F.split(text, ""), lambda c: c != "")
     enough = F.slice(numbers, 1, F.size(chars))
-    return F.array_join(F.when(text.rlike(r"^[0-9a-f]{16,}$"), F.transform(enough, lambda n: F.lower(F.hex(n % 16))))
+    return F.array_join(F.when(text.rlike(r"^(?=.*[a-f])[0-9a-f]{16,}$"), F.transform(enough, lambda n: F.lower(F.hex(n % 16))))
                         .otherwise(F.zip_with(chars, enough, one)), "")
 
 
@@ -129,6 +129,8 @@ def with_surrogate(entities: DataFrame, attempt: int, key: str) -> DataFrame:
     kind, entity, gender, plain = (F.col(c) for c in ("kind", "entity", "gender", "plain"))
     at = lambda i: F.element_at("numbers", i)
     # An address keeps its top-level domain, a card its first digit and whether its check digit holds.
+    # Short ones grow after two attempts, so that there is always a free surrogate.
+    grown = (at(5) % 9000 + 1000).cast("string") if attempt > 1 else F.lit("")
     tail = F.regexp_extract(entity, r"\.\p{L}{2,24}$", 0)
     email = F.concat(F.substr(plain, F.lit(1), F.length(entity) - F.length(tail)), tail)
     ip = F.concat_ws(".", *[(at(i) % 254 + 1).cast("string") for i in (1, 2, 3, 4)])
@@ -144,10 +146,10 @@ def with_surrogate(entities: DataFrame, attempt: int, key: str) -> DataFrame:
             .withColumn("body", F.when(kind == "card", body))
             .withColumn("check", F.when(kind == "card", F.pmod(F.lit(10) - check_sum(F.concat("body", F.lit("0"))), F.lit(10))))
             .withColumn("sound", F.when(kind == "card", check_sum(entity) == 0))
-            .withColumn("surrogate", F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card)
+            .withColumn("surrogate", F.when(kind == "email", F.concat(grown, email)).when(kind == "ip", ip).when(kind == "card", card)
                         .when((kind == "name") & entity.rlike(r"^[\p{IsLatin}-]+$"), latin)
                         .when(kind == "iban", F.concat(F.substring(entity, 1, 2), F.substr(plain, F.lit(3), F.length(entity))))
-                        .otherwise(plain))
+                        .when(kind == "secret", F.concat(plain, grown)).otherwise(plain))
             .drop("numbers", "plain", "body", "check", "sound"))
 
 
