@@ -202,8 +202,11 @@ def mentions(found: DataFrame) -> DataFrame:
                     identity(F.col("kind"), F.col("value.mention")).alias("entity")))
 
 
-def replace(docs: DataFrame, text_col: str = "text", key: str = KEY) -> DataFrame:
-    """``docs`` with every entity of the text column replaced; all columns and their order are kept."""
+def replace(docs: DataFrame, text_col: str = "text", key: str = KEY, length_col: str | None = None) -> DataFrame:
+    """``docs`` with every entity of the text column replaced; all columns and their order are kept.
+
+    ``length_col`` names a column of text lengths, which follows the change.
+    """
     cols, text = docs.columns, docs[text_col]
     held = docs.select(F.struct(*[docs[c] for c in cols]).alias("held"), text.cast("string").alias("text"))
     hint = F.coalesce(F.col("text").rlike(HINT), F.lit(False))
@@ -222,7 +225,15 @@ def replace(docs: DataFrame, text_col: str = "text", key: str = KEY) -> DataFram
     # The text between matches stands before the first part of each.
     pieces = F.transform("new", lambda m: F.concat(F.when(m["part"] == 0, F.element_at("parts", m["at"] + 1)).otherwise(F.lit("")), m["new"]))
     renewed = found.join(filled, "row").withColumn("text", F.concat(F.array_join(pieces, ""), F.element_at("parts", -1)))
-    out = [F.col("text").alias(c) if c == text_col else F.col(f"held.`{c}`").alias(c) for c in cols]
+    change = (F.length("text") - F.length(F.col(f"held.`{text_col}`").cast("string"))).cast("long")
+
+    def renewed_column(c: str) -> Column:
+        if c == text_col:
+            return F.col("text").alias(c)
+        old = F.col(f"held.`{c}`")
+        return ((old + change).cast(docs.schema[c].dataType) if c == length_col else old).alias(c)
+
+    out = [renewed_column(c) for c in cols]
     return renewed.select(*out).unionByName(held.where(none).select("held.*"))
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metroflux.llm import op1_language, op10_sharding, op2_bpe, op3_packing, op4_minhash, op5_quality, op6_embedding_dedup, op7_token_counts, op8_pii
+from metroflux.llm import op1_language, op10_sharding, op2_bpe, op3_packing, op4_minhash, op5_quality, op6_embedding_dedup, op7_token_counts, op8_pii, op9_html
 from metroflux.llm.common import read_table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,11 @@ def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_pii.report(read_table(spark, sf_dir, "documents"))
 
 
+def op9_consensus_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page at its host's winning container path."""
+    return op9_html.main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents dealt over 8 shards along a Hilbert curve."""
     return op10_sharding.sharded(read_table(spark, sf_dir, "documents"))
@@ -67,6 +72,7 @@ def queries() -> dict[str, Builder]:
         "op6_sorted_projections": op6_sorted_projections,
         "op7_edit_token_counts": op7_edit_token_counts,
         "op8_surrogates": op8_surrogates,
+        "op9_consensus_paths": op9_consensus_paths,
         "op10_hilbert_shards": op10_hilbert_shards,
     }
 
