@@ -175,6 +175,11 @@ def to_ts(c: Column) -> Column:
     return c.try_cast("timestamp")
 
 
+def finite(c: Column) -> Column:
+    """The number, or NULL for NaN and infinities (NaN compares above all numbers)."""
+    return F.when(F.abs(c) < F.lit(float("inf")), c)
+
+
 def to_date_fmt(c: Column, fmt: str = "yyyyMMdd") -> Column:
     return F.try_to_date(c, fmt)
 

@@ -269,11 +269,12 @@ def fct_route_analytics(fact_trips: DataFrame, fact_stop_times: DataFrame) -> Da
     """Per route with outbound trips: trips by direction, stops, avg max sequence.
 
     The outbound/inbound self-join is one pivoting aggregate; routes without
-    an outbound trip are dropped, as the outbound-driven join does.
+    an outbound trip are dropped, as the outbound-driven join does, and trips
+    without a route match no inbound trips, as equality on NULL does.
     """
     td = trips_by_direction(fact_trips).groupBy("route_id").agg(
         F.max(F.when(C("direction_label") == "Outbound", C("total_trips"))).alias("out_trips"),
-        F.max(F.when(C("direction_label") == "Inbound", C("total_trips"))).alias("in_trips"),
+        F.max(F.when((C("direction_label") == "Inbound") & C("route_id").isNotNull(), C("total_trips"))).alias("in_trips"),
     ).where(C("out_trips").isNotNull())
     stops = route_stop_measures(fact_stop_times)
     out = F.coalesce(C("out_trips"), F.lit(0).cast("long"))

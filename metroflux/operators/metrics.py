@@ -55,13 +55,13 @@ def recommendation(over_rate: Column, under_rate: Column, am_rate: Column, pm_ra
             .otherwise(F.lit("Optimal")))
 
 
-def _fleet_level(fleet: DataFrame, keys: list[str]) -> DataFrame:
-    g = fleet.groupBy(*keys).agg(
+def _fleet_level(fleet: DataFrame, keys: list[str], more: tuple[Column, ...] = (), names: tuple[str, ...] = ()) -> DataFrame:
+    g = fleet.groupBy(*keys).agg(*more,
         *additive_sums(("total_positions", "overcrowded_count", "underused_count", "am_peak_count",
                         "am_peak_overcrowded_count", "pm_peak_count", "pm_peak_overcrowded_count")))
     am = X.ratio(C("am_peak_overcrowded_count"), C("am_peak_count"))
     pm = X.ratio(C("pm_peak_overcrowded_count"), C("pm_peak_count"))
-    return g.select(*keys, "total_positions", "overcrowded_count", "underused_count", *rates(),
+    return g.select(*keys, *names, "total_positions", "overcrowded_count", "underused_count", *rates(),
                     am.alias("am_peak_rate"), pm.alias("pm_peak_rate"),
                     recommendation(X.ratio(C("overcrowded_count"), C("total_positions")),
                                    X.ratio(C("underused_count"), C("total_positions")), am, pm)
@@ -182,8 +182,7 @@ def corridor_rollup(fleet: DataFrame, corridors: DataFrame) -> DataFrame:
     """
     m = corridors.select("route_id", "corridor")
     f = fleet.join(m, "route_id", "left").withColumn("corridor", F.coalesce(C("corridor"), C("route_id")))
-    routes = f.groupBy("corridor").agg(F.countDistinct("route_id").alias("routes"))
-    return _fleet_level(f, ["corridor"]).join(routes, "corridor")
+    return _fleet_level(f, ["corridor"], (F.countDistinct("route_id").alias("routes"),), ("routes",))
 
 
 def service_frequency(route_analytics: DataFrame) -> DataFrame:

@@ -252,6 +252,15 @@ def cast_failures(raw: DataFrame, casts: dict, key: str, source_table: str) -> D
             .where(C("failed")).drop("failed"))
 
 
+def non_finite(raw: DataFrame, column: str, key: str, source_table: str) -> DataFrame:
+    """NaN and infinite values of a double column, which staging turns into NULL; columns of ``cast_failures``."""
+    value = C(column)
+    name = F.when(F.isnan(value), "NaN").when(value > 0, "Infinity").otherwise("-Infinity")
+    return (raw.where(value.isNotNull() & ~F.coalesce(F.abs(value) < F.lit(float("inf")), F.lit(False)))
+            .select(F.lit(source_table).alias("source_table"), C(key).cast("string").alias("record_key"),
+                    F.lit(column).alias("column_name"), name.alias("raw_value")))
+
+
 # ---------------------------------------------------------------------------
 # Oracle text of the same rules (plain SQL per rule).
 # ---------------------------------------------------------------------------

@@ -142,21 +142,17 @@ def dim_date(spark: SparkSession, start=DATE_SPINE_START, end=DATE_SPINE_END,
     return spine.select(*dim_date_columns(C("date_key"), as_of_c, fiscal_start_month))
 
 
-def dim_date_covering(spark: SparkSession, event_dates: DataFrame, date_col: str = "event_date",
-                      start=DATE_SPINE_START, end=DATE_SPINE_END,
-                      fiscal_start_month: int = FISCAL_START_MONTH) -> DataFrame:
-    """Date dimension over the configured window, widened to every event date.
-
-    The window bounds and ``as_of`` (the latest event date) come from one
-    min/max aggregate over the facts, so every fact date has a dimension row
-    and the relative columns follow the data rather than the wall clock.
+def dim_date_as_of_events(events: DataFrame, date_col: str = "event_date", start=DATE_SPINE_START, end=DATE_SPINE_END,
+                          fiscal_start_month: int = FISCAL_START_MONTH) -> DataFrame:
+    """Date dimension over the configured window, as of the latest event date inside it.
+
+    Events outside the window have no dimension row, so the relationship rules on
+    event dates report them, and a bad future date does not move the relative
+    columns.  Without an event in the window the current date is taken.
     """
-    bounds = event_dates.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
-    spine = bounds.select(
-        F.explode(F.sequence(F.least(C("lo"), F.lit(start).cast("date")),
-                             F.greatest(C("hi"), F.lit(end).cast("date")),
-                             F.expr("INTERVAL 1 DAY"))).alias("date_key"),
-        C("hi").alias("as_of"))
+    lo, hi = F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")
+    as_of = events.where(C(date_col).between(lo, hi)).agg(F.coalesce(F.max(date_col), F.current_date()).alias("as_of"))
+    spine = as_of.select(F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 DAY"))).alias("date_key"), "as_of")
     return spine.select(*dim_date_columns(C("date_key"), C("as_of"), fiscal_start_month))
 
 

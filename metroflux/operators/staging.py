@@ -17,7 +17,7 @@ C = F.col
 
 
 def stg_vehicle_positions(bronze: DataFrame, tz: str = X.LOCAL_TZ, keep_utc: bool = False) -> DataFrame:
-    """Required ids/coords kept, speed to km/h, UTC instant to local time.
+    """Required ids/coords kept, speed to km/h (NULL unless finite), UTC instant to local time.
 
     ``keep_utc`` adds ``_event_timestamp_utc`` so a caller can deduplicate
     on the instant instead of the local wall clock (which repeats in the
@@ -29,7 +29,7 @@ def stg_vehicle_positions(bronze: DataFrame, tz: str = X.LOCAL_TZ, keep_utc: boo
     return local.select(
         "bus_id", "trip_id", "route_id", "start_time", "start_date",
         "latitude", "longitude",
-        X.mps_to_kmh(C("speed")).alias("speed"),
+        X.mps_to_kmh(X.finite(C("speed"))).alias("speed"),
         "bearing", "current_status", "occupancy_status",
         C("_local_ts").alias("event_timestamp"),
         C("_local_ts").cast("date").alias("event_date"),

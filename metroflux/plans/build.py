@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from metroflux.operators import quality
 from metroflux.plans.warehouse import (DATE_GRAIN_MODELS, DATE_PARTITIONS, GOLD_MODELS, SILVER_MODELS, Warehouse,
                                        materialize, refresh_dates)
-from metroflux.session import get_session
+from metroflux.session import get_session, sizing
 from metroflux.sources import bronze as B
 
 # Date-partitioned facts: readers filtering on dates prune whole folders, and
@@ -62,8 +62,10 @@ def main(argv=None) -> None:
     ap.add_argument("--no-enforce", action="store_true")
     ap.add_argument("--refresh", nargs=2, metavar=("START", "END"),
                     help="replace only local dates START..END of the date-grain models")
+    ap.add_argument("--input-bytes", type=int, help="size of the bronze tables, for the shuffle and scan settings")
+    ap.add_argument("--cores", type=int, default=8, help="total executor cores")
     a = ap.parse_args(argv)
-    spark = get_session()
+    spark = get_session(extra=sizing(a.input_bytes, a.cores) if a.input_bytes else None)
     build_all(spark, a.bronze, a.out, run_tests=not a.skip_tests, enforce=not a.no_enforce,
               refresh=tuple(a.refresh) if a.refresh else None)
 

@@ -280,6 +280,96 @@ def q_bronze_ingest_run(spark, sf_dir):
     summary = B.ingest(spark, fixtures.feed_landing(spark, sf_dir), f"{root}/bronze", f"{root}/quarantine",
                        batch_id="run-1", mode="full")
     written_rows = B.read_bronze(spark, f"{root}/bronze").count()
-    quarantined = spark.read.parquet(f"{root}/quarantine").count()
+    quarantined = B.read_quarantine(spark, f"{root}/quarantine").count()
     return summary.withColumns({"bronze_rows_written": F.lit(written_rows).cast("long"),
                                 "quarantine_rows_written": F.lit(quarantined).cast("long")})
+
+
+@register("bronze_incremental_rerun", sql("""
+SELECT batch_id, file_count, record_count, error_count, bronze_rows, quarantine_rows FROM (
+  SELECT 'run-1' AS batch_id, COUNT(*) AS file_count, COUNT(*) FILTER (WHERE kind = 'feed') AS record_count,
+    COUNT(*) FILTER (WHERE kind IN ('corrupt', 'bad_entity')) AS error_count,
+    COUNT(*) FILTER (WHERE kind = 'feed') AS bronze_rows,
+    COUNT(*) FILTER (WHERE kind IN ('corrupt', 'bad_entity')) AS quarantine_rows FROM ev
+  UNION ALL SELECT 'run-2', 0, 0, 0, 0, 0) r"""))
+def q_bronze_incremental_rerun(spark, sf_dir):
+    """Two identical incremental runs; the second finds every file in the manifest and writes nothing."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/rerun-{uuid.uuid4().hex}"
+    files = fixtures.feed_landing(spark, sf_dir)
+    runs = [B.ingest(spark, files, f"{root}/bronze", f"{root}/quarantine", batch_id=f"run-{k}") for k in (1, 2)]
+    runs = runs[0].unionByName(runs[1]).select("batch_id", "file_count", "record_count", "error_count")
+    bronze = B.read_bronze(spark, f"{root}/bronze").groupBy("batch_id").agg(F.count("*").alias("bronze_rows"))
+    bad = B.read_quarantine(spark, f"{root}/quarantine").groupBy("batch_id").agg(F.count("*").alias("quarantine_rows"))
+    return runs.join(bronze, "batch_id", "left").join(bad, "batch_id", "left").fillna(0, ["bronze_rows", "quarantine_rows"])
+
+
+@register("bronze_reprocess_date", sql(f"""
+SELECT 'bronze' AS target, COUNT(*) AS rows FROM enr
+  WHERE _landing_date = '{RELOAD_DATE}' AND CAST(ingestion_date AS VARCHAR) = '{RELOAD_DATE}'
+UNION ALL SELECT 'out_of_range', COUNT(*) FROM enr
+  WHERE _landing_date = '{RELOAD_DATE}' AND CAST(ingestion_date AS VARCHAR) <> '{RELOAD_DATE}'
+UNION ALL SELECT 'errors', COUNT(*) FROM ev WHERE date = '{RELOAD_DATE}' AND kind IN ('corrupt', 'bad_entity')"""))
+def q_bronze_reprocess_date(spark, sf_dir):
+    """One landing date reprocessed from an unfiltered landing; rows of other event dates are quarantined."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/redo-{uuid.uuid4().hex}"
+    B.ingest(spark, fixtures.feed_landing(spark, sf_dir), f"{root}/bronze", f"{root}/quarantine", batch_id="redo",
+             mode="full", process_date=RELOAD_DATE)
+    bad = B.read_quarantine(spark, f"{root}/quarantine")
+    late = C("error_type") == "DATE_OUT_OF_RANGE"
+    return (B.table_count(B.read_bronze(spark, f"{root}/bronze"), "bronze")
+            .unionByName(B.table_count(bad.where(late), "out_of_range"))
+            .unionByName(B.table_count(bad.where(~late), "errors")).withColumnRenamed("table_name", "target"))
+
+
+@register("bronze_run_accounting", sql("""
+SELECT * FROM (WITH days AS (
+  SELECT date, COUNT(*) FILTER (WHERE kind = 'feed') AS records,
+    COUNT(*) FILTER (WHERE kind IN ('corrupt', 'bad_entity')) AS errors FROM ev GROUP BY date),
+runs AS (
+  SELECT 'full' AS batch_id, SUM(records) AS records, SUM(errors) AS errors, false AS silent FROM days
+  UNION ALL SELECT 'again', 0, 0, false
+  UNION ALL SELECT 'corrupt', 0, (SELECT COUNT(*) FROM ev WHERE kind = 'corrupt'), (SELECT COUNT(*) FROM ev WHERE kind = 'corrupt') > 0)
+SELECT batch_id, status, CAST(record_count AS BIGINT) AS record_count, error_message, has_metadata FROM (
+  SELECT batch_id, CASE WHEN batch_id = 'again' OR (batch_id = 'corrupt' AND errors = 0) THEN 'NO_NEW_FILES'
+      WHEN records = 0 AND errors > 0 THEN 'FAILED' WHEN records = 0 THEN 'NO_DATA'
+      WHEN errors = 0 THEN 'SUCCESS' ELSE 'PARTIAL' END AS status, records AS record_count,
+    CASE WHEN errors > 0 THEN concat(CAST(errors AS VARCHAR), ' errors') END AS error_message, true AS has_metadata
+  FROM runs
+  UNION ALL SELECT batch_id, 'ALERT', 0, concat(CAST(errors AS VARCHAR), ' files gave no record'), true FROM runs WHERE silent
+  UNION ALL SELECT 'poll', 'SUCCESS', NULL, NULL, false) r) a"""))
+def q_bronze_run_accounting(spark, sf_dir):
+    """Run-log rows of a full run, a run without new files, a run of corrupt files only, and a poller's row.
+
+    The metadata table has a row for each ingest run.
+    """
+    root = f"{checkpoint_dir(spark).rstrip('/')}/runs-{uuid.uuid4().hex}"
+    files = fixtures.feed_landing(spark, sf_dir)
+    corrupt = files.where(F.col("content").cast("string").endswith("####"))
+    log = f"{root}/log"
+    B.ingest(spark, files, f"{root}/bronze", f"{root}/quarantine", batch_id="full", mode="full", accounting=log)
+    B.ingest(spark, files, f"{root}/bronze", f"{root}/quarantine", batch_id="again", accounting=log)
+    B.ingest(spark, corrupt, f"{root}/b2", f"{root}/q2", batch_id="corrupt", accounting=log)
+    B.run_log_row(spark, "poll", "vehicle_positions", "feed.pb", "/landing", None, "SUCCESS", None, None) \
+        .write.mode("append").parquet(f"{log}/ingestion_log")
+    runs = spark.read.parquet(f"{log}/ingestion_log")
+    kept = spark.read.parquet(f"{log}/pipeline_metadata").select("batch_id", F.lit(True).alias("has_metadata")).distinct()
+    return (runs.join(kept, "batch_id", "left")
+            .select("batch_id", "status", "record_count", "error_message", F.coalesce("has_metadata", F.lit(False)).alias("has_metadata")))
+
+
+def _register_csv_load(table: str) -> None:
+    cols = B.GTFS_COLUMNS[table]
+
+    @register(f"bronze_{table}_csv_load", oracle.query(
+        f"SELECT {', '.join(f'nullif({c}, {chr(39) * 2}) AS {c}' for c in cols)} FROM {table}"))
+    def load(spark, sf_dir):
+        path = f"{checkpoint_dir(spark).rstrip('/')}/gtfs-{uuid.uuid4().hex}/{table}"
+        fixtures.bronze_table(spark, sf_dir, table).select(*cols).write.option("header", True).csv(path)
+        return B.read_gtfs_csv(spark, path, table).drop("_source_file", "_ingestion_timestamp")
+
+    load.__doc__ = f"A33: {table} written as a GTFS text file and loaded back as all-STRING columns; empty fields are NULL."
+
+
+for _table in B.GTFS_COLUMNS:
+    if _table != "gtfs_trips":
+        _register_csv_load(_table)

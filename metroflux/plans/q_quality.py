@@ -88,6 +88,9 @@ def _cast_failures_sql() -> str:
             parts.append(f"SELECT '{table}' AS source_table, CAST({key} AS VARCHAR) AS record_key, "
                          f"'{col}' AS column_name, CAST({col} AS VARCHAR) AS raw_value FROM {table} "
                          f"WHERE {col} IS NOT NULL AND trim({col}) <> '' AND {cast} IS NULL")
+    parts.append("SELECT 'vehicle_positions' AS source_table, bus_id AS record_key, 'speed' AS column_name, "
+                 "CASE WHEN isnan(speed) THEN 'NaN' WHEN speed > 0 THEN 'Infinity' ELSE '-Infinity' END AS raw_value "
+                 "FROM vehicle_positions WHERE isnan(speed) OR isinf(speed)")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -99,4 +102,4 @@ def q_dq_cast_failures(spark, sf_dir):
     for table, (key, casts) in staging.staging_casts().items():
         part = quality.cast_failures(wh.bronze[table], casts, key, table)
         out = part if out is None else out.unionByName(part)
-    return out
+    return out.unionByName(quality.non_finite(wh.bronze["vehicle_positions"], "speed", "bus_id", "vehicle_positions"))

@@ -74,9 +74,9 @@ def q_stream_dedup(spark, sf_dir):
 
 
 @register("stream_hourly_occupancy", oracle.query(
-    "SELECT * EXCLUDE (active_buses) FROM fct_occupancy_by_hour"))
+    "SELECT * FROM fct_occupancy_by_hour"))
 def q_stream_hourly_occupancy(spark, sf_dir):
-    """Hourly occupancy from per-batch additive partials (distinct buses omitted)."""
+    """Hourly occupancy from per-batch partials per bus."""
     root, stg = _positions_stream(spark, sf_dir)
     S.await_all(S.hourly_partials_stream(stg, f"{root}/partials", f"{root}/_chk"))
     return S.hourly_from_partials(spark, f"{root}/partials")

@@ -142,14 +142,14 @@ def q_avg_max_sequence(spark, sf_dir):
     return gold.avg_max_sequence(_wh(spark, sf_dir).fact_stop_times)
 
 
-@register("gold_incremental_refresh", oracle.model_sql("fct_daily_performance"))
-def q_gold_incremental_refresh(spark, sf_dir):
-    """Late data, then a date-window refresh: the refreshed table equals a full build.
+def _refreshed(spark, sf_dir):
+    """The refreshed tables of the date-grain models, by name.
 
     The first build sees bronze without the ingestion-date partitions
-    2026-01-10..13 (they land late); ``refresh_dates`` then rebuilds only the
-    local dates those partitions touch from all bronze and replaces their
-    partitions of every date-grain model.
+    2026-01-10..13 (they land late) and with rows of 2026-02-10 that are later
+    withdrawn (copies of 2026-01-20).  ``refresh_dates`` then rebuilds only the
+    local dates these partitions touch from all bronze and replaces their
+    partitions; the withdrawn dates end up without one.
     """
     import uuid
 
@@ -161,15 +161,43 @@ def q_gold_incremental_refresh(spark, sf_dir):
     from metroflux.sources import fixtures
 
     full = fixtures.Bronze(spark, sf_dir)
-    late = (F.col("ingestion_date") >= F.lit("2026-01-10").cast("date")) & \
-        (F.col("ingestion_date") <= F.lit("2026-01-13").cast("date"))
+    day = F.col("ingestion_date")
+    late = day.between(F.lit("2026-01-10").cast("date"), F.lit("2026-01-13").cast("date"))
+    positions = full["vehicle_positions"]
+    withdrawn = positions.where(day == F.lit("2026-01-20").cast("date")).withColumns({
+        "event_timestamp": F.col("event_timestamp") + F.expr("INTERVAL 21 DAY"), "ingestion_date": F.date_add(day, 21)})
     early = {name: full[name] for name in fixtures.ADAPTERS}
-    early["vehicle_positions"] = full["vehicle_positions"].where(~late)
+    early["vehicle_positions"] = positions.where(~late).unionByName(withdrawn)
     path = f"{checkpoint_dir(spark).rstrip('/')}/incr-{uuid.uuid4().hex}"
     materialize(Warehouse(spark, early), path, DATE_GRAIN_MODELS, partition_by=DATE_PARTITIONS)
     refresh_dates(spark, full, path, *local_dates_touched("2026-01-10", "2026-01-13"))
-    table = spark.read.parquet(f"{path}/fct_daily_performance")
-    return table.select(*[c for c in Warehouse(spark, full).fct_daily_performance.columns if c != "_dbt_updated_at"])
+    return refresh_dates(spark, full, path, *local_dates_touched("2026-02-10", "2026-02-10"))
+
+
+@register("gold_incremental_refresh", oracle.model_sql("fct_daily_performance"))
+def q_gold_incremental_refresh(spark, sf_dir):
+    """Late and withdrawn data, then date-window refreshes: the refreshed table equals a full build."""
+    return _refreshed(spark, sf_dir)["fct_daily_performance"].drop("_dbt_updated_at")
+
+
+REFRESHED = ["fact_vehicle_positions", "fct_daily_performance", "fct_fleet_optimization", "fct_occupancy_by_hour",
+             "obt_positions_wide"]
+
+
+@register("gold_refresh_models", oracle.query("\nUNION ALL\n".join(
+    f"SELECT '{m}' AS model, event_date, COUNT(*) AS n_rows, COUNT(DISTINCT route_id) AS routes FROM {m} GROUP BY event_date"
+    for m in REFRESHED)))
+def q_gold_refresh_models(spark, sf_dir):
+    """Rows and routes per date of every refreshed model."""
+    from pyspark.sql import functions as F
+
+    tables = _refreshed(spark, sf_dir)
+    parts = [tables[m].groupBy("event_date").agg(F.count("*").alias("n_rows"), F.countDistinct("route_id").alias("routes"))
+             .select(F.lit(m).alias("model"), "event_date", "n_rows", "routes") for m in REFRESHED]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def load_extensions() -> None:
@@ -177,11 +205,7 @@ def load_extensions() -> None:
     import importlib
     for mod in ("metroflux.plans.q_quality", "metroflux.plans.q_metrics",
                 "metroflux.plans.q_bronze", "metroflux.plans.q_streaming"):
-        try:
-            importlib.import_module(mod)
-        except ModuleNotFoundError as e:
-            if e.name != mod:
-                raise
+        importlib.import_module(mod)
 
 
 def queries() -> dict[str, Builder]:

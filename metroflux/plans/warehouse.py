@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from metroflux.functions.exprs import LOCAL_TZ
 from metroflux.operators import gold, silver, staging
+from metroflux.session import require_utc
 from metroflux.sources import fixtures
+from metroflux.sources.partitions import cluster_by_date, dates_between, replace_dates
 
 STAGING_MODELS = ["stg_vehicle_positions", "stg_weather", "stg_routes", "stg_stops", "stg_trips",
                   "stg_stop_times", "stg_calendar", "stg_calendar_dates", "stg_shapes", "stg_agency"]
@@ -31,8 +33,8 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, bronze: Mapping[str, DataFrame], tz: str = LOCAL_TZ,
                  as_of=None, dedup_on: str = "local"):
-        # Bronze instants are UTC; localisation and the adapters assume a UTC session.
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        # Bronze instants are UTC; localisation assumes a UTC session.
+        require_utc(spark)
         self.spark = spark
         self.bronze = bronze
         self.tz = tz
@@ -105,7 +107,7 @@ class Warehouse:
     def dim_date(self):
         if self.as_of is not None:
             return silver.dim_date(self.spark, as_of=self.as_of)
-        return silver.dim_date_covering(self.spark, self.stg_vehicle_positions)
+        return silver.dim_date_as_of_events(self.stg_vehicle_positions)
 
     @cached_property
     def fact_trips(self):
@@ -184,10 +186,9 @@ def materialize(wh: Warehouse, out_dir: str, models: list[str] | None = None,
         def write(name: str) -> None:
             df = frames[name]
             if name in partition_by:
-                # Range-cluster on the partition columns: each task writes a few
-                # contiguous dates (not one file per task and date), and the
-                # sampled ranges split a heavy date over several tasks.
-                df = df.repartitionByRange(*partition_by[name])
+                # Each task writes a few contiguous dates (not one file per task
+                # and date), and a heavy date is split over several tasks.
+                df = cluster_by_date(df, *partition_by[name])
             # Full rebuild: static overwrite drops partitions that no longer exist.
             w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
             if name in partition_by:
@@ -269,7 +270,7 @@ def refresh_dates(spark: SparkSession, bronze: Mapping[str, DataFrame], out_dir:
     (partition pruning on the event-derived ingestion date) and results are
     cut back to [start, end].  Tables must be partitioned by event_date
     (``materialize(..., partition_by=DATE_PARTITIONS)``); a date that lost all
-    its rows keeps its old partition.
+    its rows loses its partition.
     """
     import datetime as dt
 
@@ -281,11 +282,9 @@ def refresh_dates(spark: SparkSession, bronze: Mapping[str, DataFrame], out_dir:
     wh = Warehouse(spark, window, tz=tz)
     out = {}
     for name in models:
-        df = (wh.model(name)
-              .where(F.col("event_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-              .repartitionByRange("event_date"))
+        df = cluster_by_date(wh.model(name).where(
+            F.col("event_date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))), "event_date")
         path = f"{out_dir.rstrip('/')}/{name}"
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("event_date").parquet(path))
+        replace_dates(df, path, "event_date", dates_between(start, end))
         out[name] = spark.read.schema(df.schema).parquet(path).select(*df.columns)
     return out

@@ -74,20 +74,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def sizing(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+def sizing(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
+           shuffle_bytes: int | None = None, reducer_bytes: int = 1 << 30) -> dict:
     """Shuffle and scan settings for an input size and cluster.
 
-    Scan splits of ``target_partition_bytes``; shuffle partitions so each
-    reducer gets about one split of data (never fewer than 2x the cores),
-    left to AQE to coalesce at runtime; AQE's advisory size and the skew
-    threshold follow the same target.  E.g. 100 TB on 8,000 cores gives
-    ~400k scan splits and 400k shuffle partitions of ~256 MB.
+    Scan splits of ``target_partition_bytes``, twice that from 10 TB on.  Reducers
+    are sized by what is shuffled, not by what is read: ``shuffle_bytes`` defaults
+    to a tenth of the input, as scans are pruned to a few columns and aggregates
+    are combined before the shuffle; a join that ships most of its input should
+    pass its own figure.  A shuffle has (map tasks x reducers) blocks, so reducers
+    of about ``reducer_bytes`` keep their number and the blocks' size workable:
+    100 TB on 8,000 cores gives 16,000 reducers, not hundreds of thousands.
+    AQE coalesces small ones and splits skewed ones.
     """
-    splits = max(1, -(-int(input_bytes) // target_partition_bytes))
+    shuffled = input_bytes // 10 if shuffle_bytes is None else shuffle_bytes
+    split = target_partition_bytes * (2 if input_bytes >= 10 * 10**12 else 1)
     return {
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.shuffle.partitions": str(max(2 * total_cores, splits)),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(max(2 * total_cores, -(-int(shuffled) // reducer_bytes))),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * reducer_bytes),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     }

@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from metroflux.sources.partitions import cluster_by_date, inside, replace_dates
+
 C = F.col
 
 # Bronze record schema (13 columns, all nullable).
@@ -216,9 +218,24 @@ def errors(decoded: DataFrame, batch_id: str, source_table: str = "vehicle_posit
         F.substring(msg, 1, MESSAGE_CHARS).alias("error_message"),
         F.when(~file_err, F.substring("entity_json", 1, RAW_RECORD_CHARS)).alias("raw_record"),
         F.lit(batch_id).alias("batch_id"),
+        # The contract cuts raw_record; the whole entity is kept beside it for replay.
+        F.when(~file_err, C("entity_json")).alias("raw_entity"),
     )
 
 
+def out_of_range(rows: DataFrame, process_date: str, batch_id: str, source_table: str = "vehicle_positions") -> DataFrame:
+    """Dead-letter rows for records whose event date is not the date being replaced."""
+    outside = rows.where(~inside(C("ingestion_date"), [process_date]))
+    raw = F.to_json(F.struct(*RECORD_COLUMNS))
+    return outside.select(
+        F.lit(source_table).alias("source_table"), C("ingestion_file").alias("source_file"),
+        F.lit("DATE_OUT_OF_RANGE").alias("error_type"),
+        F.concat(F.lit("event date "), F.coalesce(C("ingestion_date").cast("string"), F.lit("missing")),
+                 F.lit(f" is not {process_date}")).alias("error_message"),
+        F.substring(raw, 1, RAW_RECORD_CHARS).alias("raw_record"), F.lit(batch_id).alias("batch_id"),
+        raw.alias("raw_entity"))
+
+
 def enrich(recs: DataFrame, batch_id: str, source_system: str = "GTFS_RT",
            loaded_at: Column | None = None) -> DataFrame:
     """Event time from epoch seconds, load stamp, event date, source, batch."""
@@ -239,29 +256,24 @@ def enrich(recs: DataFrame, batch_id: str, source_system: str = "GTFS_RT",
 def write_bronze(df: DataFrame, path: str, mode: str = "append", process_date: str | None = None) -> None:
     """Append, full overwrite, or replace one ``ingestion_date`` partition.
 
-    Partition replacement uses dynamic partition overwrite (only partitions
-    present in ``df`` are rewritten).  Every row is checked against
-    ``process_date`` inside the write job itself: a row of another date
-    raises, the job fails before commit and no partition is touched.  One
-    pass over the data, no separate validation scan.
+    Partition replacement rewrites the one partition, or drops it when ``df`` has
+    no rows.  Every row is checked against ``process_date`` inside the write job
+    itself: a row of another date raises, the job fails before commit and no
+    partition is touched.  One pass over the data, no separate validation scan.
     """
-    w_df = df
-    if process_date is not None:
+    if mode == "append":
+        df.write.partitionBy("ingestion_date").mode("append").parquet(path)
+    elif mode == "overwrite" and process_date is None:
+        # A full reload spans many dates: files ~ tasks, not tasks x dates, and a heavy date takes several.
+        (cluster_by_date(df, "ingestion_date").write.partitionBy("ingestion_date").mode("overwrite")
+         .option("partitionOverwriteMode", "static").parquet(path))
+    elif mode == "overwrite":
         target = F.lit(process_date).cast("date")
         ok = C("ingestion_date").isNotNull() & (C("ingestion_date") == target)
-        w_df = df.withColumn("ingestion_date", F.when(ok, C("ingestion_date")).otherwise(
+        checked = df.withColumn("ingestion_date", F.when(ok, C("ingestion_date")).otherwise(
             F.raise_error(F.concat(F.lit(f"row outside ingestion_date={process_date}: "),
                                    F.coalesce(C("ingestion_date").cast("string"), F.lit("NULL"))))))
-    if mode == "overwrite" and process_date is None:
-        # A full reload spans many dates: range-cluster so files ~ tasks, not tasks x dates.
-        w_df = w_df.repartitionByRange("ingestion_date")
-    w = w_df.write.partitionBy("ingestion_date")
-    if mode == "append":
-        w.mode("append").parquet(path)
-    elif mode == "overwrite" and process_date is None:
-        w.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-    elif mode == "overwrite":
-        w.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        replace_dates(checked, path, "ingestion_date", [process_date])
     else:
         raise ValueError(mode)
 
@@ -285,8 +297,62 @@ def quarantine_rows(errs: DataFrame, created_at: Column | None = None) -> DataFr
 
 
 def write_quarantine(errs: DataFrame, path: str, created_at: Column | None = None) -> None:
-    """Append dead-letter rows with ``created_at``."""
-    quarantine_rows(errs, created_at).write.mode("append").parquet(path)
+    """Write a batch's dead-letter rows with ``created_at`` (A20); a repeated batch replaces its own rows."""
+    (quarantine_rows(errs, created_at).write.partitionBy("batch_id").mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").parquet(path))
+
+
+QUARANTINE_SCHEMA = ("source_table string, source_file string, error_type string, error_message string, raw_record string, "
+                     "raw_entity string, created_at timestamp, batch_id string")
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(QUARANTINE_SCHEMA).parquet(path)
+
+
+# ---------------------------------------------------------------------------
+# Manifest of processed files (A3-A5)
+# ---------------------------------------------------------------------------
+
+MANIFEST_SCHEMA = "file_name string, batch_id string, processed_at timestamp"
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame | None:
+    """The processed files, or None when nothing was processed yet."""
+    return _read_or_none(spark, MANIFEST_SCHEMA, path)
+
+
+def unprocessed(names: DataFrame, manifest: DataFrame | None) -> DataFrame:
+    """Listed files that no run has processed; ``names`` carries no content."""
+    if manifest is None:
+        return names
+    return names.join(manifest.select("file_name").distinct(), "file_name", "left_anti")
+
+
+def ingest_landing(spark: SparkSession, base_path: str, bronze_path: str, quarantine_path: str, glob: str = "*.pb",
+                   process_date: str | None = None, mode: str = "incremental", **options) -> DataFrame:
+    """Ingest the files under ``base/date=/hour=``; in incremental mode only the new ones are opened.
+
+    Names are listed without content, anti-joined with the manifest, and just
+    the selected paths are read: their number is that of one poll's new files.
+    """
+    manifest_path = options.pop("manifest_path", None) or f"{bronze_path.rstrip('/')}_files"
+    listed = discover_files(spark, base_path, glob, process_date)
+    if mode == "full":
+        files = discover_files(spark, base_path, glob, process_date, with_content=True)
+    else:
+        new = unprocessed(listed, read_manifest(spark, manifest_path))
+        paths = [r["full_path"] for r in new.select("full_path").toLocalIterator()]
+        files = None
+        if paths:
+            files = (spark.read.format("binaryFile").option("basePath", base_path).load(paths)
+                     .select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
+                             F.regexp_extract("path", r"date=([^/]+)", 1).alias("date"),
+                             F.regexp_extract("path", r"hour=([^/]+)", 1).alias("hour"), "length", "content"))
+    if files is None:
+        files = spark.createDataFrame([], "file_name string, date string, hour string, length long, content binary")
+    return ingest(spark, files, bronze_path, quarantine_path, mode=mode, process_date=process_date,
+                  manifest_path=manifest_path, **options)
 
 
 # ---------------------------------------------------------------------------
@@ -358,19 +424,22 @@ def batch_sample(bronze: DataFrame, batch_id: str, n: int = 10) -> DataFrame:
 
 
 def run_log_row(spark: SparkSession, batch_id: str, source_name: str, file_name: str, file_path: str,
-                record_count: int, status: str, error_message: str | None, duration_s: float) -> DataFrame:
+                record_count: int | None, status: str, error_message: str | None,
+                duration_s: float | None) -> DataFrame:
     """One ingestion-log row; start = finish - duration.
 
     Built as a DataFrame (no SQL string), so quotes in messages need no
-    escaping.
+    escaping.  A poller's row has no record count and no duration: NULL, and
+    start = finish.
     """
     row = spark.createDataFrame(
-        [(batch_id, source_name, file_name, file_path, int(record_count), status,
-          None if error_message is None else error_message[:MESSAGE_CHARS], float(duration_s))],
+        [(batch_id, source_name, file_name, file_path, None if record_count is None else int(record_count), status,
+          None if error_message is None else error_message[:MESSAGE_CHARS],
+          None if duration_s is None else float(duration_s))],
         "batch_id string, source_name string, file_name string, file_path string, record_count long, "
         "status string, error_message string, duration_s double")
     finished = F.current_timestamp()
-    started = finished - F.make_dt_interval(secs=F.floor(C("duration_s")).cast("int"))
+    started = finished - F.make_dt_interval(secs=F.coalesce(F.floor(C("duration_s")).cast("int"), F.lit(0)))
     return row.select("batch_id", "source_name", "file_name", "file_path", "record_count", "status",
                       "error_message", started.alias("started_at"), finished.alias("finished_at"), "duration_s")
 
@@ -391,45 +460,99 @@ def metadata_row(spark: SparkSession, batch_id: str, job_name: str, job_version:
                       params_json.alias("params_json"))
 
 
-def _existing_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The bronze table at ``path``, or None when nothing was written yet."""
+def _read_or_none(spark: SparkSession, schema, path: str) -> DataFrame | None:
+    """The table at ``path``, or None when nothing was written yet."""
     from pyspark.errors import AnalysisException
     try:
-        return read_bronze(spark, path)
-    except AnalysisException:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
         return None
 
 
+def account(spark: SparkSession, root: str, batch_id: str, summary, duration_s: float, params: dict,
+            alerts: bool = True, source_name: str = "vehicle_positions_bronze") -> None:
+    """Append a run's log and metadata rows, and an ALERT row when files gave no record.
+
+    ``summary`` is the run-summary row.  Tables: ``ingestion_log`` and ``pipeline_metadata`` under ``root``.
+    """
+    rows = [run_log_row(spark, batch_id, source_name, f"batch_{batch_id}", "", summary.record_count, summary.status,
+                        f"{summary.error_count} errors" if summary.error_count else None, duration_s)]
+    if alerts and summary.silent_failure:
+        rows.append(run_log_row(spark, batch_id, source_name, f"batch_{batch_id}", "", 0, "ALERT",
+                                f"{summary.file_count} files gave no record", duration_s))
+    log = rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])
+    log.write.mode("append").parquet(f"{root.rstrip('/')}/ingestion_log")
+    metadata_row(spark, batch_id, "bronze_vehicle_positions", "2.0", summary.status, params) \
+        .write.mode("append").parquet(f"{root.rstrip('/')}/pipeline_metadata")
+
+
 def ingest(spark: SparkSession, files: DataFrame, bronze_path: str, quarantine_path: str,
            batch_id: str | None = None, mode: str = "incremental", process_date: str | None = None,
-           existing: DataFrame | None = None) -> DataFrame:
-    """Whole bronze batch: select files, decode once, quarantine, write, summarise.
-
-    Incremental mode skips files already present in the bronze table
-    (``existing``, by default the table at ``bronze_path``).
+           existing: DataFrame | None = None, manifest_path: str | None = None,
+           accounting: str | None = None, alerts: bool = True, min_bytes: int | None = None) -> DataFrame:
+    """Whole bronze batch: select files, decode once, quarantine, write, account, summarise.
+
+    Incremental mode skips the files of the manifest (by default beside
+    ``bronze_path``), which holds every processed file, also empty and corrupt
+    ones, so a repeated run writes nothing; ``existing`` skips files by a bronze
+    table's watermark instead.  ``process_date`` takes only that landing date;
+    with ``mode="full"`` it replaces that date's partition, and rows of another
+    event date go to the quarantine.  ``min_bytes`` quarantines shorter files.
+    ``accounting`` names the folder of the run log and the metadata table.
 
     The decoded frame is persisted (a lost block is recomputed from the
-    files) because three outputs read it.  Quarantine is written before the
-    records so errors survive a failure of the record write.  Returns the
-    one-row run summary.
+    files) because several outputs read it.  Quarantine is written before the
+    records, the manifest last.  Returns the one-row run summary.
     """
+    import time
+    began = time.monotonic()
     batch_id = batch_id or uuid.uuid4().hex
+    manifest_path = manifest_path or f"{bronze_path.rstrip('/')}_files"
+    if process_date is not None:
+        files = files.where(C("date") == F.lit(process_date))
     if mode == "incremental" and existing is None:
-        existing = _existing_table(spark, bronze_path)
-    todo = select_files(files, existing, mode)
+        # Names first: content is read only for the files that remain.
+        done = read_manifest(spark, manifest_path)
+        todo = files if done is None else files.join(unprocessed(files.select("file_name"), done), "file_name", "left_semi")
+    else:
+        todo = select_files(files, existing, mode)
     decoded = decode(todo).persist()
     try:
-        write_quarantine(errors(decoded, batch_id), quarantine_path)
-        bronze_rows = enrich(records(decoded), batch_id)
-        if mode == "full" and process_date:
-            write_bronze(bronze_rows, bronze_path, "overwrite", process_date)
-        elif mode == "full":
-            write_bronze(bronze_rows, bronze_path, "overwrite")
-        else:
-            write_bronze(bronze_rows, bronze_path, "append")
+        kept = decoded
+        short = None
+        if min_bytes is not None:
+            # A file that is neither empty nor readable is an error already; a short one is set aside whole.
+            kept = decoded.where(C("length") >= min_bytes)
+            short = (decoded.where(C("length") < min_bytes).select("file_name", "length").distinct()
+                     .select(F.lit("vehicle_positions").alias("source_table"), C("file_name").alias("source_file"),
+                             F.lit("PAYLOAD_TOO_SMALL").alias("error_type"),
+                             F.concat(C("length").cast("string"), F.lit(" bytes")).alias("error_message"),
+                             F.lit(None).cast("string").alias("raw_record"), F.lit(batch_id).alias("batch_id"),
+                             F.lit(None).cast("string").alias("raw_entity")))
+        rows = enrich(records(kept), batch_id)
+        bad = errors(kept, batch_id)
+        if short is not None:
+            bad = bad.unionByName(short)
+        replacing = mode == "full" and process_date is not None
+        if replacing:
+            bad = bad.unionByName(out_of_range(rows, process_date, batch_id))
+            rows = rows.where(inside(C("ingestion_date"), [process_date]))
+        write_quarantine(bad, quarantine_path)
+        write_bronze(rows, bronze_path, "append" if mode == "incremental" else "overwrite", process_date if replacing else None)
+        (decoded.select("file_name").distinct()
+         .select("file_name", F.lit(batch_id).alias("batch_id"), F.current_timestamp().alias("processed_at"))
+         .write.mode("append").parquet(manifest_path))
         summary = run_summary(decoded.withColumn("batch_id", F.lit(batch_id)), ["batch_id"])
-        rows = summary.collect()  # one row per batch
-        return spark.createDataFrame(rows, summary.schema)
+        found = summary.collect()  # one row per batch, none without files
+        if not found:
+            found = [(batch_id, 0, 0, 0, "NO_NEW_FILES", False)]
+        out = spark.createDataFrame(found, summary.schema)
+        if accounting:
+            account(spark, accounting, batch_id, out.first(), time.monotonic() - began,
+                    {"mode": mode, "process_date": process_date}, alerts)
+        return out
     finally:
         decoded.unpersist()
 
@@ -480,7 +603,7 @@ def read_gtfs_csv(spark: SparkSession, path: str, table: str, loaded_at: Column
     """Static GTFS text file(s) with every column as STRING plus file metadata.
 
     No schema inference (one pass, no type surprises); missing optional
-    columns come back as NULL; empty fields stay empty strings.
+    columns and empty fields come back as NULL.
     """
     cols = GTFS_COLUMNS[table]
     df = (spark.read.option("header", True).option("inferSchema", False).option("emptyValue", "")

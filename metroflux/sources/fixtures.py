@@ -28,7 +28,10 @@ def _epoch_seconds(expr: str, dialect: str) -> str:
 
 
 def _positions(dialect: str) -> str:
-    event_ts = "cast(e.ts + interval '731' day as timestamp)"
+    # Some events fall outside the date window: some 200 days before it, some 800 after.
+    shift = ("CASE WHEN e.event_id % 463 = 7 THEN interval '1531' day WHEN e.event_id % 467 = 7 THEN interval '531' day "
+             "ELSE interval '731' day END")
+    event_ts = f"cast(e.ts + {shift} as timestamp)"
     return f"""
 SELECT
   CASE WHEN e.event_id % 101 = 0 THEN NULL ELSE cast(e.user_id as string) END AS bus_id,
@@ -40,7 +43,8 @@ SELECT
   replace(substr(cast(e.ts as string), 1, 10), '-', '') AS start_date,
   CASE WHEN e.event_id % 211 = 0 THEN NULL ELSE 45.4e0 + (e.event_id % 1000) / 5000e0 END AS latitude,
   -73.9e0 + (e.event_id % 700) / 2000e0 AS longitude,
-  CASE WHEN e.event_id % 17 = 0 THEN NULL ELSE e.value / 10 + e.dup END AS speed,
+  CASE WHEN e.event_id % 17 = 0 THEN NULL WHEN e.event_id % 331 = 5 THEN cast('NaN' as double)
+       WHEN e.event_id % 331 = 6 THEN cast('Infinity' as double) ELSE e.value / 10 + e.dup END AS speed,
   cast(e.event_id % 360 as double) AS bearing,
   CASE WHEN e.event_id % 5 = 4 THEN NULL ELSE cast(e.event_id % 5 as int) END AS current_status,
   CASE WHEN e.event_id % 9 = 8 THEN NULL ELSE cast(e.event_id % 9 as int) END AS occupancy_status,
@@ -49,7 +53,7 @@ SELECT
   {event_ts} AS event_timestamp,
   cast(e.ts + interval '731' day
        + CASE WHEN e.dup = 1 THEN interval '1' hour ELSE interval '0' hour END as timestamp) AS ingestion_timestamp,
-  cast(e.ts + interval '731' day as date) AS ingestion_date,
+  cast(e.ts + {shift} as date) AS ingestion_date,
   'SYNTH' AS source_system,
   concat('b', cast(e.dup as string)) AS batch_id
 FROM (
@@ -128,7 +132,7 @@ def _trips(dialect: str) -> str:
     return f"""
 SELECT
   cast(o.o_orderkey as string) AS trip_id,
-  cast(c.c_nationkey as string) AS route_id,
+  CASE WHEN o.o_orderkey % 41 = 0 THEN CAST(NULL AS string) ELSE cast(c.c_nationkey as string) END AS route_id,
   concat(substr(o.o_orderpriority, 1, 1), '-', o.o_orderstatus) AS service_id,
   cast(o.o_orderkey % 50 as string) AS shape_id,
   concat('Direction ', o.o_orderstatus) AS trip_headsign,
@@ -255,6 +259,8 @@ class Bronze(Mapping):
         return len(ADAPTERS)
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        # The adapters turn wall-clock driver timestamps into UTC instants.
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
         self.spark = spark
         self.sf_dir = sf_dir
         self._cache: dict[str, DataFrame] = {}

@@ -59,7 +59,7 @@ def ingest_stream(files: DataFrame, bronze_path: str, quarantine_path: str, chec
             B.quarantine_rows(B.errors(decoded, tag), loaded_at).write.mode("overwrite") \
                 .parquet(_batch_path(quarantine_path, batch_id))
             B.enrich(B.records(decoded), tag, source_system, loaded_at).write.mode("overwrite") \
-                .parquet(_batch_path(bronze_path, batch_id))
+                .partitionBy("ingestion_date").parquet(_batch_path(bronze_path, batch_id))
         finally:
             decoded.unpersist()
 
@@ -94,14 +94,29 @@ def compact_latest(spark: SparkSession, log_path: str) -> DataFrame:
     return silver.latest_positions(spark.read.parquet(log_path).drop("micro_batch"))
 
 
+def compact_log(spark: SparkSession, log_path: str, compacted_path: str) -> DataFrame:
+    """Write the log's latest rows to ``compacted_path`` and return them.
+
+    A later ``latest_log_stream`` starts a new log; ``latest_positions`` over the
+    union of the compacted table and that log gives the same rows as over all
+    batches, since the latest of the latest is the latest.
+    """
+    compact_latest(spark, log_path).write.mode("overwrite").parquet(compacted_path)
+    return spark.read.parquet(compacted_path)
+
+
 HOURLY_KEYS = ["route_id", "event_date", "event_hour"]
 
 
 def hourly_partials_stream(stg_positions: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Additive hourly measures of each micro-batch (positions with occupancy)."""
+    """Additive hourly measures of each micro-batch per bus (positions with occupancy).
+
+    Partials keep the bus, so distinct buses are exact on read; their number is
+    bounded by the buses on the road in an hour.
+    """
     def each(batch: DataFrame, batch_id: int) -> None:
         p = batch.where(C("occupancy_status").isNotNull())
-        part = p.groupBy(*HOURLY_KEYS).agg(
+        part = p.groupBy(*HOURLY_KEYS, "bus_id").agg(
             F.count(F.lit(1)).alias("total_positions"),
             F.sum(F.round(C("speed") * 10).cast("long")).alias("speed_tenths"),
             F.count("speed").alias("count_speed_readings"),
@@ -119,6 +134,7 @@ def hourly_from_partials(spark: SparkSession, path: str,
     parts = spark.read.parquet(path)
     g = parts.groupBy(*HOURLY_KEYS).agg(
         F.sum("total_positions").cast("long").alias("total_positions"),
+        F.countDistinct("bus_id").alias("active_buses"),
         (F.sum("speed_tenths") / F.lit(10.0)).alias("sum_speed"),
         F.sum("count_speed_readings").cast("long").alias("count_speed_readings"),
         *[F.sum(b).cast("long").alias(b) for b in buckets])

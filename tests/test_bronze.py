@@ -57,16 +57,54 @@ def test_ingest_writes_quarantine_and_summary(spark):
     assert spark.read.parquet(qpath).count() == summary.error_count
     assert B.read_bronze(spark, bpath).count() == summary.record_count
     # A second incremental run finds only files that produced no rows.
-    again = B.ingest(spark, files, bpath, qpath, batch_id="run2", existing=B.read_bronze(spark, bpath)).first()
-    assert again.record_count == 0 and again.status in ("FAILED", "NO_DATA")
-    # Without an explicit table, incremental mode reads the watermark from bronze_path itself.
-    third = B.ingest(spark, files, bpath, qpath, batch_id="run3").first()
-    assert third.record_count == 0 and third.file_count == again.file_count
+    # The manifest holds every file, also those without records: a second run finds nothing and writes nothing.
+    again = B.ingest(spark, files, bpath, qpath, batch_id="run2").first()
+    assert (again.status, again.file_count) == ("NO_NEW_FILES", 0)
+    assert B.read_bronze(spark, bpath).count() == summary.record_count
+    assert B.read_quarantine(spark, qpath).count() == summary.error_count
+    # The watermark of a bronze table instead: files without rows are selected again.
+    third = B.ingest(spark, files, bpath, qpath, batch_id="run3", existing=B.read_bronze(spark, bpath)).first()
+    assert third.record_count == 0 and third.file_count > 0
+    # A repeated batch id replaces its own quarantine rows.
+    B.ingest(spark, files, bpath, qpath, batch_id="run3", existing=B.read_bronze(spark, bpath))
+    assert B.read_quarantine(spark, qpath).where(F.col("batch_id") == "run3").count() == third.error_count
     # A first incremental run into an empty location takes every file.
     fresh = B.ingest(spark, files, _tmp(spark, "b"), _tmp(spark, "q"), batch_id="run4").first()
     assert fresh.record_count == summary.record_count
 
 
+def test_short_payloads_are_set_aside(spark):
+    files = fixtures.feed_landing(spark, SMOKE)
+    short = files.where(F.col("length") < B.MIN_PAYLOAD_BYTES).count()
+    qpath = _tmp(spark, "q")
+    B.ingest(spark, files, _tmp(spark, "b"), qpath, batch_id="b", min_bytes=B.MIN_PAYLOAD_BYTES)
+    bad = B.read_quarantine(spark, qpath).where(F.col("error_type") == "PAYLOAD_TOO_SMALL")
+    assert bad.count() == short > 0
+
+
+def test_only_new_landed_paths_are_read(spark):
+    base, bpath, qpath = (_tmp(spark, n) for n in ("landing", "bronze", "quarantine"))
+    files = fixtures.feed_landing(spark, SMOKE).limit(20)
+    fixtures.write_landing(files, base)
+    first = B.ingest_landing(spark, base, bpath, qpath, glob="*.txt", batch_id="one").first()
+    second = B.ingest_landing(spark, base, bpath, qpath, glob="*.txt", batch_id="two").first()
+    assert first.file_count > 0 and (second.file_count, second.status) == (0, "NO_NEW_FILES")
+    listing = B.unprocessed(B.discover_files(spark, base, glob="*.txt"), B.read_manifest(spark, f"{bpath}_files"))
+    assert "content" not in listing._jdf.queryExecution().toString()
+
+
+def test_heavy_date_is_split_and_emptied_date_is_dropped(spark):
+    from metroflux.sources.partitions import cluster_by_date, replace_dates
+    day = F.when(F.col("id") < 50_000, F.lit("2026-01-01")).otherwise(F.lit("2026-01-02")).cast("date")
+    df = spark.range(50_100).withColumn("event_date", day)
+    path = _tmp(spark, "dates")
+    cluster_by_date(df, "event_date").write.partitionBy("event_date").parquet(path)
+    per = spark.read.parquet(path).groupBy("event_date").agg(F.countDistinct(F.col("_metadata.file_path")).alias("files"))
+    assert {str(r.event_date): r.files for r in per.collect()}["2026-01-01"] > 1
+    emptied = replace_dates(df.where("event_date = date'2026-01-02'").limit(5), path, "event_date", ["2026-01-01", "2026-01-02"])
+    assert emptied == ["2026-01-01"] and spark.read.parquet(path).count() == 5
+
+
 def test_run_log_and_metadata_rows(spark):
     log = B.run_log_row(spark, "b1", "vehicle_positions_bronze", "batch_b1", "/landing", 10, "SUCCESS",
                         "it's fine", 12.7).first()
@@ -115,7 +153,9 @@ def test_build_then_test_run(spark):
     # Orphan routes are a warning, never an error.
     rel = by[("fact_vehicle_positions", "route_id", "relationships")]
     assert rel.severity == "warn" and rel.status in ("pass", "warn")
-    assert all(r.status in ("pass", "warn") for r in by.values())
+    # Events outside the date window fail the rules on event dates; trips without a route fail not_null.
+    failed = {k for k, r in by.items() if r.status == "fail"}
+    assert failed and all(k[1] in ("event_date", "route_id") for k in failed)
 
 
 def test_build_refresh_equals_full_build(spark):

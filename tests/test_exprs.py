@@ -187,7 +187,8 @@ def test_fold_hour_utc_dedup_keeps_both(spark):
 def test_sizing_scales_partitions():
     from metroflux.session import sizing
     conf = sizing(100 * 10**12, 8000)
-    assert int(conf["spark.sql.shuffle.partitions"]) > 300_000
+    assert 2 * 8000 <= int(conf["spark.sql.shuffle.partitions"]) <= 20_000
+    assert int(sizing(100 * 10**12, 8000, shuffle_bytes=10**14)["spark.sql.shuffle.partitions"]) > 90_000
     assert sizing(10**6, 8)["spark.sql.shuffle.partitions"] == "16"
 
 
