@@ -1,19 +1,22 @@
 """MinHash near-duplicates by a multi-index Hamming join.
 
-Every text becomes a set of five-word shingles and a signature of ``SYMBOLS``
-minima, ``BITS`` bits each.  Two texts of similarity s differ in about (1 - s) of
-the symbols; pairs of at least ``PERCENT`` stay within ``DISTANCE`` differing
-symbols but for a chance below 1e-5 (binomial tail, at the threshold itself; it
-falls fast above).  Signatures are split into ``CHUNKS`` chunks; by the pigeonhole
-principle two signatures within ``DISTANCE`` differ in at most one symbol of some
-chunk, so each chunk is indexed once per symbol left out, and every such pair
-meets under some key.
+Every text becomes a set of five-word shingles, a signature of ``SYMBOLS`` minima
+of ``BITS`` bits that is indexed, and a longer one of ``WIDE`` minima of eight bits
+that is compared.  Two texts of similarity s differ in about (1 - s) of the
+symbols; pairs of at least ``PERCENT`` stay within ``DISTANCE`` and ``WIDE_DISTANCE``
+differing symbols but for a chance below 1e-5 each (binomial tail, at the
+threshold itself; it falls fast above).  Indexed signatures are split into
+``CHUNKS`` chunks; by the pigeonhole principle two within ``DISTANCE`` differ in at
+most one symbol of some chunk, so each chunk is indexed once per symbol left
+out, and every such pair meets under some key.
 
 What meets is not paired all against all:
 
-1. Texts of one shingle set are one class; only its smallest id goes on.
+1. Texts of one shingle set are one class; only one row of it goes on.
 2. Each class is compared with the smallest class it meets under any key (a star),
    first by signature, then on full shingle sets; confirmed links give components.
+   Then, ``ROUNDS`` times and under an eighth of the keys, each class is compared
+   with the nearest signature of another component, which joins most of a group.
 3. Keys that still hold several components get every pair of different components
    compared by signature, in blocks of bounded size; the rows of the largest
    component meet only the others, so a group of near copies costs its size times
@@ -44,6 +47,7 @@ from metroflux.llm.common import connected_components, deal_blocks, map_rows, ru
 
 WORDS, PERCENT = 5, 85
 SYMBOLS, BITS, CHUNKS, DISTANCE = 64, 16, 12, 23
+WIDE, WIDE_DISTANCE, ROUNDS = 256, 66, 2
 #: Rows of one side of a block of the exhaustive comparison.
 BLOCK = 512
 WORD_TABLE = 400_000
@@ -54,7 +58,8 @@ def _constants(seed: int, n: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 2**64, n, dtype=np.uint64) | np.uint64(1)
 
 
-PLACE, SCALE, SHIFT = _constants(1, WORDS), _constants(2, SYMBOLS), _constants(3, SYMBOLS)
+PLACE = _constants(1, WORDS)
+SCALE, SHIFT = (_constants(k, WIDE).astype(np.uint32) for k in (2, 3))
 AT_SYMBOL, OF_KEY = _constants(4, SYMBOLS), _constants(5, SYMBOLS)
 CHUNK_OF = np.repeat(np.arange(CHUNKS), [len(c) for c in np.array_split(np.arange(SYMBOLS), CHUNKS)])
 
@@ -99,27 +104,30 @@ def shingles(text: str | None) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, set_a, set_b, sig): set_a and set_b identify the shingle set; sig packs the minima."""
+    """(doc_id, n_shingles, set_a, set_b, sig, wide): set_a and set_b identify the shingle set; the others pack minima."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = [shingles(t) for t in batch.column(1).to_pylist()]
         size = np.fromiter(map(len, sets), np.int64, len(sets))
         some = np.flatnonzero(size)
-        sig = np.zeros((len(sets), SYMBOLS), "<u2")
+        sig, wide = np.zeros((len(sets), SYMBOLS), "<u2"), np.zeros((len(sets), WIDE), np.uint8)
         if len(some):
-            flat = np.concatenate([sets[i] for i in some])
+            flat = (np.concatenate([sets[i] for i in some]) >> np.uint64(32)).astype(np.uint32)
             at = np.concatenate([[0], np.cumsum(size[some])[:-1]])
-            for k in range(SYMBOLS):
-                sig[some, k] = mix(np.minimum.reduceat(flat * SCALE[k] + SHIFT[k], at)) >> np.uint64(64 - BITS)
+            for k in range(WIDE):
+                least = mix(np.minimum.reduceat(flat * SCALE[k] + SHIFT[k], at).astype(np.uint64))
+                wide[some, k] = least & np.uint64(255)
+                if k < SYMBOLS:
+                    sig[some, k] = least >> np.uint64(64 - BITS)
         ends = list(map(set_digest, sets))
         pair = np.frombuffer(b"".join(ends), "<i8").reshape(-1, 2)
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(size), pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy()),
-             pa.array([r.tobytes() for r in sig], pa.binary())],
-            ["doc_id", "n_shingles", "set_a", "set_b", "sig"])
+             pa.array([r.tobytes() for r in sig], pa.binary()), pa.array([r.tobytes() for r in wide], pa.binary())],
+            ["doc_id", "n_shingles", "set_a", "set_b", "sig", "wide"])
 
-    return map_rows(src, run, "doc_id long, n_shingles long, set_a long, set_b long, sig binary")
+    return map_rows(src, run, "doc_id long, n_shingles long, set_a long, set_b long, sig binary, wide binary")
 
 
 def set_digest(hashes: np.ndarray) -> bytes:
@@ -140,6 +148,10 @@ def unpack(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(-1, SYMBOLS)
 
 
+def unpack_wide(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, WIDE)
+
+
 def chunk_keys(sig: np.ndarray) -> np.ndarray:
     """The keys of each signature: its chunk without one symbol, for every symbol."""
     term = mix(sig.astype(np.uint64) + AT_SYMBOL)
@@ -148,7 +160,7 @@ def chunk_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def first_shared(differs: np.ndarray) -> np.ndarray:
-    """The first key that two signatures share, from where they differ; every pair within DISTANCE shares one."""
+    """The first key that two signatures under a common key share, from where they differ."""
     starts = np.flatnonzero(np.diff(CHUNK_OF, prepend=-1))
     chunk = (np.add.reduceat(differs, starts, axis=1, dtype=np.int64) <= 1).argmax(1)
     inside = differs & (CHUNK_OF == chunk[:, None])
@@ -156,23 +168,25 @@ def first_shared(differs: np.ndarray) -> np.ndarray:
 
 
 def index(classes: DataFrame) -> DataFrame:
-    """(key, id) rows of every class."""
+    """(key, id, slot) rows of every class; slot numbers a signature's keys."""
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         keys = chunk_keys(unpack(batch.column(1)))
         ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), SYMBOLS)
-        return pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(ids)], ["key", "id"])
+        slots = np.tile(np.arange(SYMBOLS, dtype=np.int8), len(keys))
+        return pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(ids), pa.array(slots)], ["key", "id", "slot"])
 
-    return map_rows(classes.select("id", "sig"), run, "key long, id long", rows=2048)
+    return map_rows(classes.select("id", "sig"), run, "key long, id long, slot byte", rows=2048)
 
 
 def near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) whose signatures are within the distance."""
-    both = (pairs.join(classes.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a")
-            .join(classes.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b").select("a", "b", "sig_a", "sig_b"))
+    both = (pairs.join(classes.select(F.col("id").alias("a"), F.col("wide").alias("wide_a")), "a")
+            .join(classes.select(F.col("id").alias("b"), F.col("wide").alias("wide_b")), "b")
+            .select("a", "b", "wide_a", "wide_b"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        apart = (unpack(batch.column(2)) != unpack(batch.column(3))).sum(1)
-        return pa.RecordBatch.from_arrays(list(batch.columns[:2]), ["a", "b"]).filter(pa.array(apart <= DISTANCE))
+        apart = (unpack_wide(batch.column(2)) != unpack_wide(batch.column(3))).sum(1)
+        return pa.RecordBatch.from_arrays(list(batch.columns[:2]), ["a", "b"]).filter(pa.array(apart <= WIDE_DISTANCE))
 
     return map_rows(both, run, "a long, b long", rows=4096)
 
@@ -201,10 +215,12 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return map_rows(both, run, "a long, b long", rows=256)
 
 
-def across(rows: DataFrame) -> DataFrame:
-    """Pairs within the distance from different components under one key; ``rows`` has key, id, component, sig.
+def across(rows: DataFrame, nearest: bool = False) -> DataFrame:
+    """Pairs (a, b) within the distance from different components under one key.
 
-    A key's largest component meets only the other rows, in blocks of bounded size.
+    ``rows`` has key, id, component, sig and wide.  A key's largest component meets
+    only the other rows, in blocks of bounded size.  ``nearest`` gives each other
+    row only the nearest one; all pairs come once each, under their first shared key.
     """
     largest = (rows.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key")
                .agg(F.max(F.struct("n", "component"))["component"].alias("largest")))
@@ -213,20 +229,39 @@ def across(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in runs(batches, ["key", "kind", "i", "j"]):
-            sig, ids, comp = unpack(t.column("sig")), t.column("id").to_numpy(), t.column("component").to_numpy()
+            wide, ids, comp = unpack_wide(t.column("wide")), t.column("id").to_numpy(), t.column("component").to_numpy()
             own, key = t.column("own").to_numpy(), t.column("key")[0].as_py()
+            sig = None if nearest else unpack(t.column("sig"))
             left = np.flatnonzero(own) if t.column("kind")[0].as_py() == 0 else np.arange(len(ids))
+            out = []
             for r in np.flatnonzero(~own).tolist():
                 some = left[comp[left] != comp[r]]
-                differs = sig[some] != sig[r]
-                near = differs.sum(1) <= DISTANCE
-                some = some[near]
-                some = some[chunk_keys(sig[r:r + 1])[0][first_shared(differs[near])] == key] if len(some) else some
-                if len(some):
-                    a, b = ids[some], np.full(len(some), ids[r])
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+                apart = (wide[some] != wide[r]).sum(1)
+                some, apart = some[apart <= WIDE_DISTANCE], apart[apart <= WIDE_DISTANCE]
+                if len(some) and nearest:
+                    k = apart.argmin()
+                    out.append((ids[r:r + 1], ids[some[k:k + 1]], apart[k:k + 1]))
+                elif len(some):
+                    first = chunk_keys(sig[r:r + 1])[0][first_shared(sig[some] != sig[r])] == key
+                    out.append((np.full(int(first.sum()), ids[r]), ids[some[first]], apart[first]))
+            if out:
+                a, b, apart = (np.concatenate(x) for x in zip(*out))
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(apart.astype(np.int32))], ["a", "b", "apart"])
+
+    pairs = dealt.mapInArrow(run, "a long, b long, apart int")
+    if nearest:
+        return pairs.groupBy("a").agg(F.min(F.struct("apart", "b"))["b"].alias("b")).select("a", "b")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def mixed_rows(shared: DataFrame, links: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows (key, id, slot, component, sig, wide) of the keys that hold several components of the links."""
+    grouped = connected_components(links, "minhash-components").withColumnRenamed("node", "id")
+    held = stage(shared.select("key", "id", "slot").join(grouped, "id", "left")
+                 .withColumn("component", F.coalesce("component", "id")), "minhash-held")
+    mixed = (held.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+             .where("low <> high").select("key"))
+    return held.join(mixed, "key").join(classes.select("id", "sig", "wide"), "id")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -234,9 +269,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sigs = stage(signatures(source), "minhash-signatures")
     classes = stage(sigs.where("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b")
-                    .agg(F.min(F.struct("doc_id", "sig")).alias("least"))
-                    .select("set_a", "set_b", F.monotonically_increasing_id().alias("id"),
-                            F.col("least.doc_id").alias("first"), F.col("least.sig").alias("sig")), "minhash-classes")
+                    .agg(F.min(F.struct("doc_id", "sig", "wide")).alias("least"))
+                    .select("set_a", "set_b", F.monotonically_increasing_id().alias("id"), F.col("least.doc_id").alias("first"),
+                            F.col("least.sig").alias("sig"), F.col("least.wide").alias("wide")), "minhash-classes")
     keyed = index(classes)
     stars = keyed.groupBy("key").agg(F.min("id").alias("least"), F.count("*").alias("n")).where("n > 1")
     shared = stage(keyed.join(stars.drop("n"), "key"), "minhash-shared")
@@ -246,15 +281,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                   "minhash-texts")
 
     star = shared.where("id <> least").groupBy("id").agg(F.min("least").alias("a")).withColumnRenamed("id", "b")
-    first = stage(confirmed(near(star.select("a", "b"), classes), texts), "minhash-links")
-    grouped = connected_components(first, "minhash-components")
-    held = stage(shared.select("key", "id").join(grouped.withColumnRenamed("node", "id"), "id", "left")
-                 .withColumn("component", F.coalesce("component", "id")), "minhash-held")
-    mixed = (held.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-             .where("low <> high").select("key"))
-    second = stage(confirmed(across(held.join(mixed, "key").join(classes.select("id", "sig"), "id")), texts), "minhash-links")
-
-    components = connected_components(first.union(second), "minhash-components")
+    links = stage(confirmed(near(star.select("a", "b"), classes), texts), "minhash-links")
+    for turn in range(ROUNDS):
+        rows = mixed_rows(shared, links, classes).where(F.col("slot") % 8 == turn).drop("slot")
+        links = links.union(stage(confirmed(across(rows, nearest=True), texts), "minhash-links"))
+    links = links.union(stage(confirmed(across(mixed_rows(shared, links, classes).drop("slot")), texts), "minhash-links"))
+    components = connected_components(links, "minhash-components")
     of_set = (classes.select("set_a", "set_b", "id", "first")
               .join(components.withColumnRenamed("node", "id"), "id", "left")
               .withColumn("component", F.coalesce("component", "id")))
