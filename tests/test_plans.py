@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from metroflux.plans.warehouse import Warehouse
+from metroflux.plans import registry
 from metroflux.session import checkpoint_dir
 from metroflux.sources import bronze as B
 from metroflux.sources import fixtures
@@ -14,17 +15,19 @@ from tests.conftest import SMOKE
 
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas"]
-SIDE_EFFECTS = ("stream_", "bronze_partition_overwrite", "bronze_gtfs_csv_load", "bronze_weather_json_load",
-                "bronze_landing_listing", "bronze_ingest_run", "dq_")
+SIDE_EFFECTS = ("stream_", "bronze_partition_overwrite", "bronze_gtfs_", "bronze_weather_json_load",
+                "bronze_landing_listing", "bronze_ingest_run", "bronze_incremental_rerun", "bronze_reprocess_date",
+                "bronze_run_accounting", "gold_refresh_models", "dq_")
+QUERIES = registry.queries()
 
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(k for k in E.queries() if not k.startswith(SIDE_EFFECTS)))
+@pytest.mark.parametrize("name", sorted(k for k in QUERIES if not k.startswith(SIDE_EFFECTS)))
 def test_no_cartesian_no_python_udf(spark, name):
-    text = plan(E.queries()[name](spark, SMOKE))
+    text = plan(QUERIES[name](spark, SMOKE))
     for bad in FORBIDDEN:
         assert bad not in text, f"{name}: {bad}"
 
