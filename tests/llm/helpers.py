@@ -1,9 +1,5 @@
 """Small inputs for the training-data operators: every odd case in one table."""
 
-import datetime as dt
-
-from metroflux.sources.partitions import dates_between  # noqa: F401 - the library imports without the subpackage
-
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 EN = "the thing of the other and the water was in the house where they were all the time with some of the others "
 FR = "le chat et la souris dans une maison avec des enfants qui ne sont pas les amis du roi mais de la reine "
@@ -27,6 +23,3 @@ def clashing(df, *names):
     for name in names:
         df = df.withColumn(name, df[df.columns[0]])
     return df
-
-
-DAY = dt.date(2026, 1, 1)
