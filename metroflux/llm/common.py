@@ -60,7 +60,7 @@ def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sche
     return df.mapInArrow(run, schema)
 
 
-def connected_components(edges: DataFrame, label: str = "components", max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, label: str = "components", max_rounds: int = 60, partial: bool = False) -> DataFrame:
     """(node, component) for every node of ``edges`` (columns a, b); component = smallest id reachable.
 
     Large-star / small-star: each round links every node to the smallest node
@@ -68,6 +68,10 @@ def connected_components(edges: DataFrame, label: str = "components", max_rounds
     a node with a map-side pre-aggregated minimum; a hub's rows are split by
     AQE's skew join.  Rounds are written to the shared folder.  Empty edges give
     an empty result; self edges and NULL ends are ignored.
+
+    ``partial`` stops after ``max_rounds`` unsettled: nodes of one label are then
+    connected, but a component may carry several labels; a node that has no row
+    is its own label.
     """
     e = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
               f"{label}-edges")
@@ -83,11 +87,15 @@ def connected_components(edges: DataFrame, label: str = "components", max_rounds
         small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         e = stage(small, f"{label}-round")
+        if partial:
+            continue
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
         before = now
     else:
+        if partial:
+            return e.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -15,7 +15,7 @@ What meets is not paired all against all:
 1. Texts of one shingle set are one class; only one row of it goes on.
 2. Each class is compared with the smallest class it meets under any key (a star),
    first by signature, then on full shingle sets; confirmed links give components.
-   Then, ``ROUNDS`` times and under an eighth of the keys, each class is compared
+   Then (``ROUNDS`` times), under an eighth of the keys, each class is compared
    with the nearest signature of another component, which joins most of a group.
 3. Keys that still hold several components get every pair of different components
    compared by signature, in blocks of bounded size; the rows of the largest
@@ -47,7 +47,7 @@ from metroflux.llm.common import connected_components, deal_blocks, map_rows, ru
 
 WORDS, PERCENT = 5, 85
 SYMBOLS, BITS, CHUNKS, DISTANCE = 64, 16, 12, 23
-WIDE, WIDE_DISTANCE, ROUNDS = 256, 66, 2
+WIDE, WIDE_DISTANCE, ROUNDS = 256, 66, 1
 #: Rows of one side of a block of the exhaustive comparison.
 BLOCK = 512
 WORD_TABLE = 400_000
@@ -255,8 +255,11 @@ def across(rows: DataFrame, nearest: bool = False) -> DataFrame:
 
 
 def mixed_rows(shared: DataFrame, links: DataFrame, classes: DataFrame) -> DataFrame:
-    """Rows (key, id, slot, component, sig, wide) of the keys that hold several components of the links."""
-    grouped = connected_components(links, "minhash-components").withColumnRenamed("node", "id")
+    """Rows (key, id, slot, component, sig, wide) of the keys that hold several components of the links.
+
+    A few rounds of merging suffice: a component with several labels only means pairs compared needlessly.
+    """
+    grouped = connected_components(links, "minhash-components", max_rounds=2, partial=True).withColumnRenamed("node", "id")
     held = stage(shared.select("key", "id", "slot").join(grouped, "id", "left")
                  .withColumn("component", F.coalesce("component", "id")), "minhash-held")
     mixed = (held.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
