@@ -14,7 +14,11 @@ mention's join key may be hot, its other side is unique, and AQE splits it.
 
 Kinds: email, ip, card, ssn, phone, iban, secret, name.  A phone is known by its
 last ten digits, a card by its digits, an email by its lower case, a name token by
-its lower case after a title.
+its lower case.  A name is found by its titles and takes every capitalised token and
+initial that follows, of any length; apostrophes belong to a token (a genitive 's does
+not), particles (von, de la) between tokens stay.  The tokens of a document's names are
+replaced wherever else they stand in it as whole words in the same spelling, also
+without a title.  Secrets are taken up to their end, of any length.
 
 Defined results: NULL text stays NULL; rows without an entity keep their text;
 repeated rows are treated each; all other columns are unchanged.
@@ -31,12 +35,12 @@ from metroflux.llm.common import stage
 KEY = "surrogates-1"
 
 #: Entity patterns in order of precedence (Java regular expressions).
-EMAIL = r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]{1,64}+@[\p{L}\p{N}](?:[\p{L}\p{N}\-]{0,62}\.){1,8}\p{L}{2,24}"
+EMAIL = r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]{1,64}+@[\p{L}\p{N}](?:[\p{L}\p{N}\-]{0,62}\.){1,126}\p{L}{2,24}"
 WORDS_OF_SECRETS = "token|secret|api[_-]?key|access[_-]?key|password|passwd|pwd"
 BEFORE_SECRET = rf"""(?i:{WORDS_OF_SECRETS})["']?\s{{0,3}}[:=]\s{{0,3}}["']?"""
-SECRET = (rf"{BEFORE_SECRET}[A-Za-z0-9][A-Za-z0-9+/_\-.]{{7,511}}={{0,2}}"
+SECRET = (rf"{BEFORE_SECRET}[A-Za-z0-9][A-Za-z0-9+/_\-.]{{7,}}+={{0,2}}"
           r"|\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9\-]{20,}|xox[abp]-[A-Za-z0-9\-]{10,})"
-          r"|\b(?=[0-9]{0,63}[a-f])[0-9a-f]{32,64}\b")
+          r"|\b(?=[0-9]*+[a-f])[0-9a-f]{32,}+\b")
 IBAN = r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IP = rf"(?<![\d.]){OCTET}(?:\.{OCTET}){{3}}(?!\d|\.\d)"
@@ -45,8 +49,15 @@ SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PHONE = (r"(?<![\d.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}"
          r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\d)")
 MALE, FEMALE, EITHER = r"Mr\.?|Herrn?|Monsieur|Señor|Sr\.", r"Mrs\.?|Ms\.?|Frau|Madame|Mme|Señora|Sra\.", r"Dr\.|Prof\."
-TITLE, TOKEN = rf"\b(?:{MALE}|{FEMALE}|{EITHER})\s", r"\p{Lu}[\p{L}\-]{1,24}"
-NAME = rf"{TITLE}{TOKEN}(?: {TOKEN})?"
+TITLES = rf"(?:{MALE}|{FEMALE}|{EITHER})\s"
+TITLE = rf"\b(?:{TITLES}){{1,5}}+"
+TOKEN = r"\p{Lu}(?=['’\-]?\p{L})(?:[\p{L}\p{M}]|['’](?![sS](?!\p{L}))(?=\p{L})|-(?=\p{L}))*+"
+INITIAL = r"(?:\p{Lu}\.-?)++(?= ?\p{Lu})|\p{Lu}(?= \p{Lu}['’\-]?\p{L})"
+PARTICLE = r"(?:(?:[Vv][ao]n|[Dd]e|del|della|da|di|dos|du)(?: (?:der|den|dem|la|las|los|le|zu|und zu))? |[dl]['’])"
+PART = rf"{PARTICLE}?(?:{INITIAL}|{TOKEN})"
+NAME = rf"{TITLE}{PART}(?:(?: |(?<=\.))(?!{TITLES}){PART})*+"
+#: One part of what follows the titles in a NAME: the text before, and the token or initials.
+PIECE = rf"((?:^| |(?<=\.)){PARTICLE}?)((?:\p{{Lu}}\.-?)++|\p{{Lu}}(?:[\p{{L}}\p{{M}}]|['’\-](?=\p{{L}}))*+)"
 PATTERN = "|".join(f"(?:{p})" for p in (EMAIL, SECRET, IBAN, IP, CARD, SSN, PHONE, NAME))
 #: A text without a match of this has no entity; it spares most texts the whole pattern.
 HINT = rf"[0-9@=:]|{TITLE}"
@@ -72,10 +83,24 @@ def values_of(kind: Column, match: Column) -> Column:
     piece = lambda before, value: F.struct(before.alias("before"), value.alias("mention"))
     before = F.regexp_extract(match, rf"^(?:{BEFORE_SECRET}|{TITLE})", 0)
     rest = F.substr(match, F.length(before) + 1)
-    words = F.transform(F.split(rest, " "), lambda w, i: piece(F.when(i == 0, before).otherwise(F.lit(" ")), w))
+    words = F.zip_with(F.regexp_extract_all(rest, F.lit(PIECE), 1), F.regexp_extract_all(rest, F.lit(PIECE), 2), piece)
+    # The titles stand before the first of the name's parts.
+    words = F.transform(words, lambda w, i: piece(F.when(i == 0, F.concat(before, w["before"])).otherwise(w["before"]), w["mention"]))
     return F.when(kind == "name", words).when(kind == "secret", F.array(piece(before, rest))).otherwise(F.array(piece(F.lit(""), match)))
 
 
+def names_in(matches: Column) -> Column:
+    """The name tokens of a document's matches, initials left out; of two with one beginning the longer comes first."""
+    titled = F.filter(matches, lambda m: m.rlike(rf"^{TITLE}"))
+    tokens = F.transform(titled, lambda m: F.regexp_extract_all(F.regexp_replace(m, rf"^{TITLE}", ""), F.lit(PIECE), 2))
+    return F.sort_array(F.array_distinct(F.filter(F.flatten(tokens), lambda t: t.rlike(r"^..+$") & ~t.contains("."))), asc=False)
+
+
+def pattern_with(names: Column) -> Column:
+    """PATTERN, and the names as whole words; names are letters, apostrophes and hyphens, so nothing is quoted."""
+    return F.concat(F.lit(PATTERN + r"|(?<![\p{L}\p{M}\p{N}])(?=\p{Lu})(?:"), F.array_join(names, "|"), F.lit(r")(?![\p{L}\p{M}\p{N}])"))
+
+
 def identity(kind: Column, mention: Column) -> Column:
     """What two mentions of one entity have in common."""
     digits = F.regexp_replace(mention, r"[^0-9]", "")
@@ -113,6 +138,10 @@ def reshaped(text: Column, numbers: Column) -> Column:
                         .otherwise(F.zip_with(chars, enough, one)), "")
 
 
+def among_letters(number: Column) -> Column:
+    return F.chr(F.lit(97) + number % 26)
+
+
 def check_sum(digits: Column) -> Column:
     """The Luhn sum modulo 10 (0: valid)."""
     from_end = F.reverse(F.filter(F.split(digits, ""), lambda c: c != ""))
@@ -141,13 +170,16 @@ def with_surrogate(entities: DataFrame, attempt: int, key: str) -> DataFrame:
     # Latin names are built from syllables, one more with each attempt; other scripts keep their letters.
     latin = F.concat(*[syllable(2 * i + 1) for i in range(3 + min(attempt, 4))],
                      F.when(gender == "f", "na").when(gender == "m", "ron").otherwise("l"))
+    # Initials grow by one more with each attempt after the second.
+    more = F.concat(F.lit(""), *[F.concat(among_letters(at(6 + i)), F.lit(".")) for i in range(min(max(attempt - 1, 0), 8))])
     return (entities.withColumn("numbers", keyed(kind, entity, attempt, key))
             .withColumn("plain", reshaped(entity, F.col("numbers")))
             .withColumn("body", F.when(kind == "card", body))
             .withColumn("check", F.when(kind == "card", F.pmod(F.lit(10) - check_sum(F.concat("body", F.lit("0"))), F.lit(10))))
             .withColumn("sound", F.when(kind == "card", check_sum(entity) == 0))
             .withColumn("surrogate", F.when(kind == "email", F.concat(grown, email)).when(kind == "ip", ip).when(kind == "card", card)
-                        .when((kind == "name") & entity.rlike(r"^[\p{IsLatin}-]+$"), latin)
+                        .when((kind == "name") & entity.rlike(r"^[\p{IsLatin}\p{M}'’-]+$"), latin)
+                        .when((kind == "name") & entity.contains("."), F.concat(plain, more))
                         .when(kind == "iban", F.concat(F.substring(entity, 1, 2), F.substr(plain, F.lit(3), F.length(entity))))
                         .when(kind == "secret", F.concat(plain, grown)).otherwise(plain))
             .drop("numbers", "plain", "body", "check", "sound"))
@@ -193,8 +225,9 @@ def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
 
 
 def mentions(found: DataFrame) -> DataFrame:
-    """(row, at, part, kind, entity, before, mention, gender) of everything to replace in ``found`` (row, matches)."""
-    return (found.select("row", F.posexplode("matches").alias("at", "match")).withColumn("kind", kind_of(F.col("match")))
+    """(row, at, part, kind, entity, before, mention, gender) of everything to replace in ``found`` (row, matches, names)."""
+    return (found.select("row", "names", F.posexplode("matches").alias("at", "match"))
+            .withColumn("kind", F.when(F.array_contains("names", F.col("match")), "name").otherwise(kind_of(F.col("match"))))
             .withColumn("gender", F.when(F.col("match").rlike(rf"^(?:{MALE})\s"), "m").when(F.col("match").rlike(rf"^(?:{FEMALE})\s"), "f"))
             .select("row", "at", "kind", F.when(F.col("kind") == "name", F.col("gender")).alias("gender"),
                     F.posexplode(values_of(F.col("kind"), F.col("match"))).alias("part", "value"))
@@ -213,7 +246,11 @@ def replace(docs: DataFrame, text_col: str = "text", key: str = KEY, length_col:
     matches = F.regexp_extract_all("text", F.lit(PATTERN), 0)
     none = F.coalesce(F.size(F.when(hint, matches)) <= 0, F.lit(True))
     found = stage(held.where(hint).withColumn("matches", matches).where(F.size("matches") > 0)
-                  .withColumn("parts", F.split("text", PATTERN, -1)).drop("text")
+                  .withColumn("names", names_in(F.col("matches"))).withColumn("named", F.size("names") > 0)
+                  .withColumn("pattern", F.when(F.col("named"), pattern_with(F.col("names"))))
+                  .withColumn("matches", F.when(F.col("named"), F.regexp_extract_all("text", F.col("pattern"), F.lit(0))).otherwise(F.col("matches")))
+                  .withColumn("parts", F.when(F.col("named"), F.split("text", F.col("pattern"), -1)).otherwise(F.split("text", PATTERN, -1)))
+                  .drop("text", "named", "pattern")
                   .withColumn("row", F.monotonically_increasing_id()), "surrogates-found")
     seen = stage(mentions(found), "surrogates-mentions")
     entities = (seen.groupBy("kind", "entity").agg(F.min("gender").alias("low"), F.max("gender").alias("high"))

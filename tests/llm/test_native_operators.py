@@ -49,6 +49,32 @@ def test_surrogates_keep_type_format_and_coreference(spark):
     assert re.search(r"[а-я]+@[а-я]+\.рф", out[10])
 
 
+def test_entities_are_replaced_to_their_end(spark):
+    jwt, sha = "eyJhbGci." + "aB3_" * 230 + ".Zz9", "0a" * 64
+    out = replaced(spark, [
+        (1, "Mrs. Anna Maria Schmidt met Mr. O'Brien and Mr. J. Smith; O'Brien's car, Smith and Schmidt left. Smithson, blacksmith, SMITH stay."),
+        (2, f"token: {jwt} end {sha} end"), (3, "Frau Dr. Ursula von der Leyen, Herr Müller Frau Weber. Leyen sprach."),
+        (4, "Mr. " + "Wolfeschlegelsteinhausen" * 2 + " Prof. J.R.R. Tolkien, Dr. A.Berg"), (5, "Smith and Schmidt without a title"),
+    ])
+    one = re.fullmatch(r"Mrs\. (\w+) (\w+) (\w+) met Mr\. (\w+) and Mr\. (\w\.) (\w+); (\w+)'s car, (\w+) and (\w+) left\. "
+                       r"Smithson, blacksmith, SMITH stay\.", out[1])
+    assert one and one[7] == one[4] and one[8] == one[6] and one[9] == one[3]
+    assert not set(one.groups()) & {"Anna", "Maria", "Schmidt", "J.", "Smith"} and "Brien" not in out[1]
+    two = re.fullmatch(r"token: (\S+) end ([0-9a-f]{128}) end", out[2])
+    assert two and len(two[1]) == len(jwt) and two[2] != sha and not any(jwt[k:k + 8] in two[1] for k in range(0, len(jwt) - 8))
+    three = re.fullmatch(r"Frau Dr\. (\w+) von der (\w+), Herr (\w+) Frau (\w+)\. (\w+) sprach\.", out[3])
+    assert three and three[5] == three[2] and not set(three.groups()) & {"Ursula", "Leyen", "Müller", "Weber"}
+    assert re.fullmatch(r"Mr\. [A-Z][a-z]+ Prof\. \w\.\w\.\w\. [A-Z][a-z]+, Dr\. \w\.[A-Z][a-z]+", out[4])
+    assert not re.search("olfe|Tolk|Berg|J\\.R", out[4]) and out[5] == "Smith and Schmidt without a title"
+
+
+def test_all_initials_get_distinct_surrogates(spark):
+    letters = [chr(65 + k) for k in range(26)]
+    out = replaced(spark, [(k, f"Mr. {c}. Smith") for k, c in enumerate(letters)])
+    got = [out[k].split(" ")[1] for k in range(26)]
+    assert len(set(got)) == 26 and not {c + "." for c in letters} & set(got)
+
+
 def test_surrogates_are_distinct_and_depend_on_the_key(spark):
     rows = [(k, f"from 10.0.{k // 250}.{k % 250 + 1} a{k % 26}@x.com") for k in range(3000)]
     a, b = replaced(spark, rows), replaced(spark, rows, key="other")
