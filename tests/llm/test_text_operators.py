@@ -1,6 +1,7 @@
 """Language ID, BPE, packing, quality rules and token counts on small inputs."""
 
 import hashlib
+import pathlib
 import zlib
 from collections import Counter, defaultdict
 
@@ -154,6 +155,28 @@ def test_quality_rejects_repetitive_and_random_text(spark):
     assert op5_quality.keep_good(empty_documents(spark)).count() == 0
 
 
+NATURAL = sorted({p.resolve() for p in pathlib.Path("/usr/share/common-licenses").glob("*") if p.resolve().stat().st_size > 3000})
+
+
+@pytest.mark.skipif(not NATURAL, reason="no English files on this machine")
+def test_quality_keeps_natural_texts(spark):
+    rows = [(k, p.read_text()) for k, p in enumerate(NATURAL)]
+    rows += [(1000 * (j + 1) + k, t[:n]) for j, n in enumerate((1200, 2500, 5000)) for k, t in rows]
+    got = op5_quality.quality(spark.createDataFrame(rows, "doc_id long, text string")).where("not base_failed").collect()
+    assert len(got) > 2 * len(NATURAL) and [(r.doc_id, r.ratio) for r in got if not r.kept] == []
+
+
+@pytest.mark.skipif(not NATURAL, reason="no English files on this machine")
+def test_quality_finds_a_bad_passage_anywhere(spark):
+    rng = np.random.default_rng(2)
+    noise = "".join(map(chr, rng.integers(33, 127, 2000)))
+    good = NATURAL[0].read_text()[:8192]
+    rows = [(1, good + noise), (2, noise + good), (3, good[:4096] + noise + good[4096:]), (4, good), (5, good[:5000])]
+    out = {r.doc_id: r for r in op5_quality.quality(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [out[k].kept for k in range(1, 6)] == [False, False, False, True, True]
+    assert out[1].n_chunks == 5 and out[5].n_chunks == 3 and out[4].n_chunks == 4
+
+
 def test_language_accuracy_on_the_held_out_fold(spark):
     docs = read_table(spark, "/root/testdata/sf0.01", "documents")
     got = op1_language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out")
