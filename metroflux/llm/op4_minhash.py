@@ -267,8 +267,8 @@ def mixed_rows(shared: DataFrame, links: DataFrame, classes: DataFrame) -> DataF
     return held.join(mixed, "key").join(classes.select("id", "sig", "wide"), "id")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Query op4: (doc_id, n_shingles, component_id, kept) per row."""
+def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, set_a, set_b, component, component_id, kept) per row; component tells groups of one least id apart."""
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sigs = stage(signatures(source), "minhash-signatures")
     classes = stage(sigs.where("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b")
@@ -294,21 +294,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .join(components.withColumnRenamed("node", "id"), "id", "left")
               .withColumn("component", F.coalesce("component", "id")))
     least = of_set.groupBy("component").agg(F.min("first").alias("least"))
-    of_set = of_set.join(least, "component").select("set_a", "set_b", "least")
+    of_set = of_set.join(least, "component").select("set_a", "set_b", "component", "least")
     return (sigs.join(of_set, ["set_a", "set_b"], "left")
-            .select("doc_id", "n_shingles",
+            .select("doc_id", "n_shingles", "set_a", "set_b", "component",
                     F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("least"))
                     .otherwise(F.col("doc_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Query op4: (doc_id, n_shingles, component_id, kept) per row."""
+    return judged(docs, id_col, text_col).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of ``docs`` per near-duplicate group, all columns unchanged (the pipeline's stage).
 
-    The row of the group's smallest id stays; of rows that repeat an id one stays.
-    Rows without an id all stay.
+    The row of the group's smallest id stays; of the group's rows that repeat this id one
+    stays, that of the least shingle set and hash.  An id's texts of different groups are
+    judged each, and so are its texts without words.  Rows without an id all stay.
     """
     cols = docs.columns
-    kept = near_duplicates(docs, id_col, text_col).where("kept and doc_id is not null").select(F.col("doc_id").alias("__kept")).distinct()
-    named = docs.join(kept, docs[id_col].cast("long") == kept["__kept"], "left_semi").dropDuplicates([id_col])
-    return named.unionByName(docs.where(F.col(id_col).isNull())).select(*cols)
+    kept = (judged(docs, id_col, text_col).where("kept and doc_id is not null").groupBy("doc_id", "component")
+            .agg(F.min(F.struct("set_a", "set_b")).alias("least"))
+            .select(F.col("doc_id").alias("id"), "least.set_a", "least.set_b"))
+    held = docs.where(F.col(id_col).cast("long").isNotNull()).select(
+        F.struct(*[docs[c] for c in cols]).alias("row"), docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ends = b"".join(set_digest(shingles(t)) for t in batch.column(2).to_pylist())
+        pair = np.frombuffer(ends, "<i8").reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy())],
+                                          ["row", "id", "set_a", "set_b"])
+
+    schema = f"row {held.schema['row'].dataType.simpleString()}, id long, set_a long, set_b long"
+    named = (map_rows(held, run, schema).join(kept, ["id", "set_a", "set_b"])
+             .groupBy("id", "set_a", "set_b").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*"))
+    return named.unionByName(docs.where(F.col(id_col).cast("long").isNull())).select(*cols)

@@ -102,6 +102,13 @@ def test_keep_first_leaves_one_of_each_group(spark, family):
     assert sorted(i for i in got if i is not None) == sorted(want) and got.count(None) == 1
 
 
+def test_keep_first_judges_each_text_of_an_id(spark):
+    copied, new, other = ("".join(f"{w}{k} " for k in range(30)) for w in "xyz")
+    rows = [(3, copied, 1), (5, copied, 2), (5, new, 3), (5, new, 3), (5, other, 4), (5, new + "end", 5), (6, "", 6), (6, other + "end", 7)]
+    got = [tuple(r) for r in op4_minhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string, set_a long")).collect()]
+    assert sorted((i, t.split()[0] if t else "") for i, t, _ in got) == [(3, "x0"), (5, "y0"), (5, "z0"), (6, "")] and set(got) <= set(rows)
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 200 + k) for k in range(50)] + [(7, 7), (300, 299)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
