@@ -2,12 +2,17 @@
 
 Pages of a host share a template.  Each page's containers are scored by the
 text they hold outside links and boilerplate, and the page votes for its best
-container's path of tags and classes, with digits generalised.  Spark counts the
-votes per host, and every page is extracted anew at its host's winning path;
-a page without such a container uses its own best one.
+container's path of tags and classes, with digits generalised.  The best one is
+found from the page down, never below an article, and no further where a heading or
+much text stands beside.  Spark counts the votes per host, and every page is extracted
+anew at its host's winning path; a page without such a container uses its own best
+one, and so does a page that holds less than ``SHARE`` of its text there, not counting
+containers that at least half of the pages with that vote have beside it.
 
 Left out everywhere: scripts, styles, menus, forms, adverts, notices, sidebars,
-footers, reader comments and the like, by tag or by words of class and id.
+footers, reader comments and the like, by tag or by words of class, id and role.  A name
+that has other words too (has-sidebar) does not count for an element that holds most
+of the page's text and all its articles.
 
 Defined results: NULL or blank html gives empty text; NULL or odd urls share one
 host; broken markup is read as far as it goes (unclosed elements end with their
@@ -25,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metroflux.llm.common import map_rows
+from metroflux.llm.common import map_rows, stage
 
 #: Element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -46,8 +51,8 @@ BOILERPLATE = frozenset("""ad ads advert adverts advertisement advertising adsen
     popup modal overlay comment comments reply replies disqus share sharing social related recommended newsletter
     subscribe subscription signup login pagination pager toolbar widget skip masthead topbar disclaimer""".split())
 PAGE_HEADER = frozenset("header masthead".split())
-#: A container is left for its best child while the child holds this share of the text.
-SHARE = 0.6
+#: A container is left for an article or main that holds this share of its text, for another child at the greater share.
+SHARE, NEARLY_ALL = 0.6, 0.9
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)(>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -55,10 +60,10 @@ HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)", re.I)
 
 
 class Element:
-    __slots__ = ("tag", "label", "parent", "dropped", "children", "own", "linked")
+    __slots__ = ("tag", "label", "parent", "dropped", "suspect", "children", "own", "linked")
 
-    def __init__(self, tag: str, label: str, parent: Element | None, dropped: bool):
-        self.tag, self.label, self.parent, self.dropped = tag, label, parent, dropped
+    def __init__(self, tag: str, label: str, parent: Element | None, dropped: bool, suspect: bool = False):
+        self.tag, self.label, self.parent, self.dropped, self.suspect = tag, label, parent, dropped, suspect
         self.children: list[Element] = []
         self.own = 0  # characters outside links whose nearest container is this
         self.linked = tag == "a" or (parent is not None and parent.linked)
@@ -72,18 +77,43 @@ class Element:
         return ">".join(reversed(parts))
 
 
-def describe(tag: str, attributes: str, inside_article: bool) -> tuple[str, bool]:
-    """The element's generalised label (tag and classes) and whether it is boilerplate."""
+def describe(tag: str, attributes: str, inside_article: bool) -> tuple[str, bool, bool]:
+    """The element's generalised label (tag and classes), whether it is boilerplate, and whether part of a name hints at it."""
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)} if attributes.strip() else {}
     classes = sorted({re.sub(r"\d+", "0", c.lower()) for c in found.get("class", "").split()})
     label = ".".join([tag, *classes])
     if tag in DROPPED or (tag == "header" and not inside_article):
-        return label, True
+        return label, True, False
     if tag in ("body", "html", "article", "main"):
-        return label, False
-    words = set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", " ".join(found.values())).lower()))
-    boilerplate = bool(words & BOILERPLATE) or bool(words & PAGE_HEADER and not inside_article)
-    return label, boilerplate or bool(attributes and HIDDEN.search(attributes))
+        return label, False, False
+    words = BOILERPLATE if inside_article else BOILERPLATE | PAGE_HEADER
+    names = [set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())) for name in " ".join(found.values()).split()]
+    whole = any(name and name <= words for name in names)
+    return label, whole or bool(attributes and HIDDEN.search(attributes)), any(name & words for name in names)
+
+
+def settle(root: Element, texts: list[tuple[Element, str | None]]) -> list[tuple[Element, str | None]]:
+    """The texts without those of suspect elements; one stays that holds most of the page's text and all its articles."""
+    order = [root]
+    for e in order:
+        order.extend(c for c in e.children if not c.dropped)
+    if not any(e.suspect for e in order):
+        return texts
+    size, articles, above = dict.fromkeys(order, 0), dict.fromkeys(order, 0), dict.fromkeys(order, 0)
+    for e, text in texts:
+        if text is not None and not e.linked:
+            size[e] += len(text.strip())
+    semantic = lambda e: e.tag in ("article", "main") and size[e] > 0
+    for e in reversed(order):
+        articles[e] += semantic(e)
+        if e.parent is not None:
+            size[e.parent] += size[e]
+            articles[e.parent] += articles[e]
+    for e in order[1:]:
+        above[e] = above[e.parent] + semantic(e.parent)
+        most = 2 * size[e] > size[root] and above[e] + articles[e] == articles[root]
+        e.dropped = e.parent.dropped or (e.suspect and not most)
+    return [(e, text) for e, text in texts if text is None or not e.dropped]
 
 
 def parse(page: str) -> tuple[Element, list[tuple[Element, str | None]]]:
@@ -140,9 +170,9 @@ def parse(page: str) -> tuple[Element, list[tuple[Element, str | None]]]:
             texts.append((at, None))
         if tag in VOID:
             continue
-        label, boilerplate = describe(tag, m[3], any(e.tag == "article" for e in stack))
+        label, boilerplate, suspect = describe(tag, m[3], any(e.tag == "article" for e in stack))
         n += 1
-        child = Element(tag, label, at, at.dropped or boilerplate)
+        child = Element(tag, label, at, at.dropped or boilerplate, suspect)
         at.children.append(child)
         if tag in RAW:
             stop = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(page, pos)
@@ -151,7 +181,7 @@ def parse(page: str) -> tuple[Element, list[tuple[Element, str | None]]]:
         if not m[3].endswith("/") or tag in CONTAINERS:
             stack.append(child)
             at = child
-    return root, texts
+    return root, settle(root, texts)
 
 
 def holds_blocks(e: Element) -> bool:
@@ -165,32 +195,47 @@ def container_of(e: Element) -> Element:
     return e
 
 
-def score(root: Element, texts: list[tuple[Element, str | None]]) -> tuple[Element, int]:
-    """The page's best container and the characters it holds."""
+def containers(e: Element) -> Iterator[Element]:
+    """The nearest container elements below."""
+    todo = list(e.children)
+    for c in todo:
+        if not c.dropped:
+            if holds_blocks(c):
+                yield c
+            else:
+                todo.extend(c.children)
+
+
+def tally(root: Element, texts: list[tuple[Element, str | None]]) -> tuple[dict[Element, int], dict[Element, int]]:
+    """The characters and the main headings that each element holds."""
+    order, total, heads = [root], {}, {}
+    for e in order:
+        e.own = 0
+        order.extend(c for c in e.children if not c.dropped)
     for e, text in texts:
         if text is not None and not e.linked:
             container_of(e).own += len(text.split()) and len(text)
-    order, total = [root], {}
-    for e in order:
-        order.extend(c for c in e.children if not c.dropped)
     for e in reversed(order):
-        total[e] = e.own + sum(total[c] for c in e.children if not c.dropped)
-
-    def containers(e: Element) -> Iterator[Element]:
-        todo = list(e.children)
-        for c in todo:
-            if not c.dropped:
-                if holds_blocks(c):
-                    yield c
-                else:
-                    todo.extend(c.children)
+        below = [c for c in e.children if not c.dropped]
+        total[e] = e.own + sum(total[c] for c in below)
+        heads[e] = (e.tag in ("h1", "h2")) + sum(heads[c] for c in below)
+    return total, heads
+
 
+def score(root: Element, total: dict[Element, int], heads: dict[Element, int]) -> Element:
+    """The page's best container."""
     best = root
-    while True:
+    while best.tag != "article":
         child = max(containers(best), key=total.__getitem__, default=None)
-        if child is None or not total[best] or total[child] < SHARE * total[best]:
-            return best, total[best]
+        if child is None or not total[best]:
+            break
+        semantic = child.tag in ("article", "main") and best.tag != "main"
+        if total[child] < (1 if best.tag == "main" else SHARE if semantic else NEARLY_ALL) * total[best]:
+            break
+        if not semantic and heads[best] and not heads[child]:
+            break
         best = child
+    return best
 
 
 def text_of(texts: list[tuple[Element, str | None]], chosen: set[Element] | None) -> str:
@@ -213,31 +258,63 @@ def text_of(texts: list[tuple[Element, str | None]], chosen: set[Element] | None
     return " ".join("".join(parts).split())
 
 
-def vote(page: str | None) -> tuple[str | None, int]:
+def vote(page: str | None) -> tuple[str | None, int, list[str]]:
+    """The best container's path, the characters it holds, and the paths of the containers beside it and its ancestors."""
     if not page or not page.strip():
-        return None, 0
-    best, total = score(*parse(page))
-    return (best.path(), total) if total else (None, 0)
+        return None, 0, []
+    root, texts = parse(page)
+    total, heads = tally(root, texts)
+    best = score(root, total, heads)
+    if not total[best]:
+        return None, 0, []
+    beside, e = set(), best
+    while e.parent is not None:
+        e = e.parent
+        if holds_blocks(e) or e.parent is None:
+            beside.update(c.path() for c in containers(e) if total[c] and not within(best, c))
+    return best.path(), total[best], sorted(beside - {best.path()})
+
+
+def within(e: Element | None, outer: Element) -> bool:
+    while e is not None and e is not outer:
+        e = e.parent
+    return e is outer
+
 
+def extract(page: str | None, path: str | None, beside: list[str] | None = None) -> str:
+    """The page's text at the path, or at its own best container where the path holds less than its share of it.
 
-def extract(page: str | None, path: str | None) -> str:
-    """The page's text at the path, or at its own best container where the path holds none."""
+    ``beside`` has the paths of containers that the host's pages usually have outside the path.
+    """
     if not page:
         return ""
     root, texts = parse(page)
     if path is not None:
         chosen: set[Element] = set()
+        usual: list[Element] = []
         todo = [root]
         for e in todo:
             if not e.dropped:
-                if holds_blocks(e) and e.path() == path:
+                at = e.path() if holds_blocks(e) else None
+                if at == path:
                     chosen.add(e)
+                elif at is not None and beside and at in beside:
+                    usual.append(e)
                 else:
                     todo.extend(e.children)
         if chosen and (text := text_of(texts, chosen)):
-            return text
-    best, _ = score(root, texts)
-    return text_of(texts, {best})
+            total, heads = tally(root, texts)
+            held = sum(total[e] for e in chosen)
+            if held >= SHARE * (total[root] - sum(total[e] for e in usual)):
+                return text
+            for e in usual:
+                e.dropped = True
+                usual.extend(e.children)
+            rest = [(e, t) for e, t in texts if t is None or not e.dropped]
+            total, heads = tally(root, rest)
+            best = score(root, total, heads)
+            return text_of(rest, {best}) if total[best] > held else text
+    return text_of(texts, {score(root, *tally(root, texts))})
 
 
 def host_of(url: Column) -> Column:
@@ -246,25 +323,33 @@ def host_of(url: Column) -> Column:
 
 
 def winning_paths(pages: DataFrame) -> DataFrame:
-    """(host, path): the path that most pages of the host vote for; ``pages`` has host and html."""
+    """(host, path, beside): the path that most pages of the host vote for; ``pages`` has host and html.
+
+    ``beside`` has the paths of the containers outside it that at least half of these pages have.
+    """
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         votes = [vote(p) for p in batch.column(1).to_pylist()]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([v[0] for v in votes], pa.string()),
-                                           pa.array([v[1] for v in votes], pa.int64())], ["host", "path", "chars"])
+                                           pa.array([v[1] for v in votes], pa.int64()), pa.array([v[2] for v in votes], pa.list_(pa.string()))],
+                                          ["host", "path", "chars", "beside"])
 
-    votes = map_rows(pages.select("host", "html"), run, "host string, path string, chars long", rows=256).where("path is not null")
-    return (votes.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"))
-            .groupBy("host").agg(F.max(F.struct("n", "chars", "path"))["path"].alias("path")))
+    votes = stage(map_rows(pages.select("host", "html"), run, "host string, path string, chars long, beside array<string>", rows=256)
+                  .where("path is not null"), "html-votes")
+    best = (votes.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"))
+            .groupBy("host").agg(F.max(F.struct("n", "chars", "path")).alias("best")).select("host", "best.path", "best.n"))
+    usual = (votes.select("host", "path", F.explode("beside").alias("other")).groupBy("host", "path", "other").agg(F.count("*").alias("m"))
+             .join(best, ["host", "path"]).where("2 * m >= n").groupBy("host").agg(F.sort_array(F.collect_list("other")).alias("beside")))
+    return best.drop("n").join(usual, "host", "left")
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Query op9: (page_id, url, text, n_chars) per row."""
     src = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"),
                        F.col(html_col).cast("string").alias("html")).withColumn("host", host_of(F.col("url")))
-    joined = src.join(winning_paths(src), "host", "left").select("page_id", "url", "html", "path")
+    joined = src.join(winning_paths(src), "host", "left").select("page_id", "url", "html", "path", "beside")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        text = [extract(p, path) for p, path in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+        text = [extract(*row) for row in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)))]
         return pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(text, pa.string()), pa.array(map(len, text), pa.int64())],
                                           ["page_id", "url", "text", "n_chars"])
 

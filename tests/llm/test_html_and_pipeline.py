@@ -46,6 +46,23 @@ def test_host_votes_outweigh_one_page(spark):
     assert got[9] == "brief story"
 
 
+def test_whole_articles_of_nested_and_minority_templates(spark):
+    body, lead = "body words follow here " * 40, "lead words "
+    nested = f"<article><h1>Title</h1><div class=lead><p>{lead}</p></div><div class=body><p>{body}</p></div></article>"
+    plain = f"<div class=page><h1>Title</h1><div class=lead><p>{lead}</p></div><div class=body><p>{body}</p></div></div>"
+    whole = " ".join(f"Title {lead} {body}".split())
+    major = f"<body><div class=story><p>{body}</p></div><div class=extra><p>{lead * 3}</p></div></body>"
+    minor = f"<body><div class=story><p>teaser</p></div><div class=long><h1>Title</h1><p>{lead}</p><p>{body}</p></div></body>"
+    pages = {"a": [f"<body>{nested}</body>"] * 3, "b": [f"<body>{plain}</body>"] * 3,
+             "c": [major] * 5 + [minor], "d": [f"<body><div class='layout has-sidebar'>{nested}<div class=sidebar><p>no</p></div></div></body>"],
+             "e": [f"<body><div id='content-side'><p>{body}</p></div><div class=comment-list><p>no</p></div></body>"],
+             "f": [f"<body>{nested}<div class=comment-list><p>{body * 4}</p></div></body>"]}
+    rows = [(f"{h}{k}", f"http://{h}.example.com/{k}", p) for h, ps in pages.items() for k, p in enumerate(ps)]
+    got = {r.page_id: r.text for r in op9_html.main_text(spark.createDataFrame(rows, "page_id string, url string, html string")).collect()}
+    assert {got[k] for k in ("a0", "a2", "b0", "b1", "d0", "f0")} == {whole}
+    assert got["c0"] == got["e0"] == body.strip() and whole in got["c5"]
+
+
 def test_queries_are_registered_once_per_operator():
     names = list(queries.queries())
     assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
