@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from metroflux.llm import op1_language, op10_sharding, op2_bpe, op3_packing, op4_minhash, op5_quality, op6_embedding_dedup, op7_token_counts, op8_pii, op9_html
+from metroflux.llm import (op1_language, op2_bpe, op3_packing, op4_minhash, op5_quality, op6_embedding_dedup, op7_token_counts, op8_pii,
+                           op9_html, op10_sharding, op11_prefix_trie, op12_licenses, op13_spelling, oracle)
 from metroflux.llm.common import read_table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +63,21 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_sharding.sharded(read_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all rebuilt conversations."""
+    return op11_prefix_trie.rebuilt_trie(read_table(spark, sf_dir, "conversations"))
+
+
+def op12_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License labels of every whole text by ordered signature rules."""
+    return op12_licenses.licenses(read_table(spark, sf_dir, "documents"))
+
+
+def op13_pivotal_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all texts, with their most frequent form."""
+    return op13_spelling.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Builder]:
     return {
         "op1_language_kernel": op1_language_kernel,
@@ -74,8 +90,16 @@ def queries() -> dict[str, Builder]:
         "op8_surrogates": op8_surrogates,
         "op9_consensus_paths": op9_consensus_paths,
         "op10_hilbert_shards": op10_hilbert_shards,
+        "op11_prefix_trie_rollup": op11_prefix_trie_rollup,
+        "op12_license_rules": op12_license_rules,
+        "op13_pivotal_grams": op13_pivotal_grams,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_hamming_near_dedup": oracle.NEAR_DUPLICATES,
+        "op6_sorted_projections": oracle.EMBEDDING_LINKS,
+        "op11_prefix_trie_rollup": oracle.PREFIX_TRIE,
+        "op13_pivotal_grams": oracle.SPELLING_VARIANTS,
+    }
