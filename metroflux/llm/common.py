@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from metroflux.session import checkpoint_dir
@@ -50,6 +52,28 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+_TABLE: list = [None, None]
+
+
+def worker_table(owner, make: Callable[[], object]):
+    """The Python worker's table of ``owner``, made once.
+
+    Workers are reused by the stages of an application; one table is held at a time, so a
+    worker's memory is that of its present stage, not of all before it.
+    """
+    if _TABLE[0] != owner:
+        _TABLE[:] = None, None
+        _TABLE[:] = owner, make()
+    return _TABLE[1]
+
+
+def give_back() -> None:
+    """Returns what the allocators hold of a finished task to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str,
              rows: int = 512) -> DataFrame:
     """``mapInArrow`` that hands ``fn`` slices of at most ``rows`` rows, so memory follows the slice."""
@@ -57,10 +81,11 @@ def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sche
         for batch in batches:
             for start in range(0, batch.num_rows, rows):
                 yield fn(batch.slice(start, rows))
+        give_back()
     return df.mapInArrow(run, schema)
 
 
-def connected_components(edges: DataFrame, label: str = "components", max_rounds: int = 60, partial: bool = False) -> DataFrame:
+def connected_components(edges: DataFrame, label: str = "components", max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges`` (columns a, b); component = smallest id reachable.
 
     Large-star / small-star: each round links every node to the smallest node
@@ -68,10 +93,6 @@ def connected_components(edges: DataFrame, label: str = "components", max_rounds
     a node with a map-side pre-aggregated minimum; a hub's rows are split by
     AQE's skew join.  Rounds are written to the shared folder.  Empty edges give
     an empty result; self edges and NULL ends are ignored.
-
-    ``partial`` stops after ``max_rounds`` unsettled: nodes of one label are then
-    connected, but a component may carry several labels; a node that has no row
-    is its own label.
     """
     e = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
               f"{label}-edges")
@@ -80,22 +101,19 @@ def connected_components(edges: DataFrame, label: str = "components", max_rounds
         # large-star: neighbours above u move to the least of u's neighbourhood
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .where("u <> v").distinct())
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         # small-star: neighbours below u, and u itself, move to the least of them
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        e = stage(small, f"{label}-round")
-        if partial:
-            continue
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        # Counted in the write itself: a round is one job.
+        seen = Observation()
+        e = stage(small.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum")), f"{label}-round")
+        now = seen.get
         if now == before:
             break
         before = now
     else:
-        if partial:
-            return e.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

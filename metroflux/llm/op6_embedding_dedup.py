@@ -5,9 +5,13 @@ orders all vectors by that bit string; close vectors agree in long prefixes and
 land near each other.  Every vector is compared, in double precision, with the
 ``WINDOW`` vectors after it, and the verified pairs of all passes are united.
 
-The number of passes follows from the number of vectors, so that a pair at the
-threshold itself is found with probability ``RECALL`` at any size: it must agree
-in about log2(n / (2 * WINDOW)) leading bits in one of the passes.
+A pass finds every pair that agrees in its leading ``prefix_bits``: a prefix of at most
+``WINDOW`` + 1 vectors lies within the window, and the vectors of a fuller prefix, as dense
+regions make them, are counted in Spark and compared with each other in blocks of
+bounded size, which give a forest of their links.  The number of passes follows from the bits,
+and those from the number of vectors, so that a pair at the threshold itself agrees in
+one of the passes with probability ``RECALL``, however the vectors lie.  Only vectors that share
+a full prefix are compared beyond the window; that costs the square of the group.
 
 Equal vectors are one class throughout.  The windows find the components; the
 links inside a component are then counted in full: members within half the
@@ -16,7 +20,8 @@ inequality and only counted, the others are compared in blocks of bounded size.
 
 Defined results: vectors that are NULL, empty, zero or hold NULL or non-finite
 components link with nothing; vectors of different lengths never link; repeated
-rows count as vectors; a NULL id gets a NULL component and is kept.
+rows count as vectors; a NULL id gets a NULL component and is kept; an empty table gives
+no rows; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -31,15 +36,19 @@ from pyspark.sql import functions as F
 
 from metroflux.llm.common import connected_components, deal_blocks, runs, stage
 
-COSINE, WINDOW, RECALL, KEY_BITS = 0.9, 32, 0.995, 63
-#: Rows of a block of the sorted order, and of a block side inside a component.
-BLOCK, CELL = 2048, 512
+COSINE, WINDOW, RECALL, KEY_BITS = 0.9, 64, 0.995, 63
+#: Rows of a block of the sorted order, of a block side inside a component, and inside a full prefix.
+BLOCK, CELL, WIDE_CELL = 2048, 512, 2048
+
+
+def prefix_bits(n: int) -> int:
+    """Leading bits that leave half a window of vectors to a prefix where they are spread out."""
+    return max(1, math.ceil(math.log2(max(n, 2) / (WINDOW / 2))))
 
 
 def passes_for(n: int) -> int:
-    """Passes that find a pair at the threshold with probability RECALL among n vectors."""
-    bits = max(1.0, math.log2(max(n, 2) / (2 * WINDOW)))
-    found = (1 - math.acos(COSINE) / math.pi) ** bits
+    """Passes in one of which a pair at the threshold agrees in the leading bits with probability RECALL."""
+    found = (1 - math.acos(COSINE) / math.pi) ** prefix_bits(n)
     return max(4, math.ceil(math.log(1 - RECALL) / math.log(1 - found)))
 
 
@@ -93,12 +102,60 @@ def keys(classes: DataFrame, passes: int) -> DataFrame:
     return classes.select("id", "length", "unit").mapInArrow(run, "pass int, length int, key long, id long")
 
 
-def window_pairs(classes: DataFrame, passes: int) -> DataFrame:
-    """Verified pairs (a, b) of neighbours in the sorted order of each pass."""
+def star_links(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (first, member) that connect what the symmetric matrix ``hit`` connects, one a member at most."""
+    left = hit.any(1)
+    a, b = [], []
+    for first in range(len(hit)):
+        if not left[first]:
+            continue
+        seen = np.zeros(len(hit), bool)
+        new = np.array([first])
+        seen[first] = True
+        while len(new):
+            reach = hit[new].any(0) & ~seen
+            seen |= reach
+            new = np.flatnonzero(reach)
+        left &= ~seen
+        seen[first] = False
+        b.append(np.flatnonzero(seen))
+        a.append(np.full(len(b[-1]), first))
+    return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, int), np.zeros(0, int))
+
+
+def full_prefix_pairs(placed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) that connect the vectors of each prefix with more members than a window holds.
+
+    ``placed`` has pass, length, prefix and id.  A link is a pair within the threshold, or joins two that such pairs join.
+    """
+    group = ["pass", "length", "prefix"]
+    full = (placed.groupBy(*group).agg(F.count("*").alias("n")).where(F.col("n") > WINDOW + 1)
+            .select(*group, F.ceil(F.col("n") / WIDE_CELL).cast("int").alias("h"), F.monotonically_increasing_id().alias("key")))
+    rows = (placed.join(stage(full, "projection-full"), group)
+            .select("key", "id", F.lit(False).alias("own"), F.pmod(F.xxhash64("id"), F.col("h")).cast("int").alias("side"))
+            .join(classes.select("id", "unit"), "id").select("key", "id", "own", "side", "unit"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in runs(batches, ["key", "kind", "i", "j"]):
+            x, ids, side = as_matrix(t.column("unit").combine_chunks()), t.column("id").to_numpy(), t.column("side").to_numpy()
+            hit = x @ x.T >= COSINE
+            np.fill_diagonal(hit, False)
+            if t.column("i")[0].as_py() != t.column("j")[0].as_py():
+                hit &= side[:, None] != side[None, :]  # pairs of one block have their own cell
+            a, b = star_links(hit)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[a], ids[b])), pa.array(np.maximum(ids[a], ids[b]))], ["a", "b"])
+
+    return deal_blocks(rows, "key", WIDE_CELL).mapInArrow(run, "a long, b long")
+
+
+def window_pairs(classes: DataFrame, passes: int, bits: int) -> DataFrame:
+    """Pairs (a, b) of neighbours in the sorted order of each pass, and the links of its full prefixes."""
     order = ["pass", "length", "key", "id"]
     n = max(2, int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     placed = stage(keys(classes, passes).repartitionByRange(n, *order).sortWithinPartitions(*order)
-                   .select("length", "pass", "id", F.monotonically_increasing_id().alias("at")), "projection-order")
+                   .select("length", "pass", "id", F.shiftright("key", KEY_BITS - bits).alias("prefix"),
+                           F.monotonically_increasing_id().alias("at")), "projection-order")
     # Rank = rows of the partitions before + place in the partition; one row a partition, so small at any size.
     part = F.shiftright("at", 33)
     before = (placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
@@ -123,7 +180,7 @@ def window_pairs(classes: DataFrame, passes: int) -> DataFrame:
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(i[hit], i[hit + d])),
                                                           pa.array(np.maximum(i[hit], i[hit + d]))], ["a", "b"])
 
-    return blocks.mapInArrow(run, "a long, b long").distinct()
+    return blocks.mapInArrow(run, "a long, b long").union(full_prefix_pairs(placed, classes)).distinct()
 
 
 def link_counts(members: DataFrame) -> DataFrame:
@@ -176,7 +233,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     classes = stage(linked.groupBy("length", "unit").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"))
                     .select("length", "unit", "first", "copies", F.monotonically_increasing_id().alias("id")),
                     "projection-classes")
-    pairs = window_pairs(classes, passes_for(classes.count()))
+    n = classes.count()
+    pairs = window_pairs(classes, passes_for(n), min(prefix_bits(n), KEY_BITS))
     components = stage(connected_components(pairs, "projection-components").withColumnRenamed("node", "id"),
                        "projection-components")
     members = components.join(classes.select("id", "copies", "unit", "first"), "id")

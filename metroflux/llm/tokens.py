@@ -11,17 +11,16 @@ a special token's string, to the tokenizers library.
 
 from __future__ import annotations
 
-import functools
 import json
 import os
 import re
 
 import numpy as np
 
-from metroflux.llm.common import tokenizer_path
+from metroflux.llm.common import tokenizer_path, worker_table
 
 VOCABULARY = "byte_bpe_50k.json"
-TABLE_ENTRIES = 300_000
+TABLE_ENTRIES = 100_000
 TABLE_CHUNK = 64
 CUT = re.compile(r" (?=\S)")
 #: First character of a key: text as it stands; text after a line break.  Other keys are words after a space.
@@ -126,7 +125,6 @@ class ChunkEncoder:
                 for t, s in zip(texts, split)]
 
 
-@functools.lru_cache(maxsize=4)
 def encoder(vocabulary: str, specials: bool = True) -> ChunkEncoder:
     """The worker's encoder of a vocabulary, built once."""
-    return ChunkEncoder(tokenizer_path(vocabulary), specials)
+    return worker_table(("encoder", vocabulary, specials), lambda: ChunkEncoder(tokenizer_path(vocabulary), specials))

@@ -34,12 +34,12 @@ def shingles(text):
     return frozenset(tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4)))
 
 
-def brute_near(rows):
+def brute_near(rows, percent=85):
     """Expected (doc_id, n_shingles, component_id, kept) rows."""
     sets = [shingles(t) for _, t in rows]
     ok = [k for k, (i, _) in enumerate(rows) if sets[k] and i is not None]
     links = [(a, b) for x, a in enumerate(ok) for b in ok[x + 1:]
-             if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+             if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
     top, least = components(len(rows), links), {}
     for k in ok:
         least[top[k]] = min(least.get(top[k], rows[k][0]), rows[k][0])
@@ -78,14 +78,17 @@ def test_near_duplicates_equal_brute_force(spark, family):
     assert got == brute_near(rows)
 
 
-def test_pairs_within_the_distance_share_a_key():
-    rng = np.random.default_rng(4)
-    for _ in range(300):
+@pytest.mark.parametrize("percent", [70, 80, 85, 90])
+def test_pairs_within_the_distance_share_a_key(percent):
+    rng, limits = np.random.default_rng(4), op4_minhash.Limits.of(percent)
+    chunk_of = limits.chunk_of()
+    assert limits.distance < 2 * limits.chunks and len(set(chunk_of)) == limits.chunks
+    for _ in range(100):
         a = rng.integers(0, 1 << 16, (1, op4_minhash.SYMBOLS)).astype(np.uint16)
         b = a.copy()
-        b[0, rng.choice(op4_minhash.SYMBOLS, op4_minhash.DISTANCE, replace=False)] ^= 1
-        x, y = op4_minhash.chunk_keys(a)[0], op4_minhash.chunk_keys(b)[0]
-        first = op4_minhash.first_shared(a != b)[0]
+        b[0, rng.choice(op4_minhash.SYMBOLS, limits.distance, replace=False)] ^= 1
+        x, y = op4_minhash.chunk_keys(a, chunk_of)[0], op4_minhash.chunk_keys(b, chunk_of)[0]
+        first = op4_minhash.first_shared(a != b, chunk_of)[0]
         assert x[first] == y[first] and (x != y)[:first].all()
 
 
@@ -97,9 +100,50 @@ def test_near_duplicates_without_rows_or_links(spark):
 
 def test_keep_first_leaves_one_of_each_group(spark, family):
     df = spark.createDataFrame([*family, family[0], (None, family[0][1])], "doc_id long, text string")
-    want = {i for (i, _, _, kept) in brute_near(family) if kept}
-    got = [r.doc_id for r in op4_minhash.keep_first(df).collect()]
-    assert sorted(i for i in got if i is not None) == sorted(want) and got.count(None) == 1
+    for percent in (80, 85):
+        want = {i for (i, _, _, kept) in brute_near(family, percent) if kept}
+        got = [r.doc_id for r in op4_minhash.keep_first(df, percent=percent).collect()]
+        assert sorted(i for i in got if i is not None) == sorted(want) and got.count(None) == 1
+    assert op4_minhash.STAGE_PERCENT == 80
+
+
+def test_rows_sent_to_confirmation_grow_with_the_group(spark, monkeypatch):
+    """A family of copies with a few words changed, many pairs of which lie below the threshold, however they fall apart."""
+    rng = np.random.default_rng(3)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), rng.integers(2, 7)))
+    base, sent = [word() for _ in range(300)], []
+    pairwise, packed = op4_minhash.confirmed, op4_minhash.confirmed_forest
+
+    def counted(pairs, texts, limits):
+        sent[-1] += pairs.count()
+        return pairwise(pairs, texts, limits)
+
+    def counted_forest(left, homes, texts, limits):
+        sent[-1] += left.count()
+        out = packed(left, homes, texts, limits)
+        sent[-1] += out.count()
+        return out
+
+    monkeypatch.setattr(op4_minhash, "confirmed", counted)
+    monkeypatch.setattr(op4_minhash, "confirmed_forest", counted_forest)
+    for size in (150, 600):
+        rows = []
+        for k in range(size):
+            w = list(base)
+            for at in rng.integers(0, 300, int(rng.integers(0, 6))):
+                w[at] = word()
+            rows.append((k, " ".join(w)))
+        sent.append(0)
+        got = Counter(tuple(r) for r in op4_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+        assert got == brute_near(rows)
+    assert sent[1] < 6 * sent[0]
+
+
+def test_small_blocks_confirm_the_same_links(spark, family, monkeypatch):
+    monkeypatch.setattr(op4_minhash, "BLOCK", 16)
+    monkeypatch.setattr(op4_minhash, "ROUNDS", ())
+    df = spark.createDataFrame(family, "doc_id long, text string")
+    assert Counter(tuple(r) for r in op4_minhash.near_duplicates(df).collect()) == brute_near(family)
 
 
 def test_keep_first_judges_each_text_of_an_id(spark):
@@ -144,6 +188,38 @@ def test_embedding_links_equal_brute_force(spark):
     assert Counter(tuple(r) for r in op6_embedding_dedup.near_duplicates(df).collect()) == want
 
 
+def units_of(rng, n, length):
+    x = rng.standard_normal((n, length))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("cone", [0.7, 0.8])
+def test_links_in_a_dense_third_are_found(spark, cone):
+    """A third of the vectors lie in a cone of one mutual cosine; pairs at 0.92 are planted in it and outside."""
+    rng, n, length = np.random.default_rng(9), 6000, 48
+    axis = units_of(rng, 1, length)[0]
+    spread = units_of(rng, n - n // 3, length)
+    aside = rng.standard_normal((n // 3, length))
+    aside -= np.outer(aside @ axis, axis)
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    x = np.concatenate([np.sqrt(cone) * axis + np.sqrt(1 - cone) * aside, spread])
+    planted = np.concatenate([np.arange(200), np.arange(n // 3, n // 3 + 200)])
+    turn = units_of(rng, len(planted), length)
+    turn -= (turn * x[planted]).sum(1)[:, None] * x[planted]
+    turn /= np.linalg.norm(turn, axis=1, keepdims=True)
+    x = np.concatenate([x, 0.92 * x[planted] + np.sqrt(1 - 0.92**2) * turn]).astype(np.float32).astype(np.float64)
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    got = {r.vec_id: r.n_links for r in op6_embedding_dedup.near_duplicates(
+        spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<float>")).collect()}
+    want = near.sum(1)
+    assert len(got) == len(x) and all(got[k] <= want[k] for k in got)
+    dense = np.concatenate([np.arange(n // 3), np.arange(n, n + 200)])
+    assert sum(got[k] for k in dense.tolist()) >= 0.97 * want[dense].sum() > 300
+    assert sum(got.values()) >= 0.97 * want.sum()
+
+
 def test_embeddings_without_rows(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert op6_embedding_dedup.near_duplicates(none).count() == 0
