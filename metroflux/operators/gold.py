@@ -272,11 +272,15 @@ def fct_route_analytics(fact_trips: DataFrame, fact_stop_times: DataFrame) -> Da
     an outbound trip are dropped, as the outbound-driven join does, and trips
     without a route match no inbound trips, as equality on NULL does.
     """
+    return route_summary(fact_trips, route_stop_measures(fact_stop_times))
+
+
+def route_summary(fact_trips: DataFrame, stops: DataFrame) -> DataFrame:
+    """Route analytics from the trips and the stop measures per route."""
     td = trips_by_direction(fact_trips).groupBy("route_id").agg(
         F.max(F.when(C("direction_label") == "Outbound", C("total_trips"))).alias("out_trips"),
         F.max(F.when((C("direction_label") == "Inbound") & C("route_id").isNotNull(), C("total_trips"))).alias("in_trips"),
     ).where(C("out_trips").isNotNull())
-    stops = route_stop_measures(fact_stop_times)
     out = F.coalesce(C("out_trips"), F.lit(0).cast("long"))
     inb = F.coalesce(C("in_trips"), F.lit(0).cast("long"))
     return (td.join(stops, "route_id", "left")

@@ -38,16 +38,18 @@ def build_all(spark: SparkSession, bronze_root: str, out_dir: str, run_tests: bo
     """
     bronze = B.bronze_sources(spark, bronze_root)
     wh = Warehouse(spark, bronze, as_of=as_of)
-    if refresh is None:
-        materialize(wh, out_dir, SILVER_MODELS + GOLD_MODELS, partition_by=PARTITIONS)
-    else:
-        materialize(wh, out_dir, [m for m in SILVER_MODELS + GOLD_MODELS if m not in DATE_GRAIN_MODELS])
+    # Full writes count the bad rows of their own rules; a refresh writes part of its tables, so those are scanned.
+    counted: dict[str, dict] = {}
+    written = SILVER_MODELS + GOLD_MODELS if refresh is None else [m for m in SILVER_MODELS + GOLD_MODELS if m not in DATE_GRAIN_MODELS]
+    measures = quality.measures(quality.RULES, written) if run_tests else None
+    materialize(wh, out_dir, written, partition_by=PARTITIONS if refresh is None else None, measures=measures, found=counted)
+    if refresh is not None:
         for name, table in refresh_dates(spark, bronze, out_dir, *refresh).items():
             wh.__dict__[name] = table
     if not run_tests:
         return None
     run_id = uuid.uuid4().hex
-    results = quality.run_rules(wh.model).withColumns({"run_id": F.lit(run_id), "run_at": F.current_timestamp()})
+    results = quality.run_rules(wh.model, counted=counted).withColumns({"run_id": F.lit(run_id), "run_at": F.current_timestamp()})
     path = f"{out_dir.rstrip('/')}/_dq_results"
     results.write.mode("append").parquet(path)
     written = spark.read.parquet(path).where(F.col("run_id") == run_id)

@@ -25,7 +25,7 @@ LOADED_AT = "2026-02-01 07:00:00"
 RELOAD_DATE = "2026-01-10"
 LOADED_BEFORE = "2026-01-16"
 
-EV = """ev AS (
+EV = """ev0 AS (
   SELECT *,
     CASE WHEN event_type = 'error' AND event_id % 4 = 0 THEN 'corrupt'
          WHEN value < 1 THEN 'tiny'
@@ -34,7 +34,34 @@ EV = """ev AS (
     concat('feed_', lpad(CAST(event_id AS VARCHAR), 9, '0'), '.pb') AS file_name,
     CAST(CAST(ts + INTERVAL 731 DAY AS DATE) AS VARCHAR) AS date,
     lpad(CAST(hour(ts) AS VARCHAR), 2, '0') AS hour
-  FROM events)"""
+  FROM events),
+ev1 AS (
+  SELECT *,
+    concat('{"id":"e', CAST(event_id AS VARCHAR), '","vehicle":{"vehicle":{"id":"',
+      CASE WHEN event_id % 101 <> 0 THEN CAST(user_id AS VARCHAR) END, '"}',
+      CASE WHEN event_id % 23 <> 0 THEN concat(',"trip":{',
+        CASE WHEN event_id % 29 <> 0 THEN concat('"trip_id":"', CAST(event_id % 500 AS VARCHAR), '",') END, '"route_id":"',
+        CASE WHEN user_id % 30 < 12 THEN '1' WHEN user_id % 30 < 18 THEN '2' ELSE CAST(user_id % 30 AS VARCHAR) END,
+        '","start_time":"', lpad(CAST(hour(ts) AS VARCHAR), 2, '0'), ':00:00","start_date":"', strftime(ts, '%Y%m%d'), '"}') END,
+      CASE WHEN event_id % 211 <> 0 THEN concat(',"position":{"latitude":',
+        CASE WHEN event_type = 'purchase' AND event_id % 7 = 0 THEN '"n/a"' ELSE CAST(45.4e0 + (event_id % 1000) / 5000e0 AS VARCHAR) END,
+        ',"longitude":', CAST(-73.9e0 + (event_id % 700) / 2000e0 AS VARCHAR),
+        CASE WHEN event_id % 17 <> 0 THEN concat(',"speed":', CAST(value / 10 AS VARCHAR)) END,
+        ',"bearing":', CAST(CAST(event_id % 360 AS DOUBLE) AS VARCHAR), '}') END,
+      CASE WHEN event_id % 5 <> 4 THEN concat(',"current_status":', CAST(event_id % 5 AS VARCHAR)) END,
+      CASE WHEN event_id % 9 <> 8 THEN concat(',"occupancy_status":', CAST(event_id % 9 AS VARCHAR)) END,
+      CASE WHEN event_id % 997 <> 0 THEN concat(',"timestamp":',
+        CAST(datediff('second', TIMESTAMP '1970-01-01 00:00:00', ts + INTERVAL 731 DAY) AS VARCHAR)) END, '}}') AS entity
+  FROM ev0),
+ev AS (
+  SELECT *, CAST(length(CASE kind
+      WHEN 'corrupt' THEN concat('{"header":{"gtfs_realtime_version":"2.0"},"entity":[', repeat('#', 120))
+      WHEN 'tiny' THEN '{"entity":[]}'
+      ELSE concat('{"header":{"gtfs_realtime_version":"2.0","timestamp":',
+        CAST(datediff('second', TIMESTAMP '1970-01-01 00:00:00', ts + INTERVAL 731 DAY) AS VARCHAR), '},"entity":[', entity,
+        CASE WHEN event_type = 'click' THEN concat(',{"id":"a', CAST(event_id AS VARCHAR), '","alert":{"header_text":"detour"}}') END,
+        ']}') END) AS BIGINT) AS length
+  FROM ev1)"""
 
 RECORDS = """recs AS (
   SELECT
@@ -57,7 +84,7 @@ RECORDS = """recs AS (
     CASE WHEN event_id % 9 = 8 THEN NULL ELSE CAST(event_id % 9 AS INTEGER) END AS occupancy_status,
     CASE WHEN event_id % 997 = 0 THEN CAST(0 AS BIGINT)
          ELSE datediff('second', TIMESTAMP '1970-01-01 00:00:00', ts + INTERVAL 731 DAY) END AS event_timestamp_raw,
-    file_name AS ingestion_file, date AS _landing_date
+    file_name AS ingestion_file, date AS _landing_date, hour AS _landing_hour
   FROM ev WHERE kind = 'feed')"""
 
 ENRICHED = f"""enr AS (
@@ -66,18 +93,17 @@ ENRICHED = f"""enr AS (
     TIMESTAMP '1970-01-01 00:00:00' + event_timestamp_raw * INTERVAL 1 SECOND AS event_timestamp,
     TIMESTAMP '{LOADED_AT}' AS ingestion_timestamp,
     CAST(TIMESTAMP '1970-01-01 00:00:00' + event_timestamp_raw * INTERVAL 1 SECOND AS DATE) AS ingestion_date,
-    'GTFS_RT' AS source_system, '{BATCH}' AS batch_id, _landing_date
+    'GTFS_RT' AS source_system, '{BATCH}' AS batch_id, _landing_date, _landing_hour
   FROM recs)"""
 
 ERRORS = f"""errs AS (
   SELECT 'vehicle_positions' AS source_table, file_name AS source_file,
     CASE WHEN kind = 'corrupt' THEN 'FILE_READ_ERROR' ELSE 'RECORD_PARSE_ERROR' END AS error_type,
-    CASE WHEN kind = 'corrupt'
-         THEN concat('malformed feed document (',
-                     CAST(length('{{"header":{{"gtfs_realtime_version":"2.0"}},"entity":[') + 120 AS VARCHAR), ' bytes)')
+    CASE WHEN kind = 'corrupt' THEN concat('malformed feed document (', CAST(length AS VARCHAR), ' bytes)')
          ELSE 'malformed entity #0' END AS error_message,
-    kind <> 'corrupt' AS has_raw_record,
-    '{BATCH}' AS batch_id
+    CASE WHEN kind <> 'corrupt' THEN left(entity, 1000) END AS raw_record,
+    CASE WHEN kind <> 'corrupt' THEN entity END AS raw_entity,
+    '{BATCH}' AS batch_id, date AS _landing_date, hour AS _landing_hour
   FROM ev WHERE kind IN ('corrupt', 'bad_entity'))"""
 
 
@@ -95,34 +121,29 @@ def _enriched(spark, sf_dir):
                     loaded_at=F.lit(LOADED_AT).cast("timestamp"))
 
 
-@register("bronze_feed_explode", sql("SELECT * EXCLUDE (_landing_date) FROM recs"))
+@register("bronze_feed_explode", sql("SELECT * EXCLUDE (_landing_date, _landing_hour) FROM recs"))
 def q_bronze_feed_explode(spark, sf_dir):
     """Decode every landed snapshot and flatten vehicle entities to bronze rows."""
     return B.records(_decoded(spark, sf_dir))
 
 
-@register("bronze_quarantine_split", sql("SELECT * FROM errs"))
+@register("bronze_quarantine_split", sql("SELECT * EXCLUDE (_landing_date, _landing_hour) FROM errs"))
 def q_bronze_quarantine_split(spark, sf_dir):
-    """Undecodable files and entities as dead-letter rows.
-
-    The raw entity text is reported as a presence flag (``has_raw_record``).
-    """
-    e = B.errors(_decoded(spark, sf_dir), BATCH)
-    return e.select("source_table", "source_file", "error_type", "error_message",
-                    C("raw_record").isNotNull().alias("has_raw_record"), "batch_id")
+    """Undecodable files and entities as dead-letter rows, with their raw text."""
+    return B.errors(_decoded(spark, sf_dir), BATCH)
 
 
-@register("bronze_enrich", sql("SELECT * EXCLUDE (_landing_date) FROM enr"))
+@register("bronze_enrich", sql("SELECT * EXCLUDE (_landing_date, _landing_hour) FROM enr"))
 def q_bronze_enrich(spark, sf_dir):
     """Event time from epoch seconds, load stamp, event date, source and batch."""
     return _enriched(spark, sf_dir)
 
 
 @register("bronze_payload_check", sql("""
-SELECT file_name, CASE WHEN kind = 'tiny' THEN 'too_small' ELSE 'ok' END AS payload_status FROM ev"""))
+SELECT file_name, length, CASE WHEN kind = 'tiny' THEN 'too_small' ELSE 'ok' END AS payload_status FROM ev"""))
 def q_bronze_payload_check(spark, sf_dir):
     """Flag landed payloads under 100 bytes."""
-    return B.payload_check(fixtures.feed_landing(spark, sf_dir)).select("file_name", "payload_status")
+    return B.payload_check(fixtures.feed_landing(spark, sf_dir))
 
 
 @register("bronze_run_status", sql("""
@@ -185,10 +206,14 @@ def q_bronze_batch_sample(spark, sf_dir):
 
 
 @register("bronze_newest_files", sql("""
-SELECT file_name, date, hour FROM ev ORDER BY file_name DESC LIMIT 5"""))
+SELECT file_name, date, hour, round(length / 1024e0, 1) AS size_kb, (SELECT COUNT(*) FROM ev) AS files
+FROM ev ORDER BY file_name DESC LIMIT 5"""))
 def q_bronze_newest_files(spark, sf_dir):
-    """Newest five landed files by name."""
-    return B.newest_files(fixtures.feed_landing(spark, sf_dir)).select("file_name", "date", "hour")
+    """Newest five landed files by name with their size, and how many files there are."""
+    files = fixtures.feed_landing(spark, sf_dir)
+    total = B.table_count(files, "landing").select(C("rows").alias("files"))
+    # One row joined to five.
+    return B.newest_files(files).join(F.broadcast(total))
 
 
 @register("bronze_incremental_files", sql(f"""
@@ -224,24 +249,35 @@ def q_bronze_partition_overwrite(spark, sf_dir):
     return table.groupBy("ingestion_date", "batch_id").agg(F.count(F.lit(1)).alias("records"))
 
 
+LINEAGE = f"1 AS from_landed_file, TIMESTAMP '{LOADED_AT}' AS _ingestion_timestamp"
+
+
+def _lineage(spark, loaded, path):
+    """Rows with the source file checked against the files of ``path``: how many carry its name."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+             .select(F.regexp_extract("path", r"([^/]+)$", 1).alias("_source_file")))
+    seen = files.groupBy("_source_file").agg(F.count("*").cast("int").alias("from_landed_file"))
+    return loaded.join(seen, "_source_file", "left").drop("_source_file")
+
+
 @register("bronze_gtfs_csv_load", oracle.query(
-    "SELECT trip_id, route_id, service_id, shape_id, trip_headsign, direction_id, note_en, note_fr FROM gtfs_trips"))
+    f"SELECT trip_id, route_id, service_id, shape_id, trip_headsign, direction_id, note_en, note_fr, {LINEAGE} FROM gtfs_trips"))
 def q_bronze_gtfs_csv_load(spark, sf_dir):
     """Static trips written as a GTFS text file and loaded back as all-STRING columns."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/gtfs-{uuid.uuid4().hex}/trips"
     src = fixtures.bronze_table(spark, sf_dir, "gtfs_trips").select(*B.GTFS_COLUMNS["gtfs_trips"])
     src.write.option("header", True).csv(path)
-    return B.read_gtfs_csv(spark, path, "gtfs_trips").drop("_source_file", "_ingestion_timestamp")
+    return _lineage(spark, B.read_gtfs_csv(spark, path, "gtfs_trips", loaded_at=F.lit(LOADED_AT).cast("timestamp")), path)
 
 
-@register("bronze_weather_json_load", oracle.query("""
+@register("bronze_weather_json_load", oracle.query(f"""
 SELECT observation_time, temperature, feels_like, humidity, wind_speed, wind_direction, precipitation,
-  weather_code, weather_description FROM weather"""))
+  weather_code, weather_description, {LINEAGE}, CAST(TIMESTAMP '{LOADED_AT}' AS DATE) AS _ingestion_date FROM weather"""))
 def q_bronze_weather_json_load(spark, sf_dir):
     """Hourly weather written as per-day documents of parallel arrays, loaded back to rows."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/weather-{uuid.uuid4().hex}"
     fixtures.write_weather_documents(fixtures.bronze_table(spark, sf_dir, "weather"), path)
-    return B.read_weather_json(spark, path).drop("_source_file", "_ingestion_timestamp", "_ingestion_date")
+    return _lineage(spark, B.read_weather_json(spark, path, loaded_at=F.lit(LOADED_AT).cast("timestamp")), path)
 
 
 @register("bronze_landing_listing", sql("""
@@ -349,10 +385,9 @@ def q_bronze_run_accounting(spark, sf_dir):
     B.ingest(spark, files, f"{root}/bronze", f"{root}/quarantine", batch_id="full", mode="full", accounting=log)
     B.ingest(spark, files, f"{root}/bronze", f"{root}/quarantine", batch_id="again", accounting=log)
     B.ingest(spark, corrupt, f"{root}/b2", f"{root}/q2", batch_id="corrupt", accounting=log)
-    B.run_log_row(spark, "poll", "vehicle_positions", "feed.pb", "/landing", None, "SUCCESS", None, None) \
-        .write.mode("append").parquet(f"{log}/ingestion_log")
-    runs = spark.read.parquet(f"{log}/ingestion_log")
-    kept = spark.read.parquet(f"{log}/pipeline_metadata").select("batch_id", F.lit(True).alias("has_metadata")).distinct()
+    B.write_log(B.run_log_row(spark, "poll", "vehicle_positions", "feed.pb", "/landing", None, "SUCCESS", None, None), log)
+    runs = B.read_log(spark, log)
+    kept = B.read_metadata(spark, log).select("batch_id", F.lit(True).alias("has_metadata")).distinct()
     return (runs.join(kept, "batch_id", "left")
             .select("batch_id", "status", "record_count", "error_message", F.coalesce("has_metadata", F.lit(False)).alias("has_metadata")))
 
@@ -361,11 +396,11 @@ def _register_csv_load(table: str) -> None:
     cols = B.GTFS_COLUMNS[table]
 
     @register(f"bronze_{table}_csv_load", oracle.query(
-        f"SELECT {', '.join(f'nullif({c}, {chr(39) * 2}) AS {c}' for c in cols)} FROM {table}"))
+        f"SELECT {', '.join(f'nullif({c}, {chr(39) * 2}) AS {c}' for c in cols)}, {LINEAGE} FROM {table}"))
     def load(spark, sf_dir):
         path = f"{checkpoint_dir(spark).rstrip('/')}/gtfs-{uuid.uuid4().hex}/{table}"
         fixtures.bronze_table(spark, sf_dir, table).select(*cols).write.option("header", True).csv(path)
-        return B.read_gtfs_csv(spark, path, table).drop("_source_file", "_ingestion_timestamp")
+        return _lineage(spark, B.read_gtfs_csv(spark, path, table, loaded_at=F.lit(LOADED_AT).cast("timestamp")), path)
 
     load.__doc__ = f"A33: {table} written as a GTFS text file and loaded back as all-STRING columns; empty fields are NULL."
 

@@ -16,6 +16,7 @@ from metroflux.plans import oracle
 from metroflux.plans.q_bronze import LOADED_AT, sql as bronze_sql
 from metroflux.plans.registry import register
 from metroflux.session import checkpoint_dir
+from metroflux.sources import bronze as B
 from metroflux.sources import fixtures
 from metroflux.streaming import feeds as S
 
@@ -44,21 +45,33 @@ def _positions_stream(spark, sf_dir):
     return root, staging.stg_vehicle_positions(stream)
 
 
-@register("stream_ingest", bronze_sql(
-    "SELECT * EXCLUDE (_landing_date, ingestion_file, batch_id) FROM enr"))
+def _landed_in(spark, root, rows, file_col):
+    """Rows with the folder of their landed file, found by its name, and whether their batch is the micro-batch that wrote them.
+
+    The stand-in writer names the files, so a file is known by its folder, which holds one.
+    """
+    files = B.discover_files(spark, f"{root}/landing", "*.txt").select(
+        C("file_name").alias(file_col), C("date").alias("landing_date"), C("hour").alias("landing_hour"))
+    own = C("batch_id") == F.concat(F.lit("stream-"), C("micro_batch").cast("string"))
+    return rows.withColumn("own_batch", own).join(files, file_col, "left").drop(file_col, "batch_id", "micro_batch")
+
+
+@register("stream_ingest", bronze_sql("""
+SELECT * EXCLUDE (_landing_date, _landing_hour, ingestion_file, batch_id), _landing_date AS landing_date,
+  _landing_hour AS landing_hour, true AS own_batch FROM enr"""))
 def q_stream_ingest(spark, sf_dir):
     """Landed snapshot files streamed once each into bronze rows (AvailableNow)."""
     root = _ingest(spark, sf_dir)
-    return spark.read.parquet(f"{root}/bronze").drop("ingestion_file", "batch_id", "micro_batch")
+    return _landed_in(spark, root, spark.read.parquet(f"{root}/bronze"), "ingestion_file")
 
 
-@register("stream_quarantine", bronze_sql(
-    "SELECT error_type, error_message, has_raw_record FROM errs"))
+@register("stream_quarantine", bronze_sql(f"""
+SELECT source_table, error_type, error_message, raw_record, raw_entity, TIMESTAMP '{LOADED_AT}' AS created_at,
+  _landing_date AS landing_date, _landing_hour AS landing_hour, true AS own_batch FROM errs"""))
 def q_stream_quarantine(spark, sf_dir):
     """I4: the quarantine sink of the same stream (second output of each micro-batch)."""
     root = _ingest(spark, sf_dir)
-    q = spark.read.parquet(f"{root}/quarantine")
-    return q.select("error_type", "error_message", C("raw_record").isNotNull().alias("has_raw_record"))
+    return _landed_in(spark, root, spark.read.parquet(f"{root}/quarantine"), "source_file")
 
 
 @register("stream_dedup", oracle.query(f"""

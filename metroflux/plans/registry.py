@@ -204,7 +204,8 @@ def load_extensions() -> None:
     """Import the modules that register more queries (quality, BI, bronze, streaming)."""
     import importlib
     for mod in ("metroflux.plans.q_quality", "metroflux.plans.q_metrics",
-                "metroflux.plans.q_bronze", "metroflux.plans.q_streaming"):
+                "metroflux.plans.q_bronze", "metroflux.plans.q_ingest", "metroflux.plans.q_streaming",
+                "metroflux.plans.q_incremental"):
         importlib.import_module(mod)
 
 

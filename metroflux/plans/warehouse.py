@@ -8,10 +8,11 @@ table models, cutting lineage at each written table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from metroflux.functions.exprs import LOCAL_TZ
@@ -163,9 +164,13 @@ DEPENDS = {
 
 
 def materialize(wh: Warehouse, out_dir: str, models: list[str] | None = None,
-                partition_by: Mapping[str, list[str]] | None = None, parallel: bool = True) -> dict[str, DataFrame]:
+                partition_by: Mapping[str, list[str]] | None = None, parallel: bool = True,
+                measures: Mapping[str, list[Column]] | None = None, found: dict[str, dict] | None = None) -> dict[str, DataFrame]:
     """Write table models as parquet under ``out_dir`` and return re-read frames.
 
+    ``measures`` are aggregates to be counted in the write of a model itself; their values by model come
+    back in ``found``.
+
     Models are written in dependency waves; later models are rebuilt on the
     written tables, so each write is a lineage cut (a lost executor re-runs
     only the current model's stages, never the whole DAG).  Models of one
@@ -189,11 +194,18 @@ def materialize(wh: Warehouse, out_dir: str, models: list[str] | None = None,
                 # Each task writes a few contiguous dates (not one file per task
                 # and date), and a heavy date is split over several tasks.
                 df = cluster_by_date(df, *partition_by[name])
+            seen = None
+            if measures and measures.get(name):
+                # On top of the plan: the sampling of the range partitioning must not count rows twice.
+                seen = Observation(f"{name}-{uuid.uuid4().hex}")
+                df = df.observe(seen, *measures[name])
             # Full rebuild: static overwrite drops partitions that no longer exist.
             w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
             if name in partition_by:
                 w = w.partitionBy(*partition_by[name])
             w.parquet(f"{out_dir.rstrip('/')}/{name}")
+            if seen is not None and found is not None:
+                found[name] = seen.get
 
         if parallel and len(wave) > 1:
             with ThreadPoolExecutor(max_workers=len(wave)) as pool:

@@ -14,13 +14,17 @@ message, which is what ``decode`` expects in ``content``.
 
 from __future__ import annotations
 
+import time
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metroflux.sources.partitions import cluster_by_date, inside, replace_dates
+from metroflux.session import checkpoint_dir
+from metroflux.sources.ledger import Ledger, replace_batch
+from metroflux.sources.partitions import cluster_by_date, drop_partitions, inside, partition_names
 
 C = F.col
 
@@ -60,6 +64,9 @@ JSON_OPTS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record
 # Landing partitions stay strings (hour=08, not 8).
 LANDING_LINE_SCHEMA = "value STRING, date STRING, hour STRING"
 
+SELECTION_COLUMNS = ["file_name", "full_path", "date", "hour", "length", "modificationTime"]
+SELECTION_SCHEMA = "file_name string, full_path string, date string, hour string, length long, modificationTime timestamp"
+
 MIN_PAYLOAD_BYTES = 100
 MESSAGE_CHARS = 500
 RAW_RECORD_CHARS = 1000
@@ -69,6 +76,11 @@ RAW_RECORD_CHARS = 1000
 # Landing zone: discovery, watermark, incremental selection
 # ---------------------------------------------------------------------------
 
+def landed_name(path: Column) -> Column:
+    """A landed file's name with its date and hour folders, which makes it unique; the bare name elsewhere."""
+    return F.regexp_extract(path, r"((?:date=[^/]+/)?(?:hour=[^/]+/)?[^/]+)$", 1)
+
+
 def discover_files(spark: SparkSession, base_path: str, glob: str = "*.pb", date: str | None = None,
                    with_content: bool = False) -> DataFrame:
     """List landed files under ``base/date=YYYY-MM-DD/hour=HH/`` (A1, A2).
@@ -87,7 +99,7 @@ def discover_files(spark: SparkSession, base_path: str, glob: str = "*.pb", date
         spark.conf.set(key, before)
     if date is not None:
         df = df.where(C("date") == F.lit(date))
-    cols = [C("path").alias("full_path"), F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
+    cols = [C("path").alias("full_path"), landed_name(C("path")).alias("file_name"),
             "date", "hour", "length", "modificationTime"]
     if with_content:
         cols.append("content")
@@ -103,7 +115,7 @@ def read_landing_lines(spark: SparkSession, base_path: str, date: str | None = N
     df = spark.read.schema(LANDING_LINE_SCHEMA).text(base_path)
     if date is not None:
         df = df.where(C("date") == F.lit(date))
-    return df.select(C("_metadata.file_name").alias("file_name"), "date", "hour",
+    return df.select(landed_name(C("_metadata.file_path")).alias("file_name"), "date", "hour",
                      F.octet_length("value").cast("long").alias("length"), C("value").alias("content"))
 
 
@@ -253,27 +265,41 @@ def enrich(recs: DataFrame, batch_id: str, source_system: str = "GTFS_RT",
 # Sinks (A17-A20)
 # ---------------------------------------------------------------------------
 
+LOAD = "load_id"
+
+
 def write_bronze(df: DataFrame, path: str, mode: str = "append", process_date: str | None = None) -> None:
     """Append, full overwrite, or replace one ``ingestion_date`` partition.
 
-    Partition replacement rewrites the one partition, or drops it when ``df`` has
-    no rows.  Every row is checked against ``process_date`` inside the write job
-    itself: a row of another date raises, the job fails before commit and no
-    partition is touched.  One pass over the data, no separate validation scan.
+    Rows lie under ``ingestion_date=/load_id=``, the load being their batch, so an append that is run
+    again replaces its own folders.  Replacing a date writes the new load and then drops the date's other
+    loads; without rows the date ends up without a folder.  Every row is checked against
+    ``process_date`` inside the write job itself: a row of another date raises, the job fails before commit
+    and no partition is touched.  One pass over the data, no separate validation scan.
     """
-    if mode == "append":
-        df.write.partitionBy("ingestion_date").mode("append").parquet(path)
-    elif mode == "overwrite" and process_date is None:
+    df = df.withColumn(LOAD, C("batch_id"))
+    if mode == "append" or (mode == "overwrite" and process_date is not None):
+        if process_date is not None:
+            target = F.lit(process_date).cast("date")
+            ok = C("ingestion_date").isNotNull() & (C("ingestion_date") == target)
+            df = df.withColumn("ingestion_date", F.when(ok, C("ingestion_date")).otherwise(
+                F.raise_error(F.concat(F.lit(f"row outside ingestion_date={process_date}: "),
+                                       F.coalesce(C("ingestion_date").cast("string"), F.lit("NULL"))))))
+        folder = f"{path.rstrip('/')}/ingestion_date={process_date}"
+        before = partition_names(df.sparkSession, folder) if mode == "overwrite" else {}
+        (df.write.partitionBy("ingestion_date", LOAD).mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").parquet(path))
+        if mode == "overwrite":
+            # What the write left as it was belongs to other loads, or to an earlier try without rows now.
+            after = partition_names(df.sparkSession, folder)
+            old = [n for n, files in after.items() if before.get(n) == files]
+            drop_partitions(df.sparkSession, folder, old)
+            if after and len(old) == len(after):
+                drop_partitions(df.sparkSession, path, [f"ingestion_date={process_date}"])
+    elif mode == "overwrite":
         # A full reload spans many dates: files ~ tasks, not tasks x dates, and a heavy date takes several.
-        (cluster_by_date(df, "ingestion_date").write.partitionBy("ingestion_date").mode("overwrite")
+        (cluster_by_date(df, "ingestion_date").write.partitionBy("ingestion_date", LOAD).mode("overwrite")
          .option("partitionOverwriteMode", "static").parquet(path))
-    elif mode == "overwrite":
-        target = F.lit(process_date).cast("date")
-        ok = C("ingestion_date").isNotNull() & (C("ingestion_date") == target)
-        checked = df.withColumn("ingestion_date", F.when(ok, C("ingestion_date")).otherwise(
-            F.raise_error(F.concat(F.lit(f"row outside ingestion_date={process_date}: "),
-                                   F.coalesce(C("ingestion_date").cast("string"), F.lit("NULL"))))))
-        replace_dates(checked, path, "ingestion_date", [process_date])
     else:
         raise ValueError(mode)
 
@@ -289,7 +315,7 @@ BRONZE_TABLE_SCHEMA = T.StructType(BRONZE_RECORD_SCHEMA.fields + [
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """Read the bronze table with its declared schema (partition column typed as DATE)."""
-    return spark.read.schema(BRONZE_TABLE_SCHEMA).parquet(path)
+    return spark.read.schema(BRONZE_TABLE_SCHEMA).parquet(path).select(*BRONZE_TABLE_SCHEMA.names)
 
 
 def quarantine_rows(errs: DataFrame, created_at: Column | None = None) -> DataFrame:
@@ -298,8 +324,7 @@ def quarantine_rows(errs: DataFrame, created_at: Column | None = None) -> DataFr
 
 def write_quarantine(errs: DataFrame, path: str, created_at: Column | None = None) -> None:
     """Write a batch's dead-letter rows with ``created_at`` (A20); a repeated batch replaces its own rows."""
-    (quarantine_rows(errs, created_at).write.partitionBy("batch_id").mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").parquet(path))
+    replace_batch(quarantine_rows(errs, created_at), path)
 
 
 QUARANTINE_SCHEMA = ("source_table string, source_file string, error_type string, error_message string, raw_record string, "
@@ -311,46 +336,56 @@ def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Manifest of processed files (A3-A5)
+# Selection of landed files (A3-A5)
 # ---------------------------------------------------------------------------
 
-MANIFEST_SCHEMA = "file_name string, batch_id string, processed_at timestamp"
-
-
-def read_manifest(spark: SparkSession, path: str) -> DataFrame | None:
-    """The processed files, or None when nothing was processed yet."""
-    return _read_or_none(spark, MANIFEST_SCHEMA, path)
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The processed files: those of finished batches."""
+    return Ledger(spark, path).processed()
 
 
 def unprocessed(names: DataFrame, manifest: DataFrame | None) -> DataFrame:
-    """Listed files that no run has processed; ``names`` carries no content."""
+    """Listed files that no finished run has processed; ``names`` carries no content."""
     if manifest is None:
         return names
     return names.join(manifest.select("file_name").distinct(), "file_name", "left_anti")
 
 
+def open_selected(spark: SparkSession, base_path: str, selected: DataFrame, glob: str = "*.pb") -> DataFrame:
+    """The ``selected`` files (of ``discover_files``) with content, opened on the executors.
+
+    No path passes through the driver.  It learns the landing dates of the selection, a row a day, and the
+    span of their modification times; both are filters of the scan (partition pruning, and a pushed filter
+    that skips a file before its content is read).  What remains is semi-joined with the names, unless the
+    dates hold nothing else.
+    """
+    dates = selected.groupBy("date").agg(F.count("*").alias("n"), F.min("modificationTime").alias("low"),
+                                         F.max("modificationTime").alias("high")).collect()
+    files = discover_files(spark, base_path, glob, with_content=True)
+    low, high = min((r["low"] for r in dates), default=None), max((r["high"] for r in dates), default=None)
+    files = files.where(C("date").isin([r["date"] for r in dates]) & C("modificationTime").between(F.lit(low), F.lit(high)))
+    whole = files.select("full_path").count() == sum(r["n"] for r in dates)
+    return files if whole else files.join(selected.select("full_path"), "full_path", "left_semi")
+
+
 def ingest_landing(spark: SparkSession, base_path: str, bronze_path: str, quarantine_path: str, glob: str = "*.pb",
-                   process_date: str | None = None, mode: str = "incremental", **options) -> DataFrame:
+                   process_date: str | None = None, mode: str = "incremental", lines: bool = False, **options) -> DataFrame:
     """Ingest the files under ``base/date=/hour=``; in incremental mode only the new ones are opened.
 
-    Names are listed without content, anti-joined with the manifest, and just
-    the selected paths are read: their number is that of one poll's new files.
+    Names are listed without content and anti-joined with the finished batches; the selection is written,
+    so all later steps see the same files.  ``lines``: a file holds a snapshot a line.
     """
     manifest_path = options.pop("manifest_path", None) or f"{bronze_path.rstrip('/')}_files"
     listed = discover_files(spark, base_path, glob, process_date)
     if mode == "full":
         files = discover_files(spark, base_path, glob, process_date, with_content=True)
     else:
-        new = unprocessed(listed, read_manifest(spark, manifest_path))
-        paths = [r["full_path"] for r in new.select("full_path").toLocalIterator()]
-        files = None
-        if paths:
-            files = (spark.read.format("binaryFile").option("basePath", base_path).load(paths)
-                     .select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
-                             F.regexp_extract("path", r"date=([^/]+)", 1).alias("date"),
-                             F.regexp_extract("path", r"hour=([^/]+)", 1).alias("hour"), "length", "content"))
-    if files is None:
-        files = spark.createDataFrame([], "file_name string, date string, hour string, length long, content binary")
+        path = f"{checkpoint_dir(spark).rstrip('/')}/landing-selection-{uuid.uuid4().hex}"
+        unprocessed(listed, read_manifest(spark, manifest_path)).select(*SELECTION_COLUMNS).write.parquet(path)
+        files = open_selected(spark, base_path, spark.read.schema(SELECTION_SCHEMA).parquet(path), glob)
+    if lines:
+        files = (files.withColumn("content", F.explode(F.split(F.rtrim(C("content").cast("string"), F.lit("\n")), "\n")))
+                 .withColumn("length", F.octet_length("content").cast("long")))
     return ingest(spark, files, bronze_path, quarantine_path, mode=mode, process_date=process_date,
                   manifest_path=manifest_path, **options)
 
@@ -460,20 +495,28 @@ def metadata_row(spark: SparkSession, batch_id: str, job_name: str, job_version:
                       params_json.alias("params_json"))
 
 
-def _read_or_none(spark: SparkSession, schema, path: str) -> DataFrame | None:
-    """The table at ``path``, or None when nothing was written yet."""
-    from pyspark.errors import AnalysisException
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return None
+LOG_SCHEMA = ("source_name string, file_name string, file_path string, record_count long, status string, error_message string, "
+              "started_at timestamp, finished_at timestamp, duration_s double, batch_id string")
+METADATA_SCHEMA = ("job_name string, job_version string, layer string, status string, run_by string, run_at timestamp, "
+                   "params_json string, batch_id string")
+
+
+def write_log(rows: DataFrame, root: str) -> None:
+    """Run-log rows; those of a batch that is run again replace its first ones."""
+    replace_batch(rows, f"{root.rstrip('/')}/ingestion_log")
+
+
+def read_log(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(LOG_SCHEMA).parquet(f"{root.rstrip('/')}/ingestion_log")
+
+
+def read_metadata(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(METADATA_SCHEMA).parquet(f"{root.rstrip('/')}/pipeline_metadata")
 
 
 def account(spark: SparkSession, root: str, batch_id: str, summary, duration_s: float, params: dict,
             alerts: bool = True, source_name: str = "vehicle_positions_bronze") -> None:
-    """Append a run's log and metadata rows, and an ALERT row when files gave no record.
+    """Write a run's log and metadata rows, and an ALERT row when files gave no record.
 
     ``summary`` is the run-summary row.  Tables: ``ingestion_log`` and ``pipeline_metadata`` under ``root``.
     """
@@ -482,79 +525,117 @@ def account(spark: SparkSession, root: str, batch_id: str, summary, duration_s:
     if alerts and summary.silent_failure:
         rows.append(run_log_row(spark, batch_id, source_name, f"batch_{batch_id}", "", 0, "ALERT",
                                 f"{summary.file_count} files gave no record", duration_s))
-    log = rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])
-    log.write.mode("append").parquet(f"{root.rstrip('/')}/ingestion_log")
-    metadata_row(spark, batch_id, "bronze_vehicle_positions", "2.0", summary.status, params) \
-        .write.mode("append").parquet(f"{root.rstrip('/')}/pipeline_metadata")
+    write_log(rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1]), root)
+    replace_batch(metadata_row(spark, batch_id, "bronze_vehicle_positions", "2.0", summary.status, params),
+                  f"{root.rstrip('/')}/pipeline_metadata")
+
+
+def too_small(decoded: DataFrame, min_bytes: int, batch_id: str) -> DataFrame:
+    """Dead-letter rows for files shorter than ``min_bytes``."""
+    return (decoded.where(C("length") < min_bytes).select("file_name", "length").distinct()
+            .select(F.lit("vehicle_positions").alias("source_table"), C("file_name").alias("source_file"),
+                    F.lit("PAYLOAD_TOO_SMALL").alias("error_type"),
+                    F.concat(C("length").cast("string"), F.lit(" bytes")).alias("error_message"),
+                    F.lit(None).cast("string").alias("raw_record"), F.lit(batch_id).alias("batch_id"),
+                    F.lit(None).cast("string").alias("raw_entity")))
+
+
+class IngestBatch:
+    """One batch: its outputs, in the order in which they are written.
+
+    The decoded frame is persisted (a lost block is recomputed from the files) because several outputs read it.
+    Every write replaces what the same batch wrote before, so a batch that was cut off between any two
+    of them can be run again from the start.
+    """
+
+    def __init__(self, spark: SparkSession, files: DataFrame, bronze_path: str, quarantine_path: str, ledger: Ledger, batch_id: str,
+                 mode: str, process_date: str | None, accounting: str | None, alerts: bool, min_bytes: int | None):
+        self.spark, self.ledger, self.batch_id, self.mode, self.process_date = spark, ledger, batch_id, mode, process_date
+        self.files, self.bronze_path, self.quarantine_path = files, bronze_path, quarantine_path
+        self.accounting, self.alerts, self.min_bytes = accounting, alerts, min_bytes
+        self.began = time.monotonic()
+        self.summary: DataFrame | None = None
+
+    def writes(self, decoded: DataFrame) -> Iterator[tuple[str, Callable[[], None]]]:
+        """(name, write) of every output: intent, quarantine, records, accounting, commit."""
+        # A file that is neither empty nor readable is an error already; a short one is set aside whole.
+        kept = decoded if self.min_bytes is None else decoded.where(C("length") >= self.min_bytes)
+        rows, bad = enrich(records(kept), self.batch_id), errors(kept, self.batch_id)
+        if self.min_bytes is not None:
+            bad = bad.unionByName(too_small(decoded, self.min_bytes, self.batch_id))
+        replacing = self.mode == "full" and self.process_date is not None
+        if replacing:
+            bad = bad.unionByName(out_of_range(rows, self.process_date, self.batch_id))
+            rows = rows.where(inside(C("ingestion_date"), [self.process_date]))
+        yield "intent", lambda: self.ledger.begin(decoded.select("file_name"), self.batch_id, self.mode, self.process_date)
+        yield "quarantine", lambda: write_quarantine(bad, self.quarantine_path)
+        yield "records", lambda: write_bronze(rows, self.bronze_path, "append" if self.mode == "incremental" else "overwrite",
+                                              self.process_date if replacing else None)
+        yield "accounting", lambda: self._account(decoded)
+        yield "commit", lambda: self.ledger.commit(self.batch_id, self.mode, self.process_date)
+
+    def _account(self, decoded: DataFrame) -> None:
+        summary = run_summary(decoded.withColumn("batch_id", F.lit(self.batch_id)), ["batch_id"])
+        # One row per batch, none without files.
+        found = summary.collect() or [(self.batch_id, 0, 0, 0, "NO_NEW_FILES", False)]
+        self.summary = self.spark.createDataFrame(found, summary.schema)
+        if self.accounting:
+            account(self.spark, self.accounting, self.batch_id, self.summary.first(), time.monotonic() - self.began,
+                    {"mode": self.mode, "process_date": self.process_date}, self.alerts)
+
+    def run(self, until: str | None = None) -> DataFrame | None:
+        """Write all outputs and return the one-row summary; ``until`` ends after that output, as a crash would."""
+        decoded = decode(self.files).persist()
+        try:
+            for name, write in self.writes(decoded):
+                write()
+                if name == until:
+                    return None
+            return self.summary
+        finally:
+            decoded.unpersist()
 
 
 def ingest(spark: SparkSession, files: DataFrame, bronze_path: str, quarantine_path: str,
            batch_id: str | None = None, mode: str = "incremental", process_date: str | None = None,
            existing: DataFrame | None = None, manifest_path: str | None = None,
-           accounting: str | None = None, alerts: bool = True, min_bytes: int | None = None) -> DataFrame:
-    """Whole bronze batch: select files, decode once, quarantine, write, account, summarise.
-
-    Incremental mode skips the files of the manifest (by default beside
-    ``bronze_path``), which holds every processed file, also empty and corrupt
-    ones, so a repeated run writes nothing; ``existing`` skips files by a bronze
-    table's watermark instead.  ``process_date`` takes only that landing date;
-    with ``mode="full"`` it replaces that date's partition, and rows of another
-    event date go to the quarantine.  ``min_bytes`` quarantines shorter files.
-    ``accounting`` names the folder of the run log and the metadata table.
-
-    The decoded frame is persisted (a lost block is recomputed from the
-    files) because several outputs read it.  Quarantine is written before the
-    records, the manifest last.  Returns the one-row run summary.
+           accounting: str | None = None, alerts: bool = True, min_bytes: int | None = None,
+           until: str | None = None) -> DataFrame | None:
+    """Whole bronze batch: finish what was cut off, select files, decode once, quarantine, write, account, commit.
+
+    Incremental mode skips the files of finished batches (``manifest_path``, by default beside
+    ``bronze_path``), also empty and corrupt ones, so a repeated run writes nothing; ``existing`` skips files
+    by a bronze table's watermark instead.  ``process_date`` takes only that landing date; with
+    ``mode="full"`` it replaces that date's partition, and rows of another event date go to the quarantine.
+    ``min_bytes`` quarantines shorter files.  ``accounting`` names the folder of the run log and the metadata
+    table.  ``files`` comes with its content; for landed binary files ``ingest_landing`` selects by name first.
+
+    A batch that an earlier run began and did not commit is run again first, under its own id with its own
+    files and mode; a full run with the same target takes its place.  ``until`` ends the new batch
+    after the named output, to try that out.  Returns the one-row run summary: of the new batch, or of
+    the last one finished if that left no file.
     """
-    import time
-    began = time.monotonic()
-    batch_id = batch_id or uuid.uuid4().hex
-    manifest_path = manifest_path or f"{bronze_path.rstrip('/')}_files"
+    ledger = Ledger(spark, manifest_path or f"{bronze_path.rstrip('/')}_files")
+
+    def batch(todo, name, how, date) -> IngestBatch:
+        return IngestBatch(spark, todo, bronze_path, quarantine_path, ledger, name, how, date, accounting, alerts, min_bytes)
+
+    finished = None
+    for p in ledger.pending():
+        if mode == "full" and (p.mode, p.process_date) == (mode, process_date):
+            batch_id = p.batch_id
+            continue
+        mine = files.join(ledger.files_of(p.batch_id), "file_name", "left_semi")
+        finished = batch(mine, p.batch_id, p.mode, p.process_date).run()
     if process_date is not None:
         files = files.where(C("date") == F.lit(process_date))
     if mode == "incremental" and existing is None:
-        # Names first: content is read only for the files that remain.
-        done = read_manifest(spark, manifest_path)
-        todo = files if done is None else files.join(unprocessed(files.select("file_name"), done), "file_name", "left_semi")
+        todo = files.join(ledger.processed().select("file_name").distinct(), "file_name", "left_anti")
+        if finished is not None and todo.select("file_name").isEmpty():
+            return finished
     else:
         todo = select_files(files, existing, mode)
-    decoded = decode(todo).persist()
-    try:
-        kept = decoded
-        short = None
-        if min_bytes is not None:
-            # A file that is neither empty nor readable is an error already; a short one is set aside whole.
-            kept = decoded.where(C("length") >= min_bytes)
-            short = (decoded.where(C("length") < min_bytes).select("file_name", "length").distinct()
-                     .select(F.lit("vehicle_positions").alias("source_table"), C("file_name").alias("source_file"),
-                             F.lit("PAYLOAD_TOO_SMALL").alias("error_type"),
-                             F.concat(C("length").cast("string"), F.lit(" bytes")).alias("error_message"),
-                             F.lit(None).cast("string").alias("raw_record"), F.lit(batch_id).alias("batch_id"),
-                             F.lit(None).cast("string").alias("raw_entity")))
-        rows = enrich(records(kept), batch_id)
-        bad = errors(kept, batch_id)
-        if short is not None:
-            bad = bad.unionByName(short)
-        replacing = mode == "full" and process_date is not None
-        if replacing:
-            bad = bad.unionByName(out_of_range(rows, process_date, batch_id))
-            rows = rows.where(inside(C("ingestion_date"), [process_date]))
-        write_quarantine(bad, quarantine_path)
-        write_bronze(rows, bronze_path, "append" if mode == "incremental" else "overwrite", process_date if replacing else None)
-        (decoded.select("file_name").distinct()
-         .select("file_name", F.lit(batch_id).alias("batch_id"), F.current_timestamp().alias("processed_at"))
-         .write.mode("append").parquet(manifest_path))
-        summary = run_summary(decoded.withColumn("batch_id", F.lit(batch_id)), ["batch_id"])
-        found = summary.collect()  # one row per batch, none without files
-        if not found:
-            found = [(batch_id, 0, 0, 0, "NO_NEW_FILES", False)]
-        out = spark.createDataFrame(found, summary.schema)
-        if accounting:
-            account(spark, accounting, batch_id, out.first(), time.monotonic() - began,
-                    {"mode": mode, "process_date": process_date}, alerts)
-        return out
-    finally:
-        decoded.unpersist()
+    return batch(todo, batch_id or uuid.uuid4().hex, mode, process_date).run(until)
 
 
 # ---------------------------------------------------------------------------

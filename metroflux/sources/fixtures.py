@@ -366,7 +366,7 @@ def feed_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.repartition(spark.sparkContext.defaultParallelism)
 
 
-def write_landing(files: DataFrame, base_path: str) -> None:
+def write_landing(files: DataFrame, base_path: str, mode: str = "overwrite") -> None:
     """Materialise landed snapshots under ``base/date=/hour=/`` as JSON-lines files.
 
     Many snapshots share one file (one document per line), the layout a
@@ -376,7 +376,7 @@ def write_landing(files: DataFrame, base_path: str) -> None:
     # Cluster by folder first: one file per (date, hour) instead of one per task and folder.
     (files.select(F.col("content").cast("string").alias("value"), "date", "hour")
      .repartition("date", "hour")
-     .write.mode("overwrite").partitionBy("date", "hour").text(base_path))
+     .write.mode(mode).partitionBy("date", "hour").text(base_path))
 
 
 def write_weather_documents(weather: DataFrame, path: str) -> None:

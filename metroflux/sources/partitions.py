@@ -23,6 +23,25 @@ def dates_between(start: str, end: str) -> list[str]:
     return [(lo + dt.timedelta(days=k)).isoformat() for k in range((hi - lo).days + 1)]
 
 
+def partition_names(spark: SparkSession, folder: str) -> dict[str, frozenset[str]]:
+    """The partition folders right below ``folder``, each with the names of its data files."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    top = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = top.getFileSystem(conf)
+    if not fs.exists(top):
+        return {}
+    return {f.getPath().getName(): frozenset(x.getPath().getName() for x in fs.listStatus(f.getPath()))
+            for f in fs.listStatus(top) if f.isDirectory()}
+
+
+def drop_partitions(spark: SparkSession, folder: str, names: list[str]) -> None:
+    """Remove partition folders below ``folder``."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name in names:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.org.apache.hadoop.fs.Path(folder), name)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def _listing(spark: SparkSession, path: str, column: str, dates: list[str]) -> dict[str, set[str]]:
     """Data files of each target partition; only those folders are listed."""
     jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()

@@ -37,7 +37,7 @@ def landing_stream(spark: SparkSession, base_path: str, max_files_per_trigger: i
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     df = r.load(base_path)
-    return df.select(C("_metadata.file_name").alias("file_name"), "date", "hour",
+    return df.select(B.landed_name(C("_metadata.file_path")).alias("file_name"), "date", "hour",
                      F.octet_length("value").cast("long").alias("length"), C("value").alias("content"))
 
 
