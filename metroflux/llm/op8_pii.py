@@ -12,16 +12,29 @@ of a collision are hashed again with the next attempt number until none is left.
 Only rows with an entity are written and joined; the others pass through.  A
 mention's join key may be hot, its other side is unique, and AQE splits it.
 
-Kinds: email, ip, card, ssn, phone, iban, secret, name.  A phone is known by its
-last ten digits, a card by its digits, an email by its lower case, a name token by
-its lower case.  A name is found by its titles and takes every capitalised token and
-initial that follows, of any length; apostrophes belong to a token (a genitive 's does
-not), particles (von, de la) between tokens stay.  The tokens of a document's names are
+Kinds: email, ip (4 and 6), card, ssn, phone, iban, secret, birth date, address, name.  A phone
+is known by its last ten digits, a card by its digits, an email by its lower case, a birth
+date by its day, a name token by its lower case.  A number is a card only if its check
+digit holds and it begins with 2 to 6; other long numbers stay.  National phone numbers
+are those with a leading 0 and separators.  A secret is what follows a word for one, up to
+the closing quote or else to white space, a Bearer token, a PEM private key's body, or a
+string in a known key format; of any length.  A birth date or a passport number is found by the
+words before it, an address by its house number and word for a street (English, German).
+
+A name is found by its titles and takes every capitalised token and initial that
+follows, of any length; apostrophes belong to a token (a genitive 's does not),
+particles (von, de la) between tokens stay.  The tokens of a document's names are
 replaced wherever else they stand in it as whole words in the same spelling, also
-without a title.  Secrets are taken up to their end, of any length.
+without a title.  A name that never stands with a title in its document is not found: there
+is no list of names.
+
+Letters become letters of the same script, from the scripts of ``SCRIPTS``; of others, Latin
+ones.  Where a kind's surrogates are few, they grow: names and initials, secrets, mails and
+addresses get more characters with each attempt after the second, so rounds end.
 
 Defined results: NULL text stays NULL; rows without an entity keep their text;
-repeated rows are treated each; all other columns are unchanged.
+repeated rows are treated each; all other columns are unchanged, whatever their names;
+an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -35,19 +48,33 @@ from metroflux.llm.common import stage
 KEY = "surrogates-1"
 
 #: Entity patterns in order of precedence (Java regular expressions).
-EMAIL = r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]{1,64}+@[\p{L}\p{N}](?:[\p{L}\p{N}\-]{0,62}\.){1,126}\p{L}{2,24}"
+EMAIL = r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}](?:[\p{L}\p{N}\-]{0,62}\.){1,126}\p{L}{2,24}"
 WORDS_OF_SECRETS = "token|secret|api[_-]?key|access[_-]?key|password|passwd|pwd"
-BEFORE_SECRET = rf"""(?i:{WORDS_OF_SECRETS})["']?\s{{0,3}}[:=]\s{{0,3}}["']?"""
-SECRET = (rf"{BEFORE_SECRET}[A-Za-z0-9][A-Za-z0-9+/_\-.]{{7,}}+={{0,2}}"
+AFTER_WORD = rf"""(?i:{WORDS_OF_SECRETS})["']?\s{{0,3}}[:=]\s{{0,3}}["']?"""
+PASSPORT = r"\b(?i:passport(?: (?:no|number|nr)\.?)?)\s{0,3}[:#=]?\s{0,3}(?=[A-Z]{0,3}\d{5,8}\b)"
+BEARER = r"\b(?:Bearer|bearer|BEARER)\s{1,3}(?=[A-Za-z0-9._~+/=\-]{16,})"
+PEM = r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
+BEFORE_SECRET = rf"(?:{PEM}|{BEARER}|{PASSPORT}|{AFTER_WORD})"
+#: To the closing quote; else to white space, without closing punctuation.
+VALUE = r"""(?:(?<=")[^"\r\n]{6,}+(?=")|(?<=')[^'\r\n]{6,}+(?=')|[^\s"'<>]{8,}(?<![.,;:)\]}!?]))"""
+SECRET = (rf"{PEM}[A-Za-z0-9+/=\s]{{16,}}+|{BEARER}[A-Za-z0-9._~+/=\-]{{16,}}(?<![.\-])|{PASSPORT}[A-Z]{{0,3}}\d{{5,8}}|{AFTER_WORD}{VALUE}"
           r"|\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9\-]{20,}|xox[abp]-[A-Za-z0-9\-]{10,})"
           r"|\b(?=[0-9]*+[a-f])[0-9a-f]{32,}+\b")
 IBAN = r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IP = rf"(?<![\d.]){OCTET}(?:\.{OCTET}){{3}}(?!\d|\.\d)"
+GROUP = r"[0-9A-Fa-f]{1,4}"
+IP6 = (rf"(?<![\p{{L}}\p{{N}}:.])(?:(?:{GROUP}:){{7}}{GROUP}|(?=[0-9A-Fa-f:]*\d)(?:{GROUP}:){{1,6}}(?::{GROUP}){{1,6}})(?![\p{{L}}\p{{N}}:])")
+WORDS_OF_BIRTH = r"date of birth|birth ?date|dob|d\.o\.b\.?|born(?: on)?|geboren(?: am)?|née? le|nacid[oa] el"
+BEFORE_BIRTH = rf"\b(?i:{WORDS_OF_BIRTH})\s{{0,3}}[:=]?\s{{0,3}}"
+BIRTH = rf"{BEFORE_BIRTH}(?:\d{{4}}[-/.]\d{{1,2}}[-/.]\d{{1,2}}|\d{{1,2}}[-/.]\d{{1,2}}[-/.]\d{{4}})(?!\d)"
+STREETS = "Street|St|Road|Rd|Avenue|Ave|Lane|Drive|Boulevard|Blvd|Court|Square|Terrace"
+ADDRESS = (rf"(?<![\p{{L}}\p{{N}}])\d{{1,5}}[A-Za-z]?,? (?:\p{{Lu}}[\p{{L}}'’-]+ ){{0,2}}\p{{Lu}}[\p{{L}}'’-]+(?= (?:{STREETS})\b)"
+           r"|(?<![\p{L}\p{N}])\p{Lu}\p{Ll}+(?=(?:straße|strasse|allee|gasse) \d)")
 CARD = r"(?<![\d.+])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?!\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PHONE = (r"(?<![\d.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}"
-         r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\d)")
+         r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4}|0\d{2,4}[ -]\d{3,4}[ -]?\d{3,4})(?!\d)")
 MALE, FEMALE, EITHER = r"Mr\.?|Herrn?|Monsieur|Señor|Sr\.", r"Mrs\.?|Ms\.?|Frau|Madame|Mme|Señora|Sra\.", r"Dr\.|Prof\."
 TITLES = rf"(?:{MALE}|{FEMALE}|{EITHER})\s"
 TITLE = rf"\b(?:{TITLES}){{1,5}}+"
@@ -58,22 +85,34 @@ PART = rf"{PARTICLE}?(?:{INITIAL}|{TOKEN})"
 NAME = rf"{TITLE}{PART}(?:(?: |(?<=\.))(?!{TITLES}){PART})*+"
 #: One part of what follows the titles in a NAME: the text before, and the token or initials.
 PIECE = rf"((?:^| |(?<=\.)){PARTICLE}?)((?:\p{{Lu}}\.-?)++|\p{{Lu}}(?:[\p{{L}}\p{{M}}]|['’\-](?=\p{{L}}))*+)"
-PATTERN = "|".join(f"(?:{p})" for p in (EMAIL, SECRET, IBAN, IP, CARD, SSN, PHONE, NAME))
+PATTERN = "|".join(f"(?:{p})" for p in (EMAIL, SECRET, BIRTH, IBAN, IP, IP6, CARD, SSN, PHONE, ADDRESS, NAME))
 #: A text without a match of this has no entity; it spares most texts the whole pattern.
-HINT = rf"[0-9@=:]|{TITLE}"
+HINT = rf"[0-9@=:]|{PEM}|{BEARER}|{TITLE}"
 
 ONSETS = ["b", "d", "f", "g", "k", "l", "m", "n", "p", "r", "s", "t", "v", "w", "h", "j"]
 VOWELS = ["a", "e", "i", "o"]
+#: Script -> first letter and number of letters in a row, for lower case (or where there is none) and upper case.
+SCRIPTS = {"Cyrillic": ((0x430, 32), (0x410, 32)), "Greek": ((0x3B1, 17), (0x391, 17)), "Armenian": ((0x561, 38), (0x531, 38)),
+           "Han": ((0x4E00, 2000), None), "Hangul": ((0xAC00, 11172), None), "Hiragana": ((0x3042, 80), None),
+           "Katakana": ((0x30A2, 80), None), "Arabic": ((0x627, 19), None), "Hebrew": ((0x5D0, 27), None),
+           "Devanagari": ((0x915, 37), None), "Thai": ((0xE01, 46), None), "Georgian": ((0x10D0, 33), None)}
+
+
+#: The kind of matches that are no entity after all; they stay.
+NONE = "none"
 
 
 def kind_of(mention: Column) -> Column:
     """The entity's type."""
     digits = F.regexp_replace(mention, r"[^0-9]", "")
-    return (F.when(mention.rlike(rf"^{BEFORE_SECRET}"), "secret").when(mention.rlike(rf"^{TITLE}"), "name")
+    return (F.when(mention.rlike(rf"^(?:{PEM}|{BEARER.partition('(?=')[0]}|{PASSPORT.partition('(?=')[0]}\w|{AFTER_WORD})"), "secret")
+            .when(mention.rlike(rf"^{BEFORE_BIRTH}\d"), "birth").when(mention.rlike(rf"^{TITLE}"), "name")
             .when(mention.contains("@"), "email")
-            .when(mention.rlike(rf"^{OCTET}(?:\.{OCTET}){{3}}$"), "ip")
+            .when(mention.rlike(rf"^{OCTET}(?:\.{OCTET}){{3}}$|^[0-9A-Fa-f]{{1,4}}:[0-9A-Fa-f:]+$"), "ip")
             .when(mention.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
-            .when(mention.rlike(r"^\d[\d -]*$") & (F.length(digits) >= 13), "card")
+            .when(mention.rlike(r"^\d[\d -]*$") & (F.length(digits) >= 13),
+                  F.when(mention.rlike("^[2-6]") & (check_sum(digits) == 0), "card").otherwise(NONE))
+            .when(mention.rlike(r"^\d{1,5}[A-Za-z]?,? \p{Lu}|^\p{Lu}\p{Ll}+$"), "address")
             .when(mention.rlike(r"^[+(\d][\d ().+-]*$"), "phone")
             .when(mention.rlike(r"^[A-Z]{2}\d{2}[ A-Z0-9]{11,}$"), "iban").otherwise("secret"))
 
@@ -81,12 +120,12 @@ def kind_of(mention: Column) -> Column:
 def values_of(kind: Column, match: Column) -> Column:
     """What is replaced in a match, each with the text before it: a secret's value, a name's tokens, else the whole."""
     piece = lambda before, value: F.struct(before.alias("before"), value.alias("mention"))
-    before = F.regexp_extract(match, rf"^(?:{BEFORE_SECRET}|{TITLE})", 0)
+    before = F.regexp_extract(match, rf"^(?:{BEFORE_SECRET}|{BEFORE_BIRTH}(?=\d)|{TITLE})", 0)
     rest = F.substr(match, F.length(before) + 1)
     words = F.zip_with(F.regexp_extract_all(rest, F.lit(PIECE), 1), F.regexp_extract_all(rest, F.lit(PIECE), 2), piece)
     # The titles stand before the first of the name's parts.
     words = F.transform(words, lambda w, i: piece(F.when(i == 0, F.concat(before, w["before"])).otherwise(w["before"]), w["mention"]))
-    return F.when(kind == "name", words).when(kind == "secret", F.array(piece(before, rest))).otherwise(F.array(piece(F.lit(""), match)))
+    return F.when(kind == "name", words).when(kind.isin("secret", "birth"), F.array(piece(before, rest))).otherwise(F.array(piece(F.lit(""), match)))
 
 
 def names_in(matches: Column) -> Column:
@@ -108,13 +147,29 @@ def identity(kind: Column, mention: Column) -> Column:
             .when(kind == "phone", F.substring(digits, -10, 10))
             .when(kind.isin("card", "ssn"), digits)
             .when(kind == "iban", F.regexp_replace(mention, " ", ""))
-            .otherwise(mention))
+            .when(kind == "ip", F.lower(mention))
+            .when(kind == "birth", written_day(mention)).otherwise(mention))
+
+
+def written_day(date: Column) -> Column:
+    """A date as year-month-day with leading zeros; it is written year first or day first."""
+    part = F.regexp_extract_all(date, F.lit(r"\d+"), 0)
+    first, middle, last = (F.get(part, k) for k in range(3))
+    two = lambda c: F.lpad(c, 2, "0")
+    return F.when(F.length(first) == 4, F.concat_ws("-", first, two(middle), two(last))).otherwise(F.concat_ws("-", last, two(middle), two(first)))
+
+
+def day_like(mention: Column, day: Column) -> Column:
+    """A year-month-day in the order and with the separator of a mention."""
+    part, sep = F.split(day, "-"), F.regexp_extract(mention, r"[-/.]", 0)
+    year, month, date = (F.get(part, k) for k in range(3))
+    return F.when(mention.rlike(r"^\d{4}"), F.concat(year, sep, month, sep, date)).otherwise(F.concat(date, sep, month, sep, year))
 
 
 def keyed(kind: Column, entity: Column, attempt: int, key: str) -> Column:
-    """An array of numbers below 65536, at least 16 and one for each character of the entity."""
+    """An array of numbers below 65536, at least 16 and one for each character of the entity and of its growth."""
     stream = F.array_join(F.transform(
-        F.sequence(F.lit(0), F.floor(F.length(entity) / 16).cast("int")),
+        F.sequence(F.lit(0), F.floor((F.length(entity) + attempt) / 16).cast("int")),
         lambda i: F.sha2(F.concat_ws("\u0001", F.lit(key), kind, F.lit(str(attempt)), i.cast("string"), entity), 256)), "")
     return F.transform(F.regexp_extract_all(stream, F.lit("[0-9a-f]{4}"), 0), lambda h: F.conv(h, 16, 10).cast("int"))
 
@@ -125,16 +180,20 @@ def reshaped(text: Column, numbers: Column) -> Column:
     wide = lambda n, first, many: F.decode(F.unhex(F.lpad(F.hex(F.lit(first) + n % many), 4, "0")), "UTF-16BE")
 
     def one(c: Column, n: Column) -> Column:
-        return (F.when(c.between("0", "9"), among(n, 48, 10)).when(c.between("a", "z"), among(n, 97, 26))
-                .when(c.between("A", "Z"), among(n, 65, 26))
-                .when(c.rlike(r"^\p{IsCyrillic}$"), F.when(c == F.upper(c), wide(n, 0x410, 32)).otherwise(wide(n, 0x430, 32)))
-                .when(c.rlike(r"^\p{IsGreek}$"), wide(n, 0x3B1, 17)).when(c.rlike(r"^\p{IsHan}$"), wide(n, 0x4E00, 2000))
-                .when(c.rlike(r"^\p{IsArabic}$"), wide(n, 0x627, 19))
-                .when(c.rlike(r"^\p{Lu}$"), among(n, 65, 26)).when(c.rlike(r"^\p{L}$"), among(n, 97, 26)).otherwise(c))
+        out = (F.when(c.between("0", "9"), among(n, 48, 10)).when(c.between("a", "z"), among(n, 97, 26))
+               .when(c.between("A", "Z"), among(n, 65, 26)))
+        for script, (lower, upper) in SCRIPTS.items():
+            mine = c.rlike(rf"^\p{{Is{script}}}$") & c.rlike(r"^\p{L}$")
+            if upper:
+                out = out.when(mine & c.rlike(r"^\p{Lu}$"), wide(n, *upper))
+            out = out.when(mine, wide(n, *lower))
+        return out.when(c.rlike(r"^\p{Lu}$"), among(n, 65, 26)).when(c.rlike(r"^\p{L}$"), among(n, 97, 26)).otherwise(c)
 
     chars = F.filter(F.split(text, ""), lambda c: c != "")
     enough = F.slice(numbers, 1, F.size(chars))
-    return F.array_join(F.when(text.rlike(r"^(?=.*[a-f])[0-9a-f]{16,}$"), F.transform(enough, lambda n: F.lower(F.hex(n % 16))))
+    digit = lambda n: F.lower(F.hex(n % 16))
+    return F.array_join(F.when(text.rlike(r"^(?=.*[a-f])[0-9a-f]{16,}$"), F.transform(enough, digit))
+                        .when(text.rlike("^[0-9a-f]{1,4}:[0-9a-f:]+$"), F.zip_with(chars, enough, lambda c, n: F.when(c == ":", c).otherwise(digit(n))))
                         .otherwise(F.zip_with(chars, enough, one)), "")
 
 
@@ -162,7 +221,7 @@ def with_surrogate(entities: DataFrame, attempt: int, key: str) -> DataFrame:
     grown = (at(5) % 9000 + 1000).cast("string") if attempt > 1 else F.lit("")
     tail = F.regexp_extract(entity, r"\.\p{L}{2,24}$", 0)
     email = F.concat(F.substr(plain, F.lit(1), F.length(entity) - F.length(tail)), tail)
-    ip = F.concat_ws(".", *[(at(i) % 254 + 1).cast("string") for i in (1, 2, 3, 4)])
+    ip = F.when(entity.contains(":"), plain).otherwise(F.concat_ws(".", *[(at(i) % 254 + 1).cast("string") for i in (1, 2, 3, 4)]))
     body = F.concat(F.substring(entity, 1, 1), F.substr(plain, F.lit(2), F.length(entity) - 2))
     card = F.concat("body", F.when(F.col("sound"), F.col("check")).otherwise(F.pmod(F.col("check") + 1 + at(3) % 9, F.lit(10))).cast("string"))
     syllable = lambda i: F.concat(F.element_at(F.array(*map(F.lit, ONSETS)), at(i) % 16 + 1),
@@ -172,12 +231,17 @@ def with_surrogate(entities: DataFrame, attempt: int, key: str) -> DataFrame:
                      F.when(gender == "f", "na").when(gender == "m", "ron").otherwise("l"))
     # Initials grow by one more with each attempt after the second.
     more = F.concat(F.lit(""), *[F.concat(among_letters(at(6 + i)), F.lit(".")) for i in range(min(max(attempt - 1, 0), 8))])
+    # Names in other scripts and addresses grow by letters like their last one.
+    longer = F.when(kind.isin("name", "address"), F.concat(entity, F.repeat(F.right(entity, F.lit(1)), F.lit(max(attempt - 1, 0))))).otherwise(entity)
+    birth = F.concat_ws("-", (at(1) % 400 + 1800).cast("string"), F.lpad((at(2) % 12 + 1).cast("string"), 2, "0"),
+                        F.lpad((at(3) % 28 + 1).cast("string"), 2, "0"))
     return (entities.withColumn("numbers", keyed(kind, entity, attempt, key))
-            .withColumn("plain", reshaped(entity, F.col("numbers")))
+            .withColumn("plain", reshaped(longer, F.col("numbers")))
             .withColumn("body", F.when(kind == "card", body))
             .withColumn("check", F.when(kind == "card", F.pmod(F.lit(10) - check_sum(F.concat("body", F.lit("0"))), F.lit(10))))
             .withColumn("sound", F.when(kind == "card", check_sum(entity) == 0))
             .withColumn("surrogate", F.when(kind == "email", F.concat(grown, email)).when(kind == "ip", ip).when(kind == "card", card)
+                        .when(kind == "birth", birth)
                         .when((kind == "name") & entity.rlike(r"^[\p{IsLatin}\p{M}'’-]+$"), latin)
                         .when((kind == "name") & entity.contains("."), F.concat(plain, more))
                         .when(kind == "iban", F.concat(F.substring(entity, 1, 2), F.substr(plain, F.lit(3), F.length(entity))))
@@ -197,7 +261,7 @@ def rendered(kind: Column, mention: Column, replacement: Column) -> Column:
                         F.when(digit, k + 1).otherwise(k).alias("k"))
 
     filled = F.aggregate(F.split(mention, ""), F.struct(F.lit("").alias("out"), F.lit(0).alias("k")), fill)["out"]
-    return (F.when(kind.isin("phone", "card", "ssn"), filled)
+    return (F.when(kind.isin("phone", "card", "ssn"), filled).when(kind == "birth", day_like(mention, replacement))
             .when(kind == "name", F.when((mention == F.upper(mention)) & (F.length(mention) > 1), F.upper(replacement)).otherwise(F.initcap(replacement)))
             .otherwise(replacement))
 
@@ -253,11 +317,12 @@ def replace(docs: DataFrame, text_col: str = "text", key: str = KEY, length_col:
                   .drop("text", "named", "pattern")
                   .withColumn("row", F.monotonically_increasing_id()), "surrogates-found")
     seen = stage(mentions(found), "surrogates-mentions")
-    entities = (seen.groupBy("kind", "entity").agg(F.min("gender").alias("low"), F.max("gender").alias("high"))
+    entities = (seen.where(F.col("kind") != NONE).groupBy("kind", "entity").agg(F.min("gender").alias("low"), F.max("gender").alias("high"))
                 .select("kind", "entity", F.when(F.col("low") == F.col("high"), F.col("low")).alias("gender")))
     known = surrogates(stage(entities, "surrogates-entities"), key)
-    filled = (seen.join(known, ["kind", "entity"])
-              .select("row", "at", "part", F.concat("before", rendered(F.col("kind"), F.col("mention"), F.col("surrogate"))).alias("new"))
+    filled = (seen.join(known, ["kind", "entity"], "left")
+              .select("row", "at", "part", F.concat("before", F.when(F.col("kind") == NONE, F.col("mention")).otherwise(
+                  rendered(F.col("kind"), F.col("mention"), F.col("surrogate")))).alias("new"))
               .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("at", "part", "new"))).alias("new")))
     # The text between matches stands before the first part of each.
     pieces = F.transform("new", lambda m: F.concat(F.when(m["part"] == 0, F.element_at("parts", m["at"] + 1)).otherwise(F.lit("")), m["new"]))
