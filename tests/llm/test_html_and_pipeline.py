@@ -63,9 +63,37 @@ def test_whole_articles_of_nested_and_minority_templates(spark):
     assert got["c0"] == got["e0"] == body.strip() and whole in got["c5"]
 
 
+def test_deep_and_long_pages(spark):
+    deep = {0: "<b>" * 1100 + "text", 1: "<blockquote>" * 10_000 + "<p>quoted</p>", 2: "<div class=x>" * 10_000 + "<p>inner words</p>",
+            3: "<i>" * 8000 + "<p>one</p><h2>two</h2>" * 50 + "</i>" * 8000, 4: "<p>word</p>" * 40_000}
+    df = spark.createDataFrame([(k, f"http://d{k}.example.com/", f"<body>{p}</body>") for k, p in deep.items()], "page_id int, url string, html string")
+    got = {r.page_id: r.text for r in op9_html.main_text(df).collect()}
+    assert (got[0], got[1], got[2]) == ("text", "quoted", "inner words") and got[3] == "one two " * 49 + "one two" and got[4].count("word") == 40_000
+
+
+def test_words_of_boilerplate_inside_articles_are_put_to_the_host(spark):
+    body = "body words follow here " * 20
+    page = "<body><article><h1>T</h1><p>{body}</p>{more}{always}</article></body>"
+    always = "<div class=share><a href=x>tweet</a> this</div><div class=comments><p>reader says</p></div>"
+    extra = {0: "<section id='share'><p>The share price rose.</p></section>", 1: "<div class='side effects'><p>Mild ones.</p></div>",
+             2: "<div id='social'><p>Social life.</p></div>"}
+    rows = [(k, "http://many.example.com/", page.format(body=body, more=extra.get(k, ""), always=always)) for k in range(30)]
+    rows += [(100, "http://one.example.com/", page.format(body=body, more="", always=always))]
+    got = {r.page_id: r.text for r in op9_html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    plain = f"T {body}".strip()
+    assert got[0] == f"{plain} The share price rose." and got[1] == f"{plain} Mild ones." and got[2] == f"{plain} Social life."
+    assert all(got[k] == plain for k in (3, 17, 29, 100))
+
+
+def test_small_path_tables_are_sent_to_the_pages(spark):
+    df = op9_html.main_text(read_table(spark, SMOKE, "pages"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_queries_are_registered_once_per_operator():
     names = list(queries.queries())
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
 
 
 def test_pipeline_equals_its_parts(spark):
@@ -81,7 +109,7 @@ def test_pipeline_equals_its_parts(spark):
     assert spoken.count() == pred.count() and spoken.columns == docs.columns
     left = [(r.doc_id, r.text) for r in spoken.collect()]
     single = corpus_pipeline.near_dedup(spark, spoken, SMOKE)
-    want = {i for (i, _, _, ok) in brute_near(left) if ok and i is not None}
+    want = {i for (i, _, _, ok) in brute_near(left, op4_minhash.STAGE_PERCENT) if ok and i is not None}
     assert {r.doc_id for r in single.where("doc_id is not null").collect()} == want and single.columns == docs.columns
     clean = corpus_pipeline.pii(spark, single, SMOKE)
     assert clean.count() == single.count() and clean.columns == docs.columns
