@@ -6,14 +6,16 @@ level cube, rows are sorted by that index, and the order is cut into runs of
 equal row counts.  Rows close in all dimensions lie in the same or neighbouring
 shards, so filters on any of them skip files.  Everything is DataFrame functions.
 
-Strings are quantised by their first seven bytes, read as a number, so levels
-keep their order.  Law ``rows``: shard counts differ by at most one.  Ties on the
-curve are ordered by id and text checksum, so one hot value is spread over as
-many tasks and shards as its rows need; equal texts need not share a shard.
+Whole strings are ranked: distinct values are counted, their counts cumulated in the
+order of the values (a range sort with partition offsets), and the level borders are at
+most 31 values, whatever the number of distinct ones.  Law ``rows``: shard counts differ by at most one.  Ties on the
+curve are ordered by id, text checksum and row number, so one hot value, or one row
+repeated, is spread over as many tasks and shards as its rows need; equal texts need not share a shard.
 
 Defined results: NULL values of a dimension form its lowest level; NULL text has
 size 1 and checksum 0; repeated rows are placed each; an empty table gives no rows;
-with fewer rows than shards the last shards are empty.
+with fewer rows than shards the last shards are empty; other columns, whatever their names, are
+not read.
 """
 
 from __future__ import annotations
@@ -67,24 +69,37 @@ def hilbert_index(levels: list[Column], bits: int = BITS) -> Column:
     return F.aggregate(corners, start, step)["index"]
 
 
-def ordinal(text: Column) -> Column:
-    """The first seven bytes as a number, in the order of the bytes."""
-    return F.conv(F.hex(F.rpad(F.substring(text.cast("binary"), 1, 7), 7, F.lit(b"\0"))), 16, 10).cast("long")
-
-
-def quantised(rows: DataFrame, dims: list[str], bits: int = BITS) -> DataFrame:
-    """Replaces each numeric column of ``dims`` by its level among 2**bits quantiles of all rows."""
+def string_borders(rows: DataFrame, column: str, levels: int) -> list[str]:
+    """The least value of each level but the first, of ``levels`` that hold about equally many rows; NULLs do not count."""
+    parts = max(2, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    counted = stage(rows.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+                    .repartitionByRange(parts, "value").sortWithinPartitions("value")
+                    .withColumn("at", F.monotonically_increasing_id()).withColumn("part", F.shiftright("at", 33)), "hilbert-values")
+    sums = counted.groupBy("part").agg(F.sum("n").alias("n"))  # one row a partition
+    total = F.sum("n").over(Window.partitionBy())
+    offsets = sums.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"), total.alias("total"))
+    inside = F.sum("n").over(Window.partitionBy("part").orderBy("at")) - F.col("n")
+    placed = counted.withColumn("inside", inside).join(F.broadcast(offsets), "part")
+    level = F.floor((F.col("before") + F.col("inside")) * levels / F.col("total"))
+    found = placed.groupBy(level.alias("level")).agg(F.min("value").alias("value")).where("level > 0").collect()
+    return sorted((r["value"] for r in found), key=str.encode)
+
+
+def quantised(rows: DataFrame, numbers: list[str], strings: list[str], bits: int = BITS) -> DataFrame:
+    """Replaces each column by its level among 2**bits quantiles of all rows; 0 for NULL."""
     fractions = [k / (1 << bits) for k in range(1, 1 << bits)]
-    bounds = rows.agg(*[F.percentile_approx(d, fractions, ACCURACY).alias(d) for d in dims]).first()
-    return rows.withColumns({d: level(F.col(d), sorted(set(bounds[d] or []))) for d in dims})
+    bounds = rows.agg(*[F.percentile_approx(d, fractions, ACCURACY).alias(d) for d in numbers]).first()
+    borders = {d: [F.lit(int(c)).cast("long") for c in sorted(set(bounds[d] or []))] for d in numbers}
+    for d in strings:
+        borders[d] = [F.lit(v) for v in string_borders(rows, d, 1 << bits)]
 
+    def level(d: str, cuts: list[Column]) -> Column:
+        value = F.col(d)
+        # A number's level counts the cuts below it, a string's also the one it equals.
+        below = F.filter(F.array(*cuts), (lambda c: c < value) if d in numbers else (lambda c: c <= value))
+        return F.when(value.isNotNull(), F.size(below)).otherwise(F.lit(0))
 
-def level(value: Column, cuts: list[int]) -> Column:
-    """How many of the cuts lie below the value; 0 for NULL."""
-    if not cuts:
-        return F.lit(0)
-    below = F.filter(F.array(*[F.lit(int(c)).cast("long") for c in cuts]), lambda c: c < value)
-    return F.when(value.isNotNull(), F.size(below)).otherwise(F.lit(0))
+    return rows.withColumns({d: level(d, cuts) if cuts else F.lit(0) for d, cuts in borders.items()})
 
 
 def place(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text",
@@ -94,15 +109,15 @@ def place(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_co
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
                        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
-                       ordinal(F.col(lang_col).cast("string")).alias("__lang"),
-                       ordinal(F.col(source_col).cast("string")).alias("__source"),
+                       F.col(lang_col).cast("string").alias("__lang"), F.col(source_col).cast("string").alias("__source"),
                        (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("__size"),
                        *[F.col(c).alias(f"__{i}") for i, c in enumerate(carry)])
     dims = ["__lang", "__source", "__size"]
-    order = ["__curve", "doc_id", "text_crc32"]
+    order = ["__curve", "doc_id", "text_crc32", "__row"]
     parts = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    placed = stage(quantised(rows, dims).withColumn("__curve", hilbert_index([F.col(d) for d in dims])).drop(*dims)
-                   .repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    placed = stage(quantised(rows, ["__size"], ["__lang", "__source"])
+                   .withColumns({"__curve": hilbert_index([F.col(d) for d in dims]), "__row": F.monotonically_increasing_id()}).drop(*dims)
+                   .repartitionByRange(parts, *order).sortWithinPartitions(*order).drop("__row")
                    .withColumn("__at", F.monotonically_increasing_id()), "hilbert-order")
     # Rank = rows of the partitions before + place in the partition; one row a partition, so small at any size.
     counts = placed.groupBy(F.shiftright("__at", 33).alias("__part")).agg(F.count("*").alias("__n"))
