@@ -15,7 +15,7 @@ Whole texts are read in learning and prediction.
 Defined results: a text that is NULL or has no letter is ``und`` with score 0; a
 NULL id is not held out and not learned from; repeated rows are predicted each;
 without any labelled row all texts are ``und``.  Equal scores: first language in
-alphabetical order.
+alphabetical order.  An empty table gives no rows; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ Special tokens' strings count as ordinary text.
 Defined results: NULL text is empty (0 tokens, no leaves); edits are applied in
 array order, each in the coordinates left by the one before; positions and
 lengths beyond the text are clipped; NULL edits or NULL fields change nothing (a
-NULL insertion inserts nothing); texts and edits of any length are handled whole.
+NULL insertion inserts nothing); texts and edits of any length are handled whole; repeated
+rows are counted each; an empty table gives no rows; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from metroflux.llm.common import map_rows
 
 #: Characters after which a leaf is closed at the next border.
 LEAF_CHARS = 256
+#: A leaf that an edit makes longer than so many of them is cut again at its borders.
+LARGE = 2
 TREE = "leaf_chars array<int>, leaf_tokens array<int>"
 EDITS = "array<struct<at:bigint,remove:bigint,insert:string>>"
 
@@ -106,11 +109,21 @@ class Document:
         while first and not starts_leaf(text):
             first -= 1
             text = self.parts[first] + text
-        counts = self.encode([text]) if text else [0]
         self.reencoded += len(text)
+        pieces = _cut(text) if len(text) > LARGE * LEAF_CHARS else [text]
+        counts = self.encode(pieces) if text else [0]
+        if len(pieces) > last - first + 1:
+            # More leaves than the edit freed: the tree is built anew, empty ones left out.
+            rows = [(p, n) for p, n in zip(self.parts, self.tree.counts[self.tree.width:])]
+            rows[first:last + 1] = zip(pieces, counts)
+            rows = [(p, n) for p, n in rows if p]
+            self.parts = [p for p, _ in rows]
+            self.tree = SegmentTree([len(p) for p in self.parts], [n for _, n in rows])
+            return
         for leaf in range(first, last + 1):
-            self.parts[leaf] = text if leaf == first else ""
-            self.tree.put(leaf, len(self.parts[leaf]), counts[0] if leaf == first else 0)
+            k = leaf - first
+            self.parts[leaf] = pieces[k] if k < len(pieces) else ""
+            self.tree.put(leaf, len(self.parts[leaf]), counts[k] if k < len(pieces) else 0)
 
     @property
     def count(self) -> int:

@@ -2,6 +2,8 @@
 
 import hashlib
 import pathlib
+import random
+import string
 import zlib
 from collections import Counter, defaultdict
 
@@ -155,6 +157,22 @@ def test_quality_rejects_repetitive_and_random_text(spark):
     assert op5_quality.keep_good(empty_documents(spark)).count() == 0
 
 
+def test_quality_bands_decide_on_each_kind_of_chance(spark):
+    rng = random.Random(1)
+    letters = lambda n: " ".join("".join(rng.choices(string.ascii_lowercase, k=rng.randint(3, 9))) for _ in range(n // 7))
+    bad = {1: letters(3000), 2: letters(40_000), 3: " ".join("%016x" % rng.getrandbits(64) for _ in range(1200)),
+           4: " ".join(str(rng.randint(0, 10**9)) for _ in range(6000)), 5: " ".join("".join(rng.choices(string.printable[:62] + "+/", k=60)) for _ in range(80)),
+           6: " ".join("".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(12)) for _ in range(200)),
+           7: "\n".join(f"2026-01-01 00:00:{k % 60:02d} INFO server started step {k}" for k in range(500))}
+    syllables = {8: ["ка", "но", "ро", "сти", "пере", "ли", "во", "ть"], 9: ["an", "er", "th", "ou", "st", "in", "re", "ly", "é", "ç"]}
+    good = {k: " ".join("".join(rng.choices(v, k=rng.randint(1, 4))) for _ in range(1500)) for k, v in syllables.items()}
+    rows = spark.createDataFrame([*bad.items(), *good.items()], "doc_id long, text string")
+    got = {r.doc_id: (r.base_failed, r.kept) for r in op5_quality.quality(rows).collect()}
+    assert not any(got[k][0] for k in range(1, 7)) and [got[k][1] for k in range(1, 8)] == [False] * 7
+    assert [got[k][1] for k in good] == [True, True]
+    assert sorted(r.doc_id for r in op5_quality.keep_good(rows).collect()) == [8, 9]
+
+
 NATURAL = sorted({p.resolve() for p in pathlib.Path("/usr/share/common-licenses").glob("*") if p.resolve().stat().st_size > 3000})
 
 
@@ -219,6 +237,23 @@ def test_edited_counts_equal_a_full_count():
             assert doc.count == len(enc.library.encode(text, add_special_tokens=False).ids)
 
 
+def test_a_large_insertion_is_cut_into_leaves_again():
+    count = op7_token_counts._counter(tokens.VOCABULARY)
+    text = "some words of a text " * 200
+    leaves = op7_token_counts._cut(text)
+    doc = op7_token_counts.Document(text, list(map(len, leaves)), count(leaves), count)
+    big = "an insertion of many words " * 10_000
+    doc.edit(1000, 0, big)
+    text = text[:1000] + big + text[1000:]
+    before = doc.reencoded
+    for k in range(50):
+        doc.edit(5000 * k, 3, "xyz")
+        text = text[:5000 * k] + "xyz" + text[5000 * k + 3:]
+    assert doc.text == text and doc.reencoded - before < 50 * 4 * op7_token_counts.LEAF_CHARS
+    assert max(map(len, doc.parts)) <= 2 * op7_token_counts.LARGE * op7_token_counts.LEAF_CHARS
+    assert doc.count == len(tokens.encoder(tokens.VOCABULARY, False).library.encode(text, add_special_tokens=False).ids)
+
+
 def test_edited_counts_query(spark, docs):
     rows = op7_token_counts.counts(clashing(docs, "edits", "leaf_chars")).collect()
     assert len(rows) == docs.count()

@@ -179,9 +179,7 @@ def test_rules_are_ordered_and_gated():
     for r in RULES:
         assert not re.search(r["regex"], " "), r
     for label, keyword, body in op12_licenses.SENTENCES:
-        plain = re.sub(r"\(\?: \\S\+\)\{\d+,\d+\}", " x", body).split("|")[0]
-        plain = re.sub(r"\(\?:([^|()]*)(\|[^()]*)?\)\??", r"\1", plain).replace("\\d \\d", "4 0").replace("?", "")
-        assert keyword in plain, (keyword, plain)  # the gate lets its own sentence through
+        assert keyword in body  # the gate lets its own sentence through
 
 
 # ---- spelling
