@@ -288,6 +288,18 @@ def non_finite(raw: DataFrame, column: str, key: str, source_table: str) -> Data
                     F.lit(column).alias("column_name"), name.alias("raw_value")))
 
 
+def repeated_hours(stg_weather: DataFrame) -> DataFrame:
+    """Hours with several weather observations: each of their positions stands that often in the wide table."""
+    return (stg_weather.groupBy("observation_date", "observation_hour").agg(F.count(F.lit(1)).alias("observations"))
+            .where(C("observations") > 1))
+
+
+def epoch_times(bronze_positions: DataFrame) -> DataFrame:
+    """Positions whose feed gave no time, which reads as the epoch, per landed file: they keep it and fall on its date."""
+    return (bronze_positions.where(C("event_timestamp_raw") == 0).groupBy(C("ingestion_file").alias("source_file"))
+            .agg(F.count(F.lit(1)).alias("positions")))
+
+
 # ---------------------------------------------------------------------------
 # Oracle text of the same rules (plain SQL per rule).
 # ---------------------------------------------------------------------------

@@ -13,6 +13,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from metroflux.operators import quality
 from metroflux.plans import oracle
 from metroflux.plans.registry import register
 from metroflux.session import checkpoint_dir
@@ -392,6 +393,13 @@ def q_bronze_run_accounting(spark, sf_dir):
             .select("batch_id", "status", "record_count", "error_message", F.coalesce("has_metadata", F.lit(False)).alias("has_metadata")))
 
 
+@register("dq_epoch_times", sql("""
+SELECT ingestion_file AS source_file, COUNT(*) AS positions FROM recs WHERE event_timestamp_raw = 0 GROUP BY ingestion_file"""))
+def q_dq_epoch_times(spark, sf_dir):
+    """Landed positions without a time, which reads as the epoch."""
+    return quality.epoch_times(B.records(_decoded(spark, sf_dir)))
+
+
 def _register_csv_load(table: str) -> None:
     cols = B.GTFS_COLUMNS[table]
 

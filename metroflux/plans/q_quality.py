@@ -106,3 +106,11 @@ def q_dq_cast_failures(spark, sf_dir):
         part = quality.cast_failures(wh.bronze[table], casts, key, table)
         out = part if out is None else out.unionByName(part)
     return out.unionByName(quality.non_finite(wh.bronze["vehicle_positions"], "speed", "bus_id", "vehicle_positions"))
+
+
+@register("dq_repeated_weather_hours", oracle.query("""
+SELECT observation_date, observation_hour, COUNT(*) AS observations FROM stg_weather
+GROUP BY observation_date, observation_hour HAVING COUNT(*) > 1"""))
+def q_dq_repeated_weather_hours(spark, sf_dir):
+    """Weather hours that would fan out the wide table."""
+    return quality.repeated_hours(_wh(spark, sf_dir).stg_weather)
