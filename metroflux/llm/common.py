@@ -36,11 +36,11 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_staged(spark: SparkSession) -> None:
-    """Remove the staged folders of this driver once their results are written."""
+def drop_staged(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Remove the staged folders of this driver from number ``since`` on, once their results are written; the last ``keep`` stay."""
     jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while STAGED:
-        path = jvm.org.apache.hadoop.fs.Path(STAGED.pop())
+    while len(STAGED) > since + keep:
+        path = jvm.org.apache.hadoop.fs.Path(STAGED.pop(since))
         path.getFileSystem(conf).delete(path, True)
 
 
