@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from metroflux.llm import op1_language, op3_packing, op4_minhash, op5_quality, op8_pii
-from metroflux.llm.common import read_table, stage
+from metroflux.llm.common import STAGED, drop_staged, read_table, stage
 
 ORACLE_SQL = None
 
@@ -31,7 +31,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: that of the smallest id."""
+    """One document of each near-duplicate group, linked from a similarity of 0.8: that of the smallest id."""
     return op4_minhash.keep_first(docs)
 
 
@@ -55,10 +55,11 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages over ``documents``; what a stage wrote for itself and its predecessor goes when its own result is written."""
+    docs, before = read_table(spark, sf_dir, "documents"), len(STAGED)
     for name, step in STAGES:
         docs = stage(step(spark, docs, sf_dir), "pipeline-" + name.lower().replace(" ", "-"))
+        drop_staged(spark, since=before, keep=1)
     return docs
 
 
