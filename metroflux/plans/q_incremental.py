@@ -53,14 +53,16 @@ def q_gold_distinct_rollups(spark, sf_dir):
     path = _root(spark, "sketches")
     sketches.fct_daily_sketches(fact).write.parquet(path)
     daily = spark.read.parquet(path)
-    out = []
-    for level in sketches.LEVELS:
-        exact, estimate = sketches.exact_rollup(fact, level), sketches.distinct_rollup(daily, level)
-        pairs = exact.alias("x").join(estimate.alias("e"), C("x.route_id").eqNullSafe(C("e.route_id")) & C("x.month").eqNullSafe(C("e.month")), "left")
-        good = lambda c: F.coalesce(sketches.within_bound(C(f"e.{c}"), C(f"x.{c}")), F.lit(False))
-        out.append(pairs.select("x.level", "x.route_id", "x.month", C("e.total_positions").alias("total_positions"), "x.unique_vehicles",
-                                "x.unique_trips", good("unique_vehicles").alias("vehicles_in_bound"), good("unique_trips").alias("trips_in_bound")))
-    return _union(out)
+    keys, named = ["level", "route_id", "month"], list(sketches.SKETCHED)
+    # Both counts of a key side by side by a grouping, in which NULL keys meet too.
+    sides = [df.select(*keys, F.lit(side).alias("side"), "total_positions", *named) for level in sketches.LEVELS
+             for side, df in (("exact", sketches.exact_rollup(fact, level)), ("estimate", sketches.distinct_rollup(daily, level)))]
+    of = lambda side, c: F.max(F.when(C("side") == side, C(c)))
+    both = _union(sides).groupBy(*keys).agg(of("estimate", "total_positions").alias("total_positions"), *[of("exact", c).alias(c) for c in named],
+                                            *[of("estimate", c).alias(f"{c}_estimate") for c in named])
+    good = lambda c: F.coalesce(sketches.within_bound(C(f"{c}_estimate"), C(c)), F.lit(False))
+    return both.select(*keys, "total_positions", *named, good("unique_vehicles").alias("vehicles_in_bound"),
+                       good("unique_trips").alias("trips_in_bound"))
 
 
 # --- stateful streams
