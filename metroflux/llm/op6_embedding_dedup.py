@@ -123,6 +123,24 @@ def star_links(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, int), np.zeros(0, int))
 
 
+def tree_links(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the links (a, b) those that join what the ones before them have not joined."""
+    root: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while root.get(x, x) != x:
+            root[x] = x = root.get(root[x], root[x])
+        return x
+
+    keep = np.zeros(len(a), bool)
+    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        x, y = top(x), top(y)
+        if x != y:
+            root[x] = y
+            keep[k] = True
+    return a[keep], b[keep]
+
+
 def full_prefix_pairs(placed: DataFrame, classes: DataFrame) -> DataFrame:
     """Links (a, b) that connect the vectors of each prefix with more members than a window holds.
 
@@ -150,7 +168,7 @@ def full_prefix_pairs(placed: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def window_pairs(classes: DataFrame, passes: int, bits: int) -> DataFrame:
-    """Pairs (a, b) of neighbours in the sorted order of each pass, and the links of its full prefixes."""
+    """Links (a, b) that connect the neighbours within the threshold in each pass's order, and those of its full prefixes."""
     order = ["pass", "length", "key", "id"]
     n = max(2, int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     placed = stage(keys(classes, passes).repartitionByRange(n, *order).sortWithinPartitions(*order)
@@ -174,11 +192,11 @@ def window_pairs(classes: DataFrame, passes: int, bits: int) -> DataFrame:
             for start in np.flatnonzero(np.diff(own, prepend=-1)).tolist():
                 stop = start + int((own == own[start]).sum())  # sorted: one pass and length lie together
                 x, i = as_matrix(t.column("unit").slice(start, stop - start).combine_chunks()), ids[start:stop]
-                for d in range(1, min(WINDOW, len(x) - 1) + 1):
-                    hit = np.flatnonzero(np.einsum("ij,ij->i", x[:-d], x[d:]) >= COSINE)
-                    if len(hit):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(i[hit], i[hit + d])),
-                                                          pa.array(np.maximum(i[hit], i[hit + d]))], ["a", "b"])
+                hits = [(hit, hit + d) for d in range(1, min(WINDOW, len(x) - 1) + 1)
+                        if len(hit := np.flatnonzero(np.einsum("ij,ij->i", x[:-d], x[d:]) >= COSINE))]
+                if hits:
+                    a, b = tree_links(*(np.concatenate(side) for side in zip(*hits)))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(i[a], i[b])), pa.array(np.maximum(i[a], i[b]))], ["a", "b"])
 
     return blocks.mapInArrow(run, "a long, b long").union(full_prefix_pairs(placed, classes)).distinct()
 
