@@ -52,23 +52,28 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-_TABLE: list = [None, None]
+#: Owner and value of the worker's table, and whether the task at work has asked for it.
+_TABLE: list = [None, None, False]
 
 
 def worker_table(owner, make: Callable[[], object]):
     """The Python worker's table of ``owner``, made once.
 
-    Workers are reused by the stages of an application; one table is held at a time, so a
-    worker's memory is that of its present stage, not of all before it.
+    Workers are reused by the stages of an application; one table is held at a time, and none beyond a task
+    that has not asked for it, so a worker's memory is that of its present stage, not of all before it.
     """
     if _TABLE[0] != owner:
-        _TABLE[:] = None, None
-        _TABLE[:] = owner, make()
+        _TABLE[:] = None, None, True
+        _TABLE[:] = owner, make(), True
+    _TABLE[2] = True
     return _TABLE[1]
 
 
 def give_back() -> None:
-    """Returns what the allocators hold of a finished task to the system."""
+    """Drops a table that the finished task did not use, and returns what the allocators hold to the system."""
+    if not _TABLE[2]:
+        _TABLE[:] = None, None, False
+    _TABLE[2] = False
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)

@@ -149,7 +149,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         k = kernel([found.distinct(t) for t in batch.column(1).to_pylist()], *shared.value)
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in k], pa.binary())], ["lang", "values"])
 
-    rows = map_rows(taken.select("lang", "text"), values, "lang string, values binary", rows=256).collect()
+    rows = map_rows(taken.select("lang", "text"), values, "lang string, values binary", rows=64).collect()
     k = np.array([np.frombuffer(bytes(r["values"]), np.float32) for r in rows], np.float64).reshape(len(rows), len(marks))
     y = np.where(np.array([r["lang"] for r in rows])[:, None] == np.array(languages)[None, :], 1.0, -1.0)
     # Nystroem features: kernel values times the inverse root of the landmarks' own kernel.
@@ -173,7 +173,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         best, score = classify(batch.column(1).to_pylist(), shared.value)
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(best), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
-    return (map_rows(src, run, "doc_id long, lang_pred string, score double", rows=256)
+    return (map_rows(src, run, "doc_id long, lang_pred string, score double", rows=64)
             .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"))
 
 
@@ -208,4 +208,4 @@ def keep_identified(docs: DataFrame, text_col: str = "text", least: float = LEAS
         keep = [b != UNDETERMINED and s >= least for b, s in zip(best, score)]
         return pa.RecordBatch.from_arrays([batch.column(0)], ["row"]).filter(pa.array(keep, pa.bool_()))
 
-    return map_rows(held, run, f"row {held.schema['row'].dataType.simpleString()}", rows=256).select("row.*")
+    return map_rows(held, run, f"row {held.schema['row'].dataType.simpleString()}", rows=64).select("row.*")
