@@ -45,7 +45,7 @@ def q_bronze_cut_off_runs(spark, sf_dir):
 
     Three polls; the second is cut off.  Rows per file and batch in every table equal those of three clean runs.
     """
-    files = fixtures.feed_landing(spark, sf_dir)
+    files = fixtures.landed_files(spark, sf_dir, _root(spark, "cut-landing"))
     out = []
     for cut in CUTS:
         root = _root(spark, f"cut-{cut}")

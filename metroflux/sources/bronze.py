@@ -351,6 +351,27 @@ def unprocessed(names: DataFrame, manifest: DataFrame | None) -> DataFrame:
     return names.join(manifest.select("file_name").distinct(), "file_name", "left_anti")
 
 
+def by_name(files: DataFrame, names: DataFrame, how: str) -> DataFrame:
+    """The ``files`` whose name is among ``names`` (``left_semi``) or is not (``left_anti``); contents stay where they are.
+
+    Names alone are joined first.  A landing date of which every file is wanted is then a filter, one without any is not
+    read; only files of dates that hold both kinds, or without a date, are joined with their content.  The driver
+    learns a row a date.
+    """
+    seen = names.select("file_name").distinct()
+    wanted = C("_seen").isNotNull() if how == "left_semi" else C("_seen").isNull()
+    days = (files.select("file_name", "date").join(seen.withColumn("_seen", F.lit(True)), "file_name", "left")
+            .groupBy("date").agg(F.count(F.lit(1)).alias("n"), F.count_if(wanted).alias("wanted")).where(C("wanted") > 0).collect())
+    whole = [r["date"] for r in days if r["date"] is not None and r["wanted"] == r["n"]]
+    mixed = [r["date"] for r in days if r["date"] is not None and r["wanted"] < r["n"]]
+    found = files.where(C("date").isin(whole))
+    if mixed:
+        found = found.unionByName(files.where(C("date").isin(mixed)).join(seen, "file_name", how).select(*files.columns))
+    if any(r["date"] is None for r in days):
+        found = found.unionByName(files.where(C("date").isNull()).join(seen, "file_name", how).select(*files.columns))
+    return found
+
+
 def open_selected(spark: SparkSession, base_path: str, selected: DataFrame, glob: str = "*.pb") -> DataFrame:
     """The ``selected`` files (of ``discover_files``) with content, opened on the executors.
 
@@ -625,12 +646,13 @@ def ingest(spark: SparkSession, files: DataFrame, bronze_path: str, quarantine_p
         if mode == "full" and (p.mode, p.process_date) == (mode, process_date):
             batch_id = p.batch_id
             continue
-        mine = files.join(ledger.files_of(p.batch_id), "file_name", "left_semi")
+        mine = by_name(files, ledger.files_of(p.batch_id), "left_semi")
         finished = batch(mine, p.batch_id, p.mode, p.process_date).run()
     if process_date is not None:
         files = files.where(C("date") == F.lit(process_date))
     if mode == "incremental" and existing is None:
-        todo = files.join(ledger.processed().select("file_name").distinct(), "file_name", "left_anti")
+        done = ledger.processed()
+        todo = files if done.isEmpty() else by_name(files, done, "left_anti")
         if finished is not None and todo.select("file_name").isEmpty():
             return finished
     else:

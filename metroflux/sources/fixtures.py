@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LOAD_TS = "TIMESTAMP '2026-02-01 07:00:00'"
+ROWS_PER_TASK = 100_000
 
 
 def _epoch_seconds(expr: str, dialect: str) -> str:
@@ -360,10 +361,24 @@ def feed_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed feed files as ``binaryFile`` would list them (path, length, content, date, hour)."""
     # JSON literals contain braces: escape them for the DataFrame-binding formatter.
     text = _feed_sql().replace("{", "{{").replace("}", "}}").replace("{{events}}", "{events}")
-    files = spark.sql(text, events=driver_table(spark, sf_dir, "events"))
-    # A listing of many landed files is split across tasks; spread the
-    # stand-in files the same way instead of keeping them in one scan task.
-    return files.repartition(spark.sparkContext.defaultParallelism)
+    return spark.sql(text, events=_spread(driver_table(spark, sf_dir, "events"), "ts", "event_id"))
+
+
+def _spread(rows: DataFrame, *order: str) -> DataFrame:
+    """Rows in ranges of the named columns, about ``ROWS_PER_TASK`` a task however many there are.
+
+    A listing of many landed files is split across tasks, folder by folder; the stand-in files are built
+    in such tasks, too, so neither what a task reads nor the folders it writes grow with the input.
+    """
+    n = max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // ROWS_PER_TASK))
+    return rows.repartitionByRange(n, *order)
+
+
+def landed_files(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+    """``feed_landing`` written once below ``path``, a folder a date: what several runs over one landing read."""
+    files = feed_landing(spark, sf_dir)
+    files.write.partitionBy("date").parquet(path)
+    return spark.read.schema(files.schema).parquet(path).select(*files.columns)
 
 
 def write_landing(files: DataFrame, base_path: str, mode: str = "overwrite") -> None:

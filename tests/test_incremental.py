@@ -92,6 +92,30 @@ def test_selected_files_are_opened_by_partition_and_time_without_a_path_list(spa
     assert "modificationTime" in text.split("PushedFilters")[1]
 
 
+@pytest.mark.parametrize("how", ["left_semi", "left_anti"])
+def test_files_are_picked_by_name_without_moving_whole_dates(spark, how):
+    rows = [("d1", "a"), ("d1", "b"), ("d2", "c"), ("d2", "d"), ("d2", "d"), (None, "e"), (None, "f"), ("d3", None), ("d4", "g")]
+    path = _tmp(spark, "named")
+    spark.createDataFrame([(d, n, f"{n} content") for d, n in rows], "date string, file_name string, content string").write.parquet(path)
+    files = spark.read.parquet(path)
+    names = spark.createDataFrame([("a",), ("b",), ("d",), ("d",), ("e",), (None,)], "file_name string")
+    want = sorted(map(str, files.join(names, "file_name", how).select(*files.columns).collect()))
+    assert sorted(map(str, B.by_name(files, names, how).collect())) == want
+    whole = B.by_name(files.where("date in ('d1', 'd4')"), names, how)
+    assert "Join" not in plan(whole) and {r.date for r in whole.collect()} == ({"d1"} if how == "left_semi" else {"d4"})
+
+
+def test_stand_in_landing_is_built_in_tasks_of_bounded_size(spark, monkeypatch):
+    files = lambda: fixtures.feed_landing(spark, SMOKE)
+    want = files()
+    monkeypatch.setattr(fixtures, "ROWS_PER_TASK", 50)
+    got = files()
+    assert got.rdd.getNumPartitions() == -(-want.count() // 50)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    landed = fixtures.landed_files(spark, SMOKE, _tmp(spark, "landed"))
+    assert landed.schema == want.schema and landed.exceptAll(want).isEmpty() and want.exceptAll(landed).isEmpty()
+
+
 # ---- casts
 
 def test_rejects_go_to_the_quarantine_and_strict_loads_fail(spark):
