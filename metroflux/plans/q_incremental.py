@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import uuid
 
@@ -77,17 +78,38 @@ SELECT a.*, coalesce(a._at <= h.high - INTERVAL {late.DELAY}, false) AS behind F
 ON a.arrival = h.arrival"""
 
 
-def _arrivals(spark, sf_dir, root: str) -> tuple[DataFrame, DataFrame]:
-    """(stream, staging rows): the bronze positions landed in the order of their load days, a file for some days each."""
+@contextlib.contextmanager
+def _data_batches_only(spark):
+    """Streams started inside run no batch without data: a watermark moves with the next arrival, not between two runs."""
+    key = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _arrivals(spark, sf_dir, root: str, stateful) -> DataFrame:
+    """Land the bronze positions in the order of their load days, some days each, and run the streams on each arrival.
+
+    An arrival is as many files as its rows need.  ``split_late`` and the ``stateful`` stream (of staging rows) go on
+    from their checkpoints and take all that is new, a micro-batch an arrival.  Returns the staging rows.
+    """
     table = fixtures.bronze_table(spark, sf_dir, "vehicle_positions")
+    stg = staging.stg_vehicle_positions(table)
     arrival = F.floor(F.datediff(C("ingestion_timestamp").cast("date"), F.lit("1970-01-01").cast("date")) / ARRIVAL_DAYS)
     held = f"{root}/held"
     table.withColumn("arrival", arrival).write.partitionBy("arrival").parquet(held)
     rows = spark.read.schema(StructType([*B.BRONZE_TABLE_SCHEMA.fields, StructField("arrival", LongType())])).parquet(held)
-    for r in rows.select("arrival").distinct().orderBy("arrival").collect():  # some days a file: a few
-        rows.where(C("arrival") == r["arrival"]).drop("arrival").coalesce(1).write.mode("append").parquet(f"{root}/positions")
-    stream = feeds.positions_stream(spark, f"{root}/positions", max_files_per_trigger=1)
-    return staging.stg_vehicle_positions(stream), staging.stg_vehicle_positions(table)
+    with _data_batches_only(spark):
+        for r in rows.select("arrival").distinct().orderBy("arrival").collect():  # some days a time: a few
+            landed = rows.where(C("arrival") == r["arrival"]).drop("arrival")
+            fixtures.spread(landed, "ingestion_timestamp", "bus_id").write.mode("append").parquet(f"{root}/positions")
+            stream = staging.stg_vehicle_positions(feeds.positions_stream(spark, f"{root}/positions"))
+            feeds.await_all(late.split_late(stream, f"{root}/split", f"{root}/_split"))
+            feeds.await_all(stateful(stg))
+    return stg
 
 
 @register("stream_stateful_dedup", oracle.query(f"""
@@ -96,9 +118,7 @@ UNION ALL SELECT bus_id, event_timestamp, 'late', _source_file, _batch_id FROM (
 def q_stream_stateful_dedup(spark, sf_dir):
     """One row per (bus, time) by watermarked state; rows behind the watermark go to their own table."""
     root = _root(spark, "stateful")
-    stream, stg = _arrivals(spark, sf_dir, root)
-    feeds.await_all(late.split_late(stream, f"{root}/split", f"{root}/_split"))
-    feeds.await_all(late.dedup_stream(spark, f"{root}/split", stg, f"{root}/kept", f"{root}/_kept"))
+    stg = _arrivals(spark, sf_dir, root, lambda stg: late.dedup_stream(spark, f"{root}/split", stg, f"{root}/kept", f"{root}/_kept"))
     kept = spark.read.parquet(f"{root}/kept").select("bus_id", "event_timestamp", F.lit("kept").alias("fate"),
                                                      F.lit(None).cast("string").alias("_source_file"), F.lit(None).cast("string").alias("_batch_id"))
     behind = late.late_rows(spark, f"{root}/split", stg).select("bus_id", "event_timestamp", F.lit("late").alias("fate"), "_source_file", "_batch_id")
@@ -109,9 +129,7 @@ def q_stream_stateful_dedup(spark, sf_dir):
 def q_stream_windows_with_late_rows(spark, sf_dir):
     """Hourly windows over several triggers, state bounded by the watermark, late rows merged: the totals of all rows."""
     root = _root(spark, "windows")
-    stream, stg = _arrivals(spark, sf_dir, root)
-    feeds.await_all(late.split_late(stream, f"{root}/split", f"{root}/_split"))
-    feeds.await_all(late.window_stream(spark, f"{root}/split", stg, f"{root}/hours", f"{root}/_hours"))
+    stg = _arrivals(spark, sf_dir, root, lambda stg: late.window_stream(spark, f"{root}/split", stg, f"{root}/hours", f"{root}/_hours"))
     return late.merged_hours(spark, f"{root}/hours", late.late_rows(spark, f"{root}/split", stg))
 
 

@@ -361,10 +361,10 @@ def feed_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed feed files as ``binaryFile`` would list them (path, length, content, date, hour)."""
     # JSON literals contain braces: escape them for the DataFrame-binding formatter.
     text = _feed_sql().replace("{", "{{").replace("}", "}}").replace("{{events}}", "{events}")
-    return spark.sql(text, events=_spread(driver_table(spark, sf_dir, "events"), "ts", "event_id"))
+    return spark.sql(text, events=spread(driver_table(spark, sf_dir, "events"), "ts", "event_id"))
 
 
-def _spread(rows: DataFrame, *order: str) -> DataFrame:
+def spread(rows: DataFrame, *order: str) -> DataFrame:
     """Rows in ranges of the named columns, about ``ROWS_PER_TASK`` a task however many there are.
 
     A listing of many landed files is split across tasks, folder by folder; the stand-in files are built

@@ -5,6 +5,10 @@ rows behind it go to a table of their own, all others on to the stateful streams
 the watermark bounds.  A row's time is its event time, but not after its load time, so a clock that
 runs ahead cannot move the watermark.  Each batch writes its highest time, its late and its on-time
 rows under ``micro_batch=N``, so a replayed batch replaces its own output and sees the same watermark.
+
+A batch is as many files as it has tasks.  Its on-time rows appear as one folder, renamed when complete, and
+a trigger of a stateful stream takes the folders that are there, so it never splits a batch: rows of
+a batch split over two triggers could fall behind the watermark of the first.
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ from metroflux.functions import exprs as X
 from metroflux.operators import gold
 from metroflux.sources.ledger import read_or_none
 from metroflux.streaming.feeds import HOURLY_KEYS
+from metroflux.streaming.levels import filesystem
 
 C = F.col
 DELAY = "2 days"
@@ -33,6 +38,15 @@ def _folder(root: str, name: str, batch_id: int) -> str:
     return f"{root}/{name}/micro_batch={batch_id}"
 
 
+def _publish(spark: SparkSession, staged: str, folder: str) -> None:
+    """Rename a written folder into its place, in that of an earlier try."""
+    fs, target = filesystem(spark, folder)
+    fs.delete(target, True)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(filesystem(spark, staged)[1], target):
+        raise OSError(f"{staged} was not renamed to {folder}")
+
+
 def split_late(stg_positions: DataFrame, root: str, checkpoint: str, delay: str = DELAY) -> StreamingQuery:
     """On-time rows to ``root/on_time``, rows behind the watermark to ``root/late``; both keep all columns and ``_at``."""
     root = root.rstrip("/")
@@ -46,8 +60,9 @@ def split_late(stg_positions: DataFrame, root: str, checkpoint: str, delay: str
             # A row at the watermark itself is late to the stateful operators, too.
             behind = F.lit(False) if high is None else F.coalesce(C(AT) <= F.lit(high) - F.expr(f"INTERVAL {delay}"), F.lit(False))
             rows.where(behind).write.mode("overwrite").parquet(_folder(root, "late", batch_id))
-            rows.where(~behind).coalesce(1).write.mode("overwrite").parquet(_folder(root, "on_time", batch_id))
+            rows.where(~behind).write.mode("overwrite").parquet(_folder(root, "staged", batch_id))
             rows.agg(F.max(AT).alias("high")).write.mode("overwrite").parquet(_folder(root, "highs", batch_id))
+            _publish(spark, _folder(root, "staged", batch_id), _folder(root, "on_time", batch_id))
         finally:
             rows.unpersist()
 
@@ -59,11 +74,10 @@ def _split_schema(stg_positions: DataFrame) -> StructType:
 
 
 def on_time_stream(spark: SparkSession, root: str, stg_positions: DataFrame, delay: str = DELAY) -> DataFrame:
-    """The on-time rows as a stream with its watermark, a micro-batch of the split at a time."""
+    """The on-time rows as a stream with its watermark, whole micro-batches of the split at a time."""
     folder = f"{root.rstrip('/')}/on_time"
     schema = StructType([*_split_schema(stg_positions).fields, StructField("micro_batch", IntegerType())])
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
-            .withWatermark(AT, delay))
+    return spark.readStream.schema(schema).parquet(folder).withWatermark(AT, delay)
 
 
 def late_rows(spark: SparkSession, root: str, stg_positions: DataFrame) -> DataFrame:

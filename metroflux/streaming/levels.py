@@ -29,14 +29,14 @@ class Run(NamedTuple):
         return f"level={self.level}/run={self.low}-{self.high}"
 
 
-def _fs(spark: SparkSession, path: str):
+def filesystem(spark: SparkSession, path: str):
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
 def finished_runs(spark: SparkSession, log: str) -> list[Run]:
     """All finished runs; a listing of folder names, a few per level."""
-    fs, top = _fs(spark, log)
+    fs, top = filesystem(spark, log)
     out = []
     for level in (fs.listStatus(top) if fs.exists(top) else []):
         for run in fs.listStatus(level.getPath()):
@@ -75,7 +75,7 @@ def merge_full_levels(spark: SparkSession, log: str, schema, fanout: int = FANOU
     live = set(live_runs(spark, log))
     for r in finished_runs(spark, log):
         if r not in live:
-            fs, path = _fs(spark, f"{log.rstrip('/')}/{r.folder}")
+            fs, path = filesystem(spark, f"{log.rstrip('/')}/{r.folder}")
             fs.delete(path, True)
 
 

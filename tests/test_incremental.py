@@ -172,6 +172,21 @@ def test_late_rows_are_kept_apart_and_state_keeps_one_row_a_key(spark):
     assert sorted(b for b, _ in kept) == ["a", "b", "d"]
 
 
+def test_a_trigger_takes_a_batch_of_the_split_whole(spark):
+    root = _tmp(spark, "whole")
+    # Two files a batch; the second batch's later file would put its earlier one behind the watermark.
+    days = [[(f"a{k}", 600 + k, 600 + k) for k in range(40)], [(f"b{k}", 640 + 30 * k, 640 + 30 * k) for k in range(40)]]
+    for k, rows in enumerate(days):
+        df = _stg(spark, rows)
+        df.repartitionByRange(2, "event_timestamp").write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(df.schema).parquet(f"{root}/in")
+        feeds.await_all(late.split_late(stream, f"{root}/split", f"{root}/_a", delay="1 hour"))
+        assert spark.read.parquet(f"{root}/split/on_time/micro_batch={k}").select(F.countDistinct("_metadata.file_path")).first()[0] == 2
+        feeds.await_all(late.dedup_stream(spark, f"{root}/split", df, f"{root}/kept", f"{root}/_b", delay="1 hour"))
+    assert late.late_rows(spark, f"{root}/split", df).isEmpty()
+    assert sorted(r.bus_id for r in spark.read.parquet(f"{root}/kept").collect()) == sorted(b for rows in days for b, _, _ in rows)
+
+
 def test_windows_with_late_rows_equal_the_batch_fact(spark):
     from metroflux.operators import gold
     root = _tmp(spark, "windows")
