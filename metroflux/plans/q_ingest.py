@@ -73,7 +73,8 @@ def q_bronze_full_after_increments(spark, sf_dir):
 
     Poll, full run of the first dates (cut off once, then run again), poll: every file is loaded once.
     """
-    files, root = fixtures.feed_landing(spark, sf_dir), _root(spark, "full")
+    root = _root(spark, "full")
+    files = fixtures.landed_files(spark, sf_dir, f"{root}/landing")
     run = functools.partial(B.ingest, spark, bronze_path=f"{root}/bronze", quarantine_path=f"{root}/quarantine")
     run(files, batch_id="first")
     early = files.where(C("date") < POLLS[0])

@@ -375,9 +375,12 @@ def spread(rows: DataFrame, *order: str) -> DataFrame:
 
 
 def landed_files(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
-    """``feed_landing`` written once below ``path``, a folder a date: what several runs over one landing read."""
+    """``feed_landing`` written once below ``path``, a folder a date: what several runs over one landing read.
+
+    Uncompressed, as landed files are: scan tasks are cut by bytes on disk, and these hold as many bytes of content.
+    """
     files = feed_landing(spark, sf_dir)
-    files.write.partitionBy("date").parquet(path)
+    files.write.partitionBy("date").option("compression", "uncompressed").parquet(path)
     return spark.read.schema(files.schema).parquet(path).select(*files.columns)
 
 

@@ -113,6 +113,7 @@ def test_stand_in_landing_is_built_in_tasks_of_bounded_size(spark, monkeypatch):
     assert got.rdd.getNumPartitions() == -(-want.count() // 50)
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
     landed = fixtures.landed_files(spark, SMOKE, _tmp(spark, "landed"))
+    assert not any("snappy" in f for f in landed.inputFiles())
     assert landed.schema == want.schema and landed.exceptAll(want).isEmpty() and want.exceptAll(landed).isEmpty()
 
 
