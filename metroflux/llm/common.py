@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from metroflux.session import checkpoint_dir
 
+#: Bytes of the rows that go to a Python worker at once.
+BATCH_BYTES = 4 << 20
 #: Folders written by this driver, for ``drop_staged``.
 STAGED: list[str] = []
 
@@ -79,9 +81,22 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Holds the session's Arrow batches to ``BATCH_BYTES``, unless it has a limit of its own.
+
+    Spark's 64 MB stand several times a task: vectors that double as they grow in the JVM, the message, and its
+    copy in the Python worker.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str,
              rows: int = 512) -> DataFrame:
-    """``mapInArrow`` that hands ``fn`` slices of at most ``rows`` rows, so memory follows the slice."""
+    """``mapInArrow`` that hands ``fn`` slices of at most ``rows`` rows of bounded batches, so memory follows the slice."""
+    bound_batches(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, rows):
