@@ -92,11 +92,15 @@ class Document:
 
     def edit(self, at: int, remove: int, insert: str) -> None:
         """Replace ``remove`` characters at ``at`` by ``insert``, re-encoding only what that touches."""
+        edit_all([(self, at, remove, insert)], self.encode)
+
+    def touch(self, at: int, remove: int, insert: str) -> tuple[int, int, list[str]] | None:
+        """First and last leaf that the edit touches and the texts to be put in their place; None if it changes nothing."""
         total = self.tree.chars[1] if self.parts else 0
         at = min(max(at, 0), total)
         stop = min(at + max(remove, 0), total)
         if stop == at and not insert:
-            return
+            return None
         if not total:
             self.parts, self.tree = [""], SegmentTree([0], [0])
             first, start, last, last_start = 0, 0, 0, 0
@@ -110,8 +114,10 @@ class Document:
             first -= 1
             text = self.parts[first] + text
         self.reencoded += len(text)
-        pieces = _cut(text) if len(text) > LARGE * LEAF_CHARS else [text]
-        counts = self.encode(pieces) if text else [0]
+        return first, last, _cut(text) if len(text) > LARGE * LEAF_CHARS else [text]
+
+    def put(self, first: int, last: int, pieces: list[str], counts: list[int]) -> None:
+        """Put ``pieces``, with their token counts, in the place of the leaves ``first`` to ``last``."""
         if len(pieces) > last - first + 1:
             # More leaves than the edit freed: the tree is built anew, empty ones left out.
             rows = [(p, n) for p, n in zip(self.parts, self.tree.counts[self.tree.width:])]
@@ -134,6 +140,14 @@ class Document:
         return "".join(self.parts)
 
 
+def edit_all(edits: list[tuple[Document, int, int, str]], encode) -> None:
+    """One edit of each of many documents; all that they touch is encoded in one call."""
+    touched = [(d, t) for d, *e in edits if (t := d.touch(*e)) is not None]
+    counts = iter(encode([p for _, (_, _, pieces) in touched for p in pieces]) if touched else ())
+    for d, (first, last, pieces) in touched:
+        d.put(first, last, pieces, [next(counts) for _ in pieces])
+
+
 def _counter(vocabulary: str):
     encoder = tokens.encoder(vocabulary, False)
     return lambda texts: [len(x) // 4 for x in encoder.encode(texts)]
@@ -171,15 +185,20 @@ def apply_edits(trees: DataFrame, vocabulary: str = tokens.VOCABULARY) -> DataFr
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         count, rows = _counter(vocabulary), []
-        for doc, text, chars, counts, edits in zip(*(c.to_pylist() for c in batch.columns)):
-            d = Document(text or "", chars or [], counts or [], count)
-            before = d.count
-            for e in edits or []:
-                if e is not None and e["at"] is not None and e["remove"] is not None:
-                    d.edit(e["at"], e["remove"], e["insert"] or "")
+        ids, texts, chars, counts, scripts = (c.to_pylist() for c in batch.columns)
+        docs = [Document(t or "", c or [], n or [], count) for t, c, n in zip(texts, chars, counts)]
+        before = [d.count for d in docs]
+        scripts = [(d, [e for e in edits or [] if e is not None and e["at"] is not None and e["remove"] is not None])
+                   for d, edits in zip(docs, scripts)]
+        # The rows' first edits together, then their second ones, and so on.
+        k = 0
+        while scripts := [(d, edits) for d, edits in scripts if k < len(edits)]:
+            edit_all([(d, edits[k]["at"], edits[k]["remove"], edits[k]["insert"] or "") for d, edits in scripts], count)
+            k += 1
+        for doc, d, n in zip(ids, docs, before):
             kept = [i for i, p in enumerate(d.parts) if p]
             rows.append((doc, d.text, [len(d.parts[i]) for i in kept],
-                         [d.tree.counts[d.tree.width + i] for i in kept], before, d.count, d.reencoded))
+                         [d.tree.counts[d.tree.width + i] for i in kept], n, d.count, d.reencoded))
         ints, long = pa.list_(pa.int32()), pa.int64()
         types = [long, pa.string(), ints, ints, long, long, long]
         names = ["doc_id", "text", "leaf_chars", "leaf_tokens", "n_tokens_before", "n_tokens", "reencoded_chars"]

@@ -23,7 +23,8 @@ VOCABULARY = "byte_bpe_50k.json"
 TABLE_ENTRIES = 100_000
 TABLE_CHUNK = 64
 CUT = re.compile(r" (?=\S)")
-#: First character of a key: text as it stands; text after a line break.  Other keys are words after a space.
+#: First character of a key: text as it stands; a word after a line break.  Other keys are words after a space (both without
+#: white space or control characters, so they sort above a space).
 RAW, BREAK = "\x01", "\n"
 
 
@@ -74,55 +75,62 @@ class ChunkEncoder:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _encode_keys(self, keys: list[str]) -> dict[str, bytes]:
-        """Ids of each key's text; words go to the encoder as one text, joined by line breaks."""
-        words = [k for k in keys if k[:1] not in (RAW, BREAK)]
-        rest = [k for k in keys if k[:1] in (RAW, BREAK)]
-        out = dict(zip(rest, self._encode([k[1:] for k in rest])))
-        for k in rest:
-            if k[0] == BREAK:
-                out[k] = self.line_break + out[k]
-        if words and len(self.line_break) == 4:
-            buffer = self._encode([" " + "\n ".join(words)])[0]
-            ends = np.flatnonzero(np.frombuffer(buffer, "<u4") == np.frombuffer(self.line_break, "<u4")[0])
-            bounds = [-4, *(4 * ends).tolist(), len(buffer)]
-            out.update((w, buffer[a + 4:b]) for w, a, b in zip(words, bounds, bounds[1:]))
+        """Ids of each key's text; words go to the encoder as one text, joined by line breaks, as do the first words of lines."""
+        words = [k for k in keys if k > " "]
+        marked = [k for k in keys if k < " "]
+        first = [k for k in marked if k[0] == BREAK]
+        raw = [k for k in marked if k[0] == RAW]
+        out = dict(zip(raw, self._encode([k[1:] for k in raw])))
+        if len(self.line_break) == 4:
+            if words:
+                buffer, ends = self._line_breaks(" " + "\n ".join(words))
+                out.update((w, buffer[a + 4:b]) for w, a, b in zip(words, [-4, *ends], [*ends, len(buffer)]))
+            if first:
+                # These keys begin with their line break, and so do their ids.
+                buffer, starts = self._line_breaks("".join(first))
+                out.update((k, buffer[a:b]) for k, a, b in zip(first, starts, [*starts[1:], len(buffer)]))
         else:
             out.update(zip(words, self._encode([" " + w for w in words])))
+            out.update((k, self.line_break + x) for k, x in zip(first, self._encode([k[1:] for k in first])))
         return out
 
+    def _line_breaks(self, text: str) -> tuple[bytes, list[int]]:
+        """The text's ids and the byte offset of each line break among them."""
+        buffer = self._encode([text])[0]
+        at = np.flatnonzero(np.frombuffer(buffer, "<u4") == np.frombuffer(self.line_break, "<u4")[0])
+        return buffer, (4 * at).tolist()
+
     @staticmethod
     def keys(text: str) -> list[str]:
         """Keys of the text's chunks in order."""
+        # A text that starts with a space and a word, as those cut from a longer one do, has no raw start.
         out: list[str] = []
-        mark = RAW
-        for line in text.split("\n"):
+        led = text[:1] == " "
+        mark = "" if led else RAW
+        for line in text[led:].split("\n"):
             if not line or line[0] == " " or line[-1] == " " or "  " in line or not line.isprintable():
                 first, *rest = CUT.split(text)
-                return [RAW + first, *[RAW + " " + c for c in rest]]
+                return [RAW + first, *[c if " " not in c and c.isprintable() else RAW + " " + c for c in rest]]
             parts = line.split(" ")
             parts[0] = mark + parts[0]
             out += parts
             mark = BREAK
         return out
 
-    def coded(self, keys: set[str]) -> dict[str, bytes]:
-        """A table with the ids of all ``keys``."""
-        if len(self.table) > self.entries:
-            self.table = {}
-        ids = self._encode_keys(list(keys.difference(self.table)))
-        long = {c: x for c, x in ids.items() if len(c) > TABLE_CHUNK}
-        if not long:
-            self.table.update(ids)
-            return self.table
-        self.table.update((c, x) for c, x in ids.items() if c not in long)
-        return self.table | long
-
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text (None: empty)."""
         split = [[] if not t or (self.whole and self.whole.search(t)) else self.keys(t) for t in texts]
-        known = self.coded(set().union(*split)) if split else {}
-        return [b"".join(map(known.__getitem__, s)) if s else self._whole(t) if t else b""
-                for t, s in zip(texts, split)]
+        if len(self.table) > self.entries:
+            self.table = {}
+        new = self._encode_keys(list(set().union(*split).difference(self.table)))
+        self.table.update(new)
+        out = [b"".join(map(self.table.__getitem__, s)) if s else self._whole(t) if t else b""
+               for t, s in zip(texts, split)]
+        # Long chunks seldom come again: they are held for this call only.
+        for key in new:
+            if len(key) > TABLE_CHUNK:
+                del self.table[key]
+        return out
 
 
 def encoder(vocabulary: str, specials: bool = True) -> ChunkEncoder:

@@ -254,6 +254,66 @@ def test_a_large_insertion_is_cut_into_leaves_again():
     assert doc.count == len(tokens.encoder(tokens.VOCABULARY, False).library.encode(text, add_special_tokens=False).ids)
 
 
+def recorded(monkeypatch):
+    """An encoder of its own and the list of texts that it hands on to the vocabulary's encoder."""
+    enc, seen = tokens.ChunkEncoder(tokens.tokenizer_path(tokens.VOCABULARY), False), []
+    encode = enc._encode
+    monkeypatch.setattr(enc, "_encode", lambda texts: seen.extend(texts) or encode(texts))
+    return enc, seen
+
+
+def test_words_of_leaves_and_lines_are_encoded_together(monkeypatch):
+    enc, seen = recorded(monkeypatch)
+    rng = np.random.default_rng(11)
+    many = [" ".join("".join(rng.choice(list("abcdeé,"), rng.integers(1, 9))) + ("\n" if k % 9 == 0 else "") for k in range(900))
+            .replace("\n ", "\n") for _ in range(4)]
+    leaves = [x for t in many for x in op7_token_counts._cut(t)]
+    assert len(leaves) > 40 and sum(x[0] == " " for x in leaves) == len(leaves) - 4
+    for text, ids in zip(leaves, enc.encode(leaves)):
+        assert np.frombuffer(ids, "<u4").tolist() == enc.library.encode(text, add_special_tokens=False).ids
+    # The words, the first words of lines, and the start of each whole text.
+    assert len(seen) <= 2 + 4
+    # Text off the plain form is cut at its borders; its plain words are still encoded together.
+    seen.clear()
+    enc.encode(["\ta  b " + " ".join(f"x{k}" for k in range(500))])
+    assert len(seen) <= 3
+
+
+def test_ids_of_odd_chunks_equal_the_library():
+    enc = tokens.encoder(tokens.VOCABULARY, False)
+    rng = np.random.default_rng(12)
+    bits = ["a", "word", "é", "'s", "12", "...", " ", " ", " x", "  ", "\n", "\n\n", "\t", "\u00a0", "\u3000", "\u200b", "\x01", "\x1c",
+            "中文", "z" * 70, "<|endoftext|>", "\r\n"]
+    many = ["".join(rng.choice(bits, rng.integers(1, 14))) for _ in range(4000)]
+    for text, ids in zip(many, enc.encode(many)):
+        assert np.frombuffer(ids, "<u4").tolist() == enc.library.encode(text, add_special_tokens=False).ids
+    assert all(len(k) <= tokens.TABLE_CHUNK for k in enc.table)
+
+
+def test_rows_edits_are_encoded_together():
+    count, calls = op7_token_counts._counter(tokens.VOCABULARY), []
+
+    def encode(texts):
+        calls.append(len(texts))
+        return count(texts)
+
+    def documents():
+        for k in range(40):
+            text = f"text number {k} of some words " * (k * 3)
+            leaves = op7_token_counts._cut(text)
+            yield op7_token_counts.Document(text, list(map(len, leaves)), count(leaves) if leaves else [], encode)
+
+    together, alone = list(documents()), list(documents())
+    for at, drop, put in ((0, 7, "revised"), (900, 25, ""), (40, 0, " a new sentence."), (5, 0, "big words " * 400), (3, 0, ""), (0, 10 ** 6, "")):
+        calls.clear()
+        op7_token_counts.edit_all([(d, at, drop, put) for d in together], encode)
+        assert len(calls) <= 1
+        for d in alone:
+            d.edit(at, drop, put)
+        for d, e in zip(together, alone):
+            assert (d.text, d.count, d.parts, d.tree.counts, d.reencoded) == (e.text, e.count, e.parts, e.tree.counts, e.reencoded)
+
+
 def test_edited_counts_query(spark, docs):
     rows = op7_token_counts.counts(clashing(docs, "edits", "leaf_chars")).collect()
     assert len(rows) == docs.count()
